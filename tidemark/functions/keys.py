@@ -22,11 +22,6 @@ def surrogate_key(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def json_string(text: Column) -> Column:
-    """A string as a quoted JSON value."""
-    return F.to_json(text.cast("variant"))
-
-
 def without_meta(rec: Column, text: Column) -> Column:
     """Canonical text without metadata fields the source record may itself hold."""
     cleaned = canonical_text(drop_paths(rec, [(name,) for name in META_FIELDS]))

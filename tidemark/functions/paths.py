@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.values import MAP, is_object, is_variant, value_text
+from tidemark.functions.values import HEX, MAP, is_object, is_variant, value_text
 
 Path = Sequence[str]
 
@@ -135,7 +135,8 @@ def _edit_struct(
             if f.name in edits.children:
                 value, kind = _edit_struct(value, kind, edits.children[f.name])
             columns.append(value.alias(f.name))
-            fields.append(T.StructField(f.name, kind))
+            hashed = f.name in edits.children and edits.children[f.name].hashed
+            fields.append(T.StructField(f.name, kind, metadata={HEX: True} if hashed else None))
         built = F.struct(*columns)
         # The record itself is never NULL, so the scan can prune what is dropped from it.
         col, dtype = built if root else F.when(col.isNotNull(), built), T.StructType(fields)

@@ -4,6 +4,8 @@ A value is either a VARIANT or a typed column; ``dtype`` tells which (None means
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,9 @@ _FLOATING = (T.FloatType, T.DoubleType)
 _TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 _NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 
+# Marks a struct field that holds a hash, whose text needs no escapes.
+HEX = "hex"
+
 # Typed doubles of this size are written as plain decimals, so 5.0 and 5 are one value, and so are
 # 1.5E7 and 15000000.
 PLAIN_FROM, PLAIN_BELOW = 1e-18, 1e18
@@ -87,70 +92,100 @@ def _jsonable(col: Column, dtype: T.DataType) -> Column:
     return col
 
 
-def _strip_zeros(text: Column) -> Column:
-    """Drop the zeros that end a decimal fraction, and a bare point."""
-    return F.regexp_replace(text, r"\.?0+$", "")
+def json_quoted(text: Column) -> Column:
+    """A string as a quoted JSON value; the few that need escapes take the long way."""
+    plain = F.concat(F.lit('"'), text, F.lit('"'))
+    return F.when(text.rlike(r'["\\\x00-\x1f]'), F.to_json(text.cast("variant"))).otherwise(plain)
+
+
+def _key_order(name: str) -> bytes:
+    """Order of the keys in a VARIANT, by UTF-16 units."""
+    return name.encode("utf-16-be")
+
+
+def typed_json(col: Column, dtype: T.DataType) -> Column:
+    """JSON text of a typed value, equal to that of its VARIANT but put together from column texts."""
+    if isinstance(dtype, T.StructType):
+        parts: list[Column] = []
+        for i, f in enumerate(sorted(dtype.fields, key=lambda f: _key_order(f.name))):
+            name = json.dumps(f.name, ensure_ascii=False)
+            value = col.getField(f.name)
+            if f.metadata.get(HEX):
+                json_text = F.coalesce(F.concat(F.lit('"'), value, F.lit('"')), F.lit("null"))
+            else:
+                json_text = typed_json(value, f.dataType)
+            parts += [F.lit(("," if i else "{") + name + ":"), json_text]
+        text = F.concat(*parts, F.lit("}")) if parts else F.lit("{}")
+        return F.when(col.isNull(), "null").otherwise(text)
+    if isinstance(dtype, T.BooleanType) or isinstance(dtype, _INTEGRAL):
+        text = col.cast("string")
+    elif isinstance(dtype, T.StringType):
+        text = json_quoted(col)
+    elif isinstance(dtype, (*_TIMESTAMPS, T.DateType)):
+        text = F.concat(F.lit('"'), _jsonable(col, dtype), F.lit('"'))
+    elif isinstance(dtype, _FLOATING):
+        d = col.cast("double")
+        size = F.abs(d)
+        text = (
+            F.when((F.rint(d) == d) & (size < F.lit(PLAIN_BELOW)), d.cast("bigint").cast("string"))
+            .when((size >= 1e-3) & (size < 1e7), d.cast("string"))
+            .when((size >= F.lit(PLAIN_FROM)) & (size < F.lit(PLAIN_BELOW)), plain_number(d))
+            .otherwise(F.to_json(d.cast("variant")))
+        )
+    else:
+        text = F.to_json(to_variant(col, dtype))
+    return F.coalesce(text, F.lit("null"))
 
 
 def plain_number(d: Column) -> Column:
-    """A double as decimal digits, never in scientific notation."""
+    """A double as decimal digits without an exponent, as far as 38 digits can hold it."""
     s = d.cast("string")
-    sign = F.when(s.startswith("-"), "-").otherwise("")
-    mantissa = F.regexp_replace(F.substring_index(s, "E", 1), r"[-.]", "")
-    exponent = F.substring_index(s, "E", -1).cast("int")
-    whole = F.rpad(F.substring(mantissa, F.lit(1), exponent + 1), exponent + 1, F.lit("0"))
-    fraction = F.regexp_replace(F.substring(mantissa, exponent + 2, F.length(mantissa)), "0+$", "")
-    large = F.concat(
-        sign, whole, F.when(fraction == "", F.lit("")).otherwise(F.concat(F.lit("."), fraction))
-    )
-    small = F.concat(
-        sign,
-        F.lit("0."),
-        F.repeat(F.lit("0"), -exponent - 1),
-        F.regexp_replace(mantissa, "0+$", ""),
-    )
-    return (
-        F.when(s.contains("E-"), small)
-        .when(s.contains("E"), large)
-        .otherwise(F.regexp_replace(s, r"\.0$", ""))
+    scaled = F.when(
+        F.abs(d) < 1, s.try_cast("decimal(38,37)").cast("string")
+    ).otherwise(
+        F.coalesce(
+            s.try_cast("decimal(38,18)").cast("string"), s.try_cast("decimal(38,0)").cast("string")
+        )
     )
+    exact = F.when(s.contains("E"), F.coalesce(scaled, s)).otherwise(s)
+    return F.regexp_replace(exact, r"\.0*$|(\.[0-9]*?[1-9])0+$", "$1")
 
 
 def general_number(d: Column) -> Column:
     """A double in general format: shortest digits, an exponent outside [1e-4, 1e6)."""
-    s = d.cast("string")
-    size = F.abs(d)
-    mantissa = F.substring_index(s, "E", 1)
-    exponent = F.substring_index(s, "E", -1)
-    seven = F.regexp_replace(s, r"^(-?[0-9])([0-9]{6})\.([0-9]+)$", "$1.$2$3")
-    sci = F.concat(
-        _strip_zeros(mantissa),
-        F.when(exponent.startswith("-"), "e-").otherwise("e+"),
-        F.lpad(F.regexp_replace(exponent, "-", ""), F.greatest(F.lit(2), F.length(exponent) - F.when(
-            exponent.startswith("-"), 1).otherwise(0)), F.lit("0")),
-    )
-    return (
-        F.when(F.isnan(d), "NaN")
-        .when(size == float("inf"), F.when(d > 0, "+Inf").otherwise("-Inf"))
-        .when((size == 0) | ((size >= 1e-3) & (size < 1e6)), F.regexp_replace(s, r"\.0$", ""))
-        .when((size >= 1e-4) & (size < 1e-3), plain_number(d))
-        .when((size >= 1e6) & (size < 1e7), F.concat(_strip_zeros(seven), F.lit("e+06")))
-        .otherwise(sci)
-    )
+    text = d.cast("string")
+    for pattern, replacement in (
+        # 1234567.5 and 1.5E-4 are on the other side of the bounds of the plain form.
+        (r"^(-?[0-9])([0-9]{6})\.([0-9]+)$", "$1.$2$3E6"),
+        (r"^(-?)([0-9])\.([0-9]*?)0*E-4$", "$10.000$2$3"),
+        (r"E([0-9])", "e+$1"),
+        (r"E-", "e-"),
+        (r"([+-])([0-9])$", "$10$2"),
+        (r"\.?0+e", "e"),
+        (r"\.0$", ""),
+    ):
+        text = F.regexp_replace(text, pattern, replacement)
+    return text
 
 
 def value_text(v: Column, dtype: T.DataType | None = None) -> Column:
     """The text a sensitive value is hashed from; objects and arrays use their canonical JSON."""
     if is_variant(dtype):
+        text = v.cast("string")
         schema = F.schema_of_variant(v)
         number = schema.isin("BIGINT", "DOUBLE", "FLOAT") | schema.startswith("DECIMAL")
         nested = schema.startswith("OBJECT<") | schema.startswith("ARRAY<")
         return (
-            F.when(number, general_number(v.try_cast("double")))
+            # Texts that are the same whatever the kind of the value.
+            F.when(text.rlike("^-?[0-9]{1,6}$") | ~text.rlike(r"^[-0-9\[{]"), text)
+            .when(number, general_number(v.try_cast("double")))
             .when(nested, canonical_text(v))
-            .otherwise(v.cast("string"))
+            .otherwise(text)
         )
-    if isinstance(dtype, (*_INTEGRAL, *_FLOATING, T.DecimalType)):
+    if isinstance(dtype, _INTEGRAL):
+        small = F.abs(v.cast("bigint")) < 1_000_000
+        return F.when(small, v.cast("string")).otherwise(general_number(v.cast("double")))
+    if isinstance(dtype, (*_FLOATING, T.DecimalType)):
         return general_number(v.cast("double"))
     if isinstance(dtype, _NESTED):
         return canonical_text(to_variant(v, dtype))

@@ -1,31 +1,31 @@
 """Schema discovery: typed paths of every record, merged to one catalog row per path.
 
-All levels of a record are listed in one pass by nested lambdas, so the source is read once whatever
-its depth. The merge is a two-phase hash aggregation whose buffers are plain numbers: the first type
-of a path is the smallest ``ord`` with a type code in its low digits."""
+Records are opened level by level with variant_explode in one pass over the source, whatever their
+depth. Aggregation runs on the innermost values alone; the objects around them follow from their
+paths afterwards, on one row per path. Its buffers are plain numbers, so it is a two-phase hash
+aggregation: the first type of a path is the smallest ``ord`` with a type code in its low digits."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
 from tidemark.functions import temporal as D
-from tidemark.functions.values import MAP
 
-# Object nesting listed at first; deeper records raise or are listed again, never cut short.
+# Object nesting opened at first; deeper records raise or are opened again, never cut short.
 DEPTH = 4
 
 # Type codes, all below CODES.
 CODES = 8
-BOOLEAN, NUMBER, STRING, DATE_TIME, DATE, ARRAY_, OBJECT, DEEPER = range(8)
+BOOLEAN, NUMBER, STRING, DATE_TIME, DATE, ARRAY, OBJECT, DEEPER = range(8)
 _TYPE_OF = {
     BOOLEAN: "boolean", NUMBER: "number", STRING: "string", DATE_TIME: "string", DATE: "string",
-    ARRAY_: "array", OBJECT: "object",
+    ARRAY: "array", OBJECT: "object",
 }
 
-PATHS = "array<struct<path:array<string>,code:int>>"
-
 
 def _type_name(code: Column) -> Column:
     case = None
@@ -45,116 +45,127 @@ def _code_of(type_: Column, format_: Column) -> Column:
         .when(type_ == "string", STRING)
         .when(type_ == "number", NUMBER)
         .when(type_ == "boolean", BOOLEAN)
-        .when(type_ == "array", ARRAY_)
+        .when(type_ == "array", ARRAY)
         .when(type_ == "object", OBJECT)
     )
 
 
-def _code(v: Column, opened: Column, formats: bool = True) -> Column:
-    """Type code of a VARIANT; NULL for null. Arrays are told by their first item, not read whole."""
-    kind = F.schema_of_variant(v)
-    text = F.try_variant_get(v, F.lit("$"), "string")
-    string = (
-        F.when(D.is_date_time(text), DATE_TIME).when(D.is_date(text), DATE).otherwise(STRING)
-        if formats
-        else F.lit(STRING)
-    )
-    return (
-        F.when(opened.isNotNull(), OBJECT)
-        .when(F.try_variant_get(v, F.lit("$[0]"), "variant").isNotNull(), ARRAY_)
-        .when(kind == "STRING", string)
+def _is_object(kind: Column) -> Column:
+    return kind.startswith("OBJECT<")
+
+
+def _leaves(df: DataFrame, depth: int) -> DataFrame:
+    """(stream, ord, k1.., pos1.., code): the innermost values of each record by their keys.
+
+    Keys are NULL past a value's own level. A null value stands for the object that holds it, and
+    values of a record that is no object or has no members are left out."""
+    spark = df.sparkSession
+    rec = F.col("rec")
+    rows = df.select("stream", "ord", rec.alias("v"), F.schema_of_variant(rec).alias("kind"))
+    keys: list[str] = []
+    for level in range(1, depth + 1):
+        opened = F.when(_is_object(F.col("kind").outer()), F.col("v").outer())
+        members = spark.tvf.variant_explode_outer(opened)
+        k, pos, v, kind = F.col("key"), F.col("pos"), F.col("value"), F.col("kind")
+        kept = ["stream", "ord", *keys, *[f"pos{i}" for i in range(1, level)]]
+        rows = rows.lateralJoin(members).select(
+            *kept,
+            k.alias(f"k{level}"),
+            pos.alias(f"pos{level}"),
+            F.when(k.isNotNull(), v).otherwise(F.col("v")).alias("v"),
+            F.when(k.isNotNull(), F.schema_of_variant(v)).otherwise(kind).alias("kind"),
+        )
+        if level == 1:
+            rows = rows.filter(_in_source(F.col("k1")))
+        keys.append(f"k{level}")
+    kind, text = F.col("kind"), F.col("text")
+    rows = rows.withColumn("text", F.when(kind == "STRING", F.col("v").try_cast("string")))
+    code = (
+        F.when(kind == "STRING", F.when(D.is_date_time(text), DATE_TIME)
+               .when(D.is_date(text), DATE).otherwise(STRING))
         .when(kind == "BOOLEAN", BOOLEAN)
-        .when(kind.startswith("ARRAY<"), ARRAY_)
-        .when(kind != "VOID", NUMBER)
+        .when((kind == "OBJECT<>") | (kind == "VOID"), OBJECT)
+        .when(_is_object(kind), DEEPER)
+        .when(kind.startswith("ARRAY<"), ARRAY)
+        .otherwise(NUMBER)
     )
-
-
-def _list_paths(opened: Column, prefix: Column, depth: int) -> Column:
-    """(path, code) of every value below an opened object; the code is NULL for null.
-
-    Objects at the last depth that have members are listed once more, as DEEPER."""
-
-    def listed(e: Column) -> Column:
-        own = F.array(
-            F.struct(e["path"].alias("path"), _code(e["value"], e["opened"]).alias("code"))
+    held = []
+    for level in range(1, depth + 1):
+        last = F.col(f"k{level + 1}").isNull() if level < depth else F.lit(True)
+        held.append(
+            F.when(~((kind == "VOID") & last), F.col(f"k{level}")).alias(f"k{level}")
         )
-        if depth > 1:
-            below = _list_paths(e["opened"], e["path"], depth - 1)
-        else:
-            below = F.when(
-                F.size(e["opened"]) > 0,
-                F.array(F.struct(e["path"].alias("path"), F.lit(DEEPER).alias("code"))),
-            )
-        return F.concat(own, F.coalesce(below, F.array().cast(PATHS)))
-
-    entries = F.transform(
-        F.map_entries(opened),
-        lambda e: F.struct(
-            F.concat(prefix, F.array(e["key"])).alias("path"),
-            e["value"].alias("value"),
-            e["value"].try_cast(MAP).alias("opened"),
-        ),
+    positions = [f"pos{i}" for i in range(1, depth + 1)]
+    return rows.select("stream", "ord", *held, *positions, code.alias("code")).filter(
+        "k1 IS NOT NULL"
     )
-    return F.flatten(F.transform(entries, listed))
 
 
-def _coded_paths(df: DataFrame, depth: int) -> DataFrame:
-    """(stream, ord, path, code), one row per non-null value of each record.
+def _in_source(key: Column) -> Column:
+    """Top-level keys that belong to the source record rather than to its metadata."""
+    return key.isNotNull() & ~key.isin(*K.META_FIELDS)
+
 
-    A natural key column adds its own path; it keeps no format and counts as a string when null."""
-    nothing = F.array().cast(PATHS)
-    rec = F.map_filter(F.col("rec").try_cast(MAP), lambda k, _: ~k.isin(*K.META_FIELDS))
-    paths = _list_paths(rec, F.array().cast("array<string>"), depth)
-    if K.NATURAL_KEY in df.columns:
-        nk = F.col(K.NATURAL_KEY)
-        opened = nk.try_cast(MAP)
-        at = F.array(F.lit(K.NATURAL_KEY))
-        code = F.coalesce(_code(nk, opened, formats=False), F.lit(STRING))
-        own = F.array(F.struct(at.alias("path"), code.alias("code")))
-        below = _list_paths(opened, at, depth)
-        paths = F.concat(F.coalesce(paths, nothing), own, F.coalesce(below, nothing))
-    exploded = df.select("stream", "ord", F.explode(paths).alias("p"))
-    return exploded.select("stream", "ord", "p.path", "p.code").filter("code IS NOT NULL")
+def _too_deep(depth: int) -> Column:
+    return F.raise_error(F.lit(f"records are nested deeper than {depth}")).cast("string")
 
 
 def infer_paths(df: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(stream, ord, path, type, format) of every non-null value in ``rec``; arrays are not entered."""
-    code = F.col("code")
-    return _coded_paths(df, depth).select(
-        "stream", "ord", "path",
+    """(stream, ord, path, type, format) of every non-null value in ``rec``; arrays are not entered.
+
+    An object is listed by the first of its innermost values, hence once."""
+    leaves = _leaves(df, depth)
+    entries = []
+    for level in range(1, depth + 1):
+        key = F.col(f"k{level}")
+        path = F.array(*[F.col(f"k{i}") for i in range(1, level + 1)])
+        own = F.col(f"k{level + 1}").isNull() if level < depth else F.lit(True)
+        first = F.lit(True)
+        for i in range(level + 1, depth + 1):
+            first = first & (F.coalesce(F.col(f"pos{i}"), F.lit(0)) == 0)
+        code = F.when(own, F.col("code")).otherwise(OBJECT)
+        entries.append(
+            F.when(key.isNotNull() & first, F.struct(path.alias("path"), code.alias("code")))
+        )
+    listed = leaves.select("stream", "ord", F.explode(F.array(*entries)).alias("p")).filter(
+        "p IS NOT NULL"
+    )
+    code = F.col("p.code")
+    return listed.select(
+        "stream", "ord", "p.path",
         F.when(code == DEEPER, _too_deep(depth)).otherwise(_type_name(code)).alias("type"),
         _format_name(code).alias("format"),
     )
 
 
-def _too_deep(depth: int) -> Column:
-    return F.raise_error(F.lit(f"records are nested deeper than {depth}")).cast("string")
+def _first(ord_: Column, code: Column) -> Column:
+    return ord_ * CODES + code
 
 
-def _first_types(paths: DataFrame) -> DataFrame:
-    """The first type and format of each path, and objects over anything else."""
-    if "code" not in paths.columns:
-        paths = paths.withColumn("code", _code_of(F.col("type"), F.col("format")))
-    first = F.pmod(F.col("first"), F.lit(CODES))
-    return (
-        paths.groupBy("stream", "path")
-        .agg(
-            F.min(F.col("ord") * CODES + F.col("code")).alias("first"),
-            F.max(F.col("code") == OBJECT).alias("object"),
-            F.max(F.col("code") == DEEPER).alias("deeper"),
-        )
-        .select(
-            "stream",
-            "path",
-            F.when(F.col("object"), "object").otherwise(_type_name(first)).alias("type"),
-            (F.col("path") != F.array(F.lit(K.NATURAL_KEY))).alias("nullable"),
-            _format_name(first).alias("format"),
-            F.lit(None).cast("int").alias("min_length"),
-            F.col("deeper"),
-        )
+def _named(types: DataFrame) -> DataFrame:
+    """Catalog columns from (stream, path, first, object, deeper)."""
+    code = F.pmod(F.col("first"), F.lit(CODES))
+    return types.select(
+        "stream",
+        "path",
+        F.when(F.col("object"), "object").otherwise(_type_name(code)).alias("type"),
+        (F.col("path") != F.array(F.lit(K.NATURAL_KEY))).alias("nullable"),
+        _format_name(code).alias("format"),
+        F.lit(None).cast("int").alias("min_length"),
+        "deeper",
+    )
+
+
+def _fold(rows: DataFrame, *by: Column | str) -> DataFrame:
+    return rows.groupBy(*by).agg(
+        F.min("first").alias("first"), F.max("object").alias("object"), F.max("deeper").alias("deeper")
     )
 
 
+def _flags(code: Column) -> list[Column]:
+    return [(code == OBJECT).alias("object"), (code == DEEPER).alias("deeper")]
+
+
 def _merge_existing(existing: DataFrame, found: DataFrame) -> DataFrame:
     """Known paths keep their settings, but an object found in the records overrides their type.
 
@@ -179,9 +190,11 @@ def _merge_existing(existing: DataFrame, found: DataFrame) -> DataFrame:
 def merge_paths(paths: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One (stream, path, type, nullable, format, min_length, keywords) row per path.
 
-    ``paths`` holds (stream, ord, path, type, format); the type of the smallest ``ord`` wins, and rows
-    of an existing catalog come before every record."""
-    return _with_existing(_first_types(paths).drop("deeper"), existing)
+    ``paths`` holds (stream, ord, path, type, format). The type and format of the smallest ``ord``
+    win, but an object overrides a scalar or array; rows of an existing catalog come first of all."""
+    code = _code_of(F.col("type"), F.col("format"))
+    coded = paths.select("stream", "path", _first(F.col("ord"), code).alias("first"), *_flags(code))
+    return _with_existing(_named(_fold(coded, "stream", "path")).drop("deeper"), existing)
 
 
 def _with_existing(found: DataFrame, existing: DataFrame | None) -> DataFrame:
@@ -216,9 +229,63 @@ def _add_meta_rows(found: DataFrame) -> DataFrame:
     return found.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def found_types(df: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """First types of transformed records, metadata included; ``deeper`` marks objects not entered."""
-    return _add_meta_rows(_first_types(_coded_paths(df, depth)))
+def found_types(
+    df: DataFrame, key_path: Sequence[str] | None = None, depth: int = DEPTH
+) -> DataFrame:
+    """First types of transformed records; ``deeper`` marks objects that were not entered.
+
+    With a ``key_path`` the metadata columns are added. A natural key has the types of its path, no
+    format of its own, and counts as a string where the path was dropped."""
+    keys = [f"k{i}" for i in range(1, depth + 1)]
+    code = F.col("code")
+    leaves = _leaves(df, depth).select(
+        "stream", *keys, _first(F.col("ord"), code).alias("first"), *_flags(code)
+    )
+    leaves = _fold(leaves, "stream", *keys)
+    # From here on one row per distinct path: add the objects around each value.
+    around = F.floor(F.col("first") / CODES).cast("bigint") * CODES + OBJECT
+    entries = []
+    for level in range(1, depth + 1):
+        own = F.col(f"k{level + 1}").isNull() if level < depth else F.lit(True)
+        entry = F.struct(
+            F.array(*[F.col(k) for k in keys[:level]]).alias("path"),
+            F.when(own, F.col("first")).otherwise(around).alias("first"),
+            F.when(own, F.col("object") | F.col("deeper")).otherwise(True).alias("object"),
+            F.when(own, F.col("deeper")).otherwise(False).alias("deeper"),
+        )
+        entries.append(F.when(F.col(keys[level - 1]).isNotNull(), entry))
+    paths = leaves.select("stream", F.explode(F.array_compact(F.array(*entries))).alias("p"))
+    paths = paths.select("stream", "p.*")
+    if key_path is not None:
+        paths = _add_natural_key(paths, tuple(key_path))
+    types = _named(_fold(paths, "stream", "path"))
+    return types if key_path is None else _add_meta_rows(types)
+
+
+def _add_natural_key(paths: DataFrame, key_path: tuple[str, ...]) -> DataFrame:
+    """Repeat what lies at and below the key's path under the natural key.
+
+    Each path also proposes a string at the very end of the order, which stays only where the key's
+    own path does not exist."""
+    n = len(key_path)
+    at = F.array(*[F.lit(k) for k in key_path])
+    under = F.slice("path", F.lit(1), F.lit(n)) == at
+    below = F.slice("path", F.lit(n + 1), F.greatest(F.size("path") - n, F.lit(0)))
+    code = F.pmod(F.col("first"), F.lit(CODES))
+    # The key itself carries no date format.
+    plain = F.when(
+        (F.size("path") == n) & code.isin(DATE, DATE_TIME), F.col("first") - code + STRING
+    ).otherwise(F.col("first"))
+    natural = F.array(F.lit(K.NATURAL_KEY))
+    row = lambda path, first, obj, deeper: F.struct(
+        path.alias("path"), first.alias("first"), obj.alias("object"), deeper.alias("deeper")
+    )
+    same = row(F.col("path"), F.col("first"), F.col("object"), F.col("deeper"))
+    last = F.lit((2**63 - 1) // CODES * CODES - CODES + STRING)
+    absent = row(natural, last, F.lit(False), F.lit(False))
+    copy = row(F.concat(natural, below), plain, F.col("object"), F.col("deeper"))
+    rows = F.when(under, F.array(same, absent, copy)).otherwise(F.array(same, absent))
+    return paths.select("stream", F.explode(rows).alias("p")).select("stream", "p.*")
 
 
 def merge_found(found: DataFrame, existing: DataFrame | None, discovered_at: str) -> DataFrame:
@@ -229,11 +296,15 @@ def merge_found(found: DataFrame, existing: DataFrame | None, discovered_at: str
 
 
 def discover(
-    df: DataFrame, existing: DataFrame | None, discovered_at: str, depth: int = DEPTH
+    df: DataFrame,
+    existing: DataFrame | None,
+    discovered_at: str,
+    key_path: Sequence[str] | None = None,
+    depth: int = DEPTH,
 ) -> DataFrame:
     """Catalog rows of transformed records, merged into the existing catalog.
 
     A record nested deeper than ``depth`` fails the job; run_discover goes deeper by itself."""
-    found = found_types(df, depth)
+    found = found_types(df, key_path, depth)
     type_ = F.when(F.col("deeper"), _too_deep(depth)).otherwise(F.col("type"))
     return merge_found(found.withColumn("type", type_), existing, discovered_at)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
+from tidemark.functions.values import json_quoted
 
 
 def record_messages(df: DataFrame) -> DataFrame:
@@ -15,13 +16,13 @@ def record_messages(df: DataFrame) -> DataFrame:
     )
     message = F.concat(
         F.lit('{"type":"RECORD","record":'), record,
-        F.lit(',"stream":'), K.json_string(F.col("stream")), F.lit("}"),
+        F.lit(',"stream":'), json_quoted(F.col("stream")), F.lit("}"),
     )
     return df.select("stream", message.alias("message"))
 
 
 def _member(name: Column, json: Column) -> Column:
-    return F.concat(K.json_string(name), F.lit(":"), json)
+    return F.concat(json_quoted(name), F.lit(":"), json)
 
 
 def _types_json() -> Column:
@@ -30,7 +31,7 @@ def _types_json() -> Column:
         F.col("nullable") & ~F.array_contains(names, "null"), F.array(F.lit("null"))
     ).otherwise(F.array().cast("array<string>"))
     names = F.concat(names, null)
-    return F.when(F.size(names) == 1, K.json_string(names[0])).otherwise(
+    return F.when(F.size(names) == 1, json_quoted(names[0])).otherwise(
         F.to_json(names)
     )
 
@@ -42,7 +43,7 @@ def schema_json(catalog: DataFrame) -> DataFrame:
     own = F.array_compact(
         F.array(
             F.when(F.col("type").isNotNull(), F.concat(F.lit('"type":'), _types_json())),
-            F.when(F.col("format").isNotNull(), _member(F.lit("format"), K.json_string(F.col("format")))),
+            F.when(F.col("format").isNotNull(), _member(F.lit("format"), json_quoted(F.col("format")))),
             F.when(
                 F.col("min_length").isNotNull(),
                 _member(F.lit("minLength"), F.col("min_length").cast("string")),
@@ -124,7 +125,7 @@ def schema_messages(catalog: DataFrame) -> DataFrame:
     """(stream, message): one SCHEMA message per stream."""
     keys = ",".join(f'"{k}"' for k in K.KEY_PROPERTIES)
     message = F.concat(
-        F.lit('{"type":"SCHEMA","stream":'), K.json_string(F.col("stream")),
+        F.lit('{"type":"SCHEMA","stream":'), json_quoted(F.col("stream")),
         F.lit(',"schema":'), F.col("schema"),
         F.lit(f',"key_properties":[{keys}]}}'),
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
 from tidemark.operators.bookmark import PREVIOUS, is_changed, join_bookmark
-from tidemark.operators.validate import compile_rules, errors, is_valid
+from tidemark.operators.validate import compile_checks
 
 TRANSFORM_FAILED = "transform_failed"
 FILTERED = "filtered_bookmark"
@@ -30,7 +30,6 @@ def route_outcomes(
     ``bookmark=None`` means that nothing was seen yet. With a lookup only the text of a record is
     shuffled, and only changed records are parsed again; without one nothing is shuffled at all."""
     ok = F.col("key_ok")
-    nk, rec = F.col(K.NATURAL_KEY), F.col("rec")
     if bookmark is None or refresh:
         routed = df.withColumn("changed", ok)
     else:
@@ -42,8 +41,9 @@ def route_outcomes(
             F.when(F.col("changed"), F.parse_json("text")).alias("rec"),
             F.when(F.col("changed"), F.parse_json("nk_json")).alias(K.NATURAL_KEY),
         )
-    valid = is_valid(compile_rules(routed, schema))
-    routed = routed.withColumn(
+    checks = compile_checks(routed, schema)
+    valid = checks.is_valid()
+    routed = checks.df.withColumn(
         "outcome",
         F.when(~ok, TRANSFORM_FAILED)
         .when(~F.col("changed"), FILTERED)
@@ -64,13 +64,13 @@ def rejects(outcomes: DataFrame, schema: Mapping) -> DataFrame:
         F.parse_json("text").alias("rec"),
         F.parse_json(F.coalesce("nk_json", F.lit("null"))).alias(K.NATURAL_KEY),
     )
-    messages = errors(compile_rules(bad, schema))
-    return bad.select(
+    checks = compile_checks(bad, schema)
+    return checks.df.select(
         "stream",
         "outcome",
         "key",
         F.col("text").alias("raw"),
-        F.when(F.col("outcome") == INVALID, messages)
+        F.when(F.col("outcome") == INVALID, checks.errors())
         .otherwise(F.array(F.lit("unique key is missing or empty")))
         .alias("errors"),
     )

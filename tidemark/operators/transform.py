@@ -112,26 +112,29 @@ def _keyed_variant(df: DataFrame, cfg: StreamConfig) -> DataFrame:
 
 
 def _keyed_struct(df: DataFrame, cfg: StreamConfig) -> DataFrame:
-    """Typed records: plain columns up to the one variant, all inside code generation."""
+    """Typed records: text and keys come from plain columns; the variant is built only if it is used."""
     dtype = _rec_type(df)
     edited, edited_type = P.edit_paths(
         F.col("rec"), cfg.drop_field_paths, cfg.sensitive_field_paths, dtype
     )
+    ok = key_ok(df, cfg.unique_key_path)
+    df = df.select("ord", ok.alias("key_ok"), edited.alias("edited"))
+    edited = F.col("edited")
     nk = P.get_path(edited, cfg.unique_key_path, edited_type)
     nk_type = P.type_at(edited_type, cfg.unique_key_path)
     df = df.select(
         "ord",
-        key_ok(df, cfg.unique_key_path).alias("key_ok"),
+        "key_ok",
         V.to_variant(edited, edited_type).alias("rec"),
+        V.typed_json(edited, edited_type).alias("text"),
         V.key_string(nk, nk_type).alias("key"),
         (nk if nk_type is None else V.to_variant(nk, nk_type)).alias("nk"),
+        V.typed_json(nk, nk_type or T.VariantType()).alias("nk_json"),
     )
-    df = df.select("*", F.to_json("rec").alias("text"), F.to_json("nk").alias("nk_text"))
     named_like_meta = any(n.startswith("_sdc_") for n in dtype.names)
     clean = K.without_meta(F.col("rec"), F.col("text")) if named_like_meta else F.col("text")
     return df.select(
-        "ord", "key_ok", "rec", "key", "nk", "text", clean.alias("clean_text"),
-        F.coalesce("nk_text", F.lit("null")).alias("nk_json"),
+        "ord", "key_ok", "rec", "key", "nk", "text", "nk_json", clean.alias("clean_text")
     )
 
 

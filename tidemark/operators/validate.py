@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import temporal as D
 from tidemark.functions.keys import META_FIELDS, NATURAL_KEY
-from tidemark.functions.paths import get_raw
 from tidemark.functions.values import ARRAY, MAP, canonical_text
 
 # JSON Schema keywords that only describe.
@@ -30,73 +30,95 @@ class Rule:
     message: str
 
 
-def _is_type(v: Column, kind: Column, name: str) -> Column:
+@dataclass(frozen=True)
+class Value:
+    """A VARIANT with its kind (the text of schema_of_variant) and its text as a string.
+
+    The parts may be columns computed beforehand, so that many rules share them."""
+
+    v: Column
+    kind: Column
+    text: Column
+
+    @classmethod
+    def of(cls, v: Column) -> Value:
+        return cls(v, F.schema_of_variant(v), v.cast("string"))
+
+
+def _is_type(x: Value, name: str) -> Column:
     if name == "null":
-        return kind == "VOID"
+        return x.kind == "VOID"
     if name == "boolean":
-        return kind == "BOOLEAN"
+        return x.kind == "BOOLEAN"
     if name == "string":
-        return kind == "STRING"
+        return x.kind == "STRING"
     if name == "object":
-        return kind.startswith("OBJECT<")
+        return x.kind.startswith("OBJECT<")
     if name == "array":
-        return kind.startswith("ARRAY<")
-    number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL(")
+        return x.kind.startswith("ARRAY<")
+    number = x.kind.isin("BIGINT", "DOUBLE", "FLOAT") | x.kind.startswith("DECIMAL(")
     if name == "number":
         return number
-    d = v.try_cast("double")
-    return number & ((kind == "BIGINT") | (F.rint(d) == d))
+    d = x.v.try_cast("double")
+    return number & ((x.kind == "BIGINT") | (F.rint(d) == d))
 
 
-def check_type(v: Column, types: str | list[str]) -> Column:
-    """True where a present VARIANT has one of the types; NULL where it is absent."""
+def _has_type(x: Value, types: str | list[str]) -> Column:
     names = [types] if isinstance(types, str) else list(types)
     unknown = [n for n in names if n not in _TYPES]
-    if unknown:
-        raise ValueError(f"unknown type in schema: {unknown}")
-    kind = F.schema_of_variant(v)
-    ok = _is_type(v, kind, names[0])
+    if unknown or not names:
+        raise ValueError(f"unknown type in schema: {types}")
+    ok = _is_type(x, names[0])
     for name in names[1:]:
-        ok = ok | _is_type(v, kind, name)
+        ok = ok | _is_type(x, name)
     return ok
 
 
-def check_min_length(v: Column, n: int) -> Column:
-    """True unless the value is a string of fewer than ``n`` characters."""
-    return (F.schema_of_variant(v) != "STRING") | (F.char_length(v.cast("string")) >= n)
+def _long_enough(x: Value, n: int) -> Column:
+    return (x.kind != "STRING") | (F.char_length(x.text) >= n)
 
 
-def check_format(v: Column, fmt: str) -> Column:
-    """True unless the value is a string that is not of the format; formats are strict."""
-    text = v.cast("string")
+def _has_format(x: Value, fmt: str) -> Column:
     if fmt == "date-time":
-        ok = D.is_date_time(text)
+        ok = D.is_date_time(x.text)
     elif fmt == "date":
-        ok = D.is_date(text)
+        ok = D.is_date(x.text)
     else:
         raise ValueError(f"unsupported format in schema: {fmt!r}")
-    return (F.schema_of_variant(v) != "STRING") | ok
+    return (x.kind != "STRING") | ok
+
+
+def check_type(v: Column, types: str | list[str]) -> Column:
+    """True where a present VARIANT has one of the types; NULL where it is absent."""
+    return _has_type(Value.of(v), types)
+
+
+def check_min_length(v: Column, n: int) -> Column:
+    """True unless the value is a string of fewer than ``n`` characters."""
+    return _long_enough(Value.of(v), n)
+
+
+def check_format(v: Column, fmt: str) -> Column:
+    """True unless the value is a string that is not of the format; formats are strict."""
+    return _has_format(Value.of(v), fmt)
 
 
 def _dumps(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
-def _equals_any(v: Column, values: list) -> Column:
-    numbers = [x for x in values if isinstance(x, (int, float)) and not isinstance(x, bool)]
-    texts = [_dumps(x) for x in values if not (isinstance(x, (int, float)) and not isinstance(x, bool))]
-    ok = canonical_text(v).isin(*texts) if texts else F.lit(False)
+def _equals_any(x: Value, values: list) -> Column:
+    is_number = lambda c: isinstance(c, (int, float)) and not isinstance(c, bool)
+    numbers = [float(c) for c in values if is_number(c)]
+    texts = [_dumps(c) for c in values if not is_number(c)]
+    ok = canonical_text(x.v).isin(*texts) if texts else F.lit(False)
     if numbers:
-        ok = ok | (check_type(v, "number") & v.try_cast("double").isin(*[float(x) for x in numbers]))
+        ok = ok | (_has_type(x, "number") & x.v.try_cast("double").isin(*numbers))
     return ok
 
 
-def _decimal(v: Column) -> Column:
-    return v.try_cast("decimal(38,18)")
-
-
-def _number_rule(v: Column, keyword: str, bound) -> Column:
-    d = v.try_cast("double")
+def _number_rule(x: Value, keyword: str, bound) -> Column:
+    d = x.v.try_cast("double")
     if keyword == "minimum":
         broken = d < float(bound)
     elif keyword == "maximum":
@@ -106,8 +128,9 @@ def _number_rule(v: Column, keyword: str, bound) -> Column:
     elif keyword == "exclusiveMaximum":
         broken = d >= float(bound)
     else:
-        broken = _decimal(v) % F.lit(str(bound)).cast("decimal(38,18)") != 0
-    return check_type(v, "number") & broken
+        exact = x.v.try_cast("decimal(38,18)")
+        broken = exact % F.lit(str(bound)).cast("decimal(38,18)") != 0
+    return _has_type(x, "number") & broken
 
 
 _NUMBER_KEYWORDS = ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf")
@@ -117,131 +140,164 @@ _KNOWN = {
 }
 
 
-def _rules(
-    v: Column, schema: Mapping, label: str, child: Callable[[str], Column], names: Column
-) -> list[Rule]:
-    """Rules of one schema node. ``child`` reads a property, ``names`` lists the keys present."""
+def _check_keywords(schema: Mapping, label: str) -> None:
     unknown = set(schema) - _KNOWN - _ANNOTATIONS
     if unknown:
         raise ValueError(f"unsupported keyword at {label}: {sorted(unknown)}")
+    if "items" in schema and not isinstance(schema["items"], Mapping):
+        raise ValueError(f"unsupported items list at {label}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"unsupported additionalProperties at {label}")
+
+
+def _own_rules(
+    x: Value, schema: Mapping, label: str, child: Callable[[str], Column], names: Column
+) -> list[Rule]:
+    """Rules of one schema node without those of its properties.
+
+    ``child`` reads a property as VARIANT, ``names`` lists the keys an object holds."""
+    _check_keywords(schema, label)
     rules: list[Rule] = []
     add = lambda bad, message: rules.append(Rule(bad, f"{label}: {message}"))
 
     if "type" in schema:
         expected = schema["type"]
         shown = expected if isinstance(expected, str) else "|".join(expected)
-        add(~check_type(v, expected), f"type is not {shown}")
+        add(~_has_type(x, expected), f"type is not {shown}")
     if "minLength" in schema:
-        add(~check_min_length(v, schema["minLength"]), f"shorter than {schema['minLength']}")
+        add(~_long_enough(x, schema["minLength"]), f"shorter than {schema['minLength']}")
     if "maxLength" in schema:
-        string = check_type(v, "string")
-        add(string & (F.char_length(v.cast("string")) > schema["maxLength"]),
-            f"longer than {schema['maxLength']}")
+        long = F.char_length(x.text) > schema["maxLength"]
+        add(_has_type(x, "string") & long, f"longer than {schema['maxLength']}")
     if "pattern" in schema:
-        add(check_type(v, "string") & ~v.cast("string").rlike(schema["pattern"]),
+        add(_has_type(x, "string") & ~x.text.rlike(schema["pattern"]),
             f"does not match {schema['pattern']}")
     if "format" in schema:
-        add(~check_format(v, schema["format"]), f"is not a {schema['format']}")
+        add(~_has_format(x, schema["format"]), f"is not a {schema['format']}")
     if "enum" in schema:
-        add(v.isNotNull() & ~_equals_any(v, schema["enum"]), "is not one of the allowed values")
+        add(x.v.isNotNull() & ~_equals_any(x, schema["enum"]), "is not one of the allowed values")
     if "const" in schema:
-        add(v.isNotNull() & ~_equals_any(v, [schema["const"]]), "is not the constant")
+        add(x.v.isNotNull() & ~_equals_any(x, [schema["const"]]), "is not the constant")
     for keyword in _NUMBER_KEYWORDS:
         if keyword in schema:
-            add(_number_rule(v, keyword, schema[keyword]), f"breaks {keyword} {schema[keyword]}")
+            add(_number_rule(x, keyword, schema[keyword]), f"breaks {keyword} {schema[keyword]}")
 
-    array = v.try_cast(ARRAY)
+    array = x.v.try_cast(ARRAY)
     if "minItems" in schema:
         add(F.size(array) < schema["minItems"], f"fewer than {schema['minItems']} items")
     if "maxItems" in schema:
         add(F.size(array) > schema["maxItems"], f"more than {schema['maxItems']} items")
     if "items" in schema:
-        if not isinstance(schema["items"], Mapping):
-            raise ValueError(f"unsupported items list at {label}")
-        add(~F.forall(array, lambda x: ~_any_bad(x, schema["items"])), "an item is invalid")
+        add(~F.forall(array, lambda i: ~_any_bad(i, schema["items"])), "an item is invalid")
 
     for name in schema.get("required", ()):
         add(names.isNotNull() & child(name).isNull(), f"{name} is required")
-    extra = schema.get("additionalProperties", True)
-    if extra is False:
+    if schema.get("additionalProperties", True) is False:
         allowed = F.array(*[F.lit(n) for n in schema.get("properties", {})]).cast("array<string>")
         add(F.size(F.array_except(names, allowed)) > 0, "has additional properties")
-    elif extra is not True:
-        raise ValueError(f"unsupported additionalProperties at {label}")
-
-    for name, node in schema.get("properties", {}).items():
-        rules += _node_rules(child(name), node, name if label == "(root)" else f"{label}.{name}")
     return rules
 
 
-def _node_rules(v: Column, schema: Mapping, label: str) -> list[Rule]:
-    return _rules(v, schema, label, lambda n: get_raw(v, [n]), F.map_keys(v.try_cast(MAP)))
+def _item_rules(v: Column, schema: Mapping, label: str) -> list[Rule]:
+    """Rules of a value met inside an array, properties included."""
+    opened = v.try_cast(MAP)
+    child = lambda name: opened.getItem(name)
+    rules = _own_rules(Value.of(v), schema, label, child, F.map_keys(opened))
+    for name, node in schema.get("properties", {}).items():
+        rules += _item_rules(child(name), node, f"{label}.{name}")
+    return rules
 
 
 def _any_bad(v: Column, schema: Mapping) -> Column:
     out = F.lit(False)
-    for rule in _node_rules(v, schema, "item"):
+    for rule in _item_rules(v, schema, "item"):
         out = out | F.coalesce(rule.bad, F.lit(False))
     return out
 
 
-def _deep_rules(rec: Column, schema: Mapping, meta: Mapping[str, Column]) -> list[Rule]:
-    """Rules of a record. Properties are read by their full path, metadata from its own columns."""
+@dataclass
+class Checks:
+    """A DataFrame with helper columns, and the rules that read them."""
 
-    def reader(path: tuple[str, ...]) -> Callable[[str], Column]:
-        return lambda name: meta[name] if not path and name in meta else get_raw(rec, [*path, name])
+    df: DataFrame
+    columns: list[str]
+    rules: list[Rule] = field(default_factory=list)
 
-    rules: list[Rule] = []
+    def is_valid(self) -> Column:
+        """One predicate, true where no rule is broken."""
+        ok = F.lit(True)
+        for rule in self.rules:
+            ok = ok & ~F.coalesce(rule.bad, F.lit(False))
+        return ok
 
-    def walk(node: Mapping, path: tuple[str, ...]) -> None:
-        v = get_raw(rec, path)
-        names = F.map_keys(v.try_cast(MAP))
-        if not path and meta:
-            names = F.array_union(names, F.array(*[F.lit(m) for m in meta]))
-        own = {k: x for k, x in node.items() if k != "properties"}
-        if "additionalProperties" in node:
-            own["properties"] = {n: {} for n in node.get("properties", {})}
-        rules.extend(_rules(v, own, ".".join(path) or "(root)", reader(path), names))
-        for name, child in node.get("properties", {}).items():
-            if not path and name in meta:
-                rules.extend(_node_rules(meta[name], child, name))
-            else:
-                walk(child, (*path, name))
-
-    walk(schema, ())
-    return rules
+    def errors(self) -> Column:
+        """The messages of the broken rules."""
+        broken = [F.when(rule.bad, rule.message) for rule in self.rules]
+        return F.array_compact(F.array(*broken).cast("array<string>"))
 
 
-def compile_rules(df: DataFrame, schema: Mapping) -> list[Rule]:
-    """Rules over a DataFrame's ``rec`` and, where it has them, its metadata columns."""
-    meta = {}
-    for name in META_FIELDS:
-        if name in df.columns:
-            value = F.col(name).cast("variant")
-            if name == NATURAL_KEY:
-                # A null natural key is present in the record, as JSON null.
-                value = F.coalesce(value, F.parse_json(F.lit("null")))
-            meta[name] = value
-    return _deep_rules(F.col("rec"), schema, meta)
-
-
-def is_valid(rules: list[Rule]) -> Column:
-    """One predicate, true where no rule is broken."""
-    ok = F.lit(True)
-    for rule in rules:
-        ok = ok & ~F.coalesce(rule.bad, F.lit(False))
-    return ok
-
+def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
+    """Compile a schema over ``rec`` and, where the DataFrame has them, its metadata columns.
 
-def errors(rules: list[Rule]) -> Column:
-    """The messages of the broken rules."""
-    return F.array_compact(
-        F.array(*[F.when(rule.bad, rule.message) for rule in rules]).cast("array<string>")
-    )
+    Each object is opened once into a struct of its properties and each property's kind is computed
+    once, level by level, in columns the rules then share."""
+    checks = Checks(df, list(df.columns))
+    meta: dict[str, Value] = {}
+    for name in META_FIELDS:
+        if name not in df.columns:
+            continue
+        if name == NATURAL_KEY:
+            # A null natural key is present in the record, as JSON null.
+            checks.df = checks.df.withColumn(
+                "_nk", F.coalesce(F.col(name), F.parse_json(F.lit("null")))
+            ).withColumn("_nk_kind", F.schema_of_variant("_nk"))
+            v = F.col("_nk")
+            meta[name] = Value(v, F.col("_nk_kind"), v.cast("string"))
+        else:
+            text = F.col(name)
+            meta[name] = Value(text.cast("variant"), F.when(text.isNotNull(), "STRING"), text)
+
+    # One level of nodes at a time: (schema, label, value, prefix of its helper columns).
+    level = [(schema, "(root)", Value.of(F.col("rec")), "_p")]
+    while level:
+        opened, below, kinds = {}, [], {}
+        for node, label, x, prefix in level:
+            root = label == "(root)"
+            properties = dict(node.get("properties", {}))
+            # A required name is read as well, even if it is no property.
+            names = [*properties, *[n for n in node.get("required", ()) if n not in properties]]
+            read = [n for n in names if not (root and n in meta)]
+            if read:
+                fields = T.StructType([T.StructField(n, T.VariantType()) for n in read])
+                opened[prefix] = x.v.try_cast(fields)
+            values: dict[str, Column] = {n: F.col(prefix).getField(n) for n in read}
+            child = lambda n, r=root, vs=values: meta[n].v if r and n in meta else vs[n]
+            keys = F.map_keys(x.v.try_cast(MAP))
+            if root and meta:
+                keys = F.array_union(keys, F.array(*[F.lit(m) for m in meta]))
+            checks.rules += _own_rules(x, node, label, child, keys)
+            for i, (name, sub) in enumerate(properties.items()):
+                at = name if root else f"{label}.{name}"
+                if root and name in meta:
+                    below.append((sub, at, meta[name], f"_m{i}"))
+                    continue
+                kind = f"{prefix}_{i}_kind"
+                kinds[kind] = F.schema_of_variant(values[name])
+                value = Value(values[name], F.col(kind), values[name].cast("string"))
+                below.append((sub, at, value, f"{prefix}_{i}"))
+        if opened:
+            checks.df = checks.df.withColumns(opened)
+        if kinds:
+            checks.df = checks.df.withColumns(kinds)
+        level = below
+    return checks
 
 
 def validate(df: DataFrame, schema: Mapping) -> tuple[DataFrame, DataFrame]:
     """Valid records, and invalid ones with an ``errors`` array."""
-    rules = compile_rules(df, schema)
-    valid = is_valid(rules)
-    return df.filter(valid), df.filter(~valid).withColumn("errors", errors(rules))
+    checks = compile_checks(df, schema)
+    valid = checks.is_valid()
+    return (
+        checks.df.filter(valid).select(*checks.columns),
+        checks.df.filter(~valid).select(*checks.columns, checks.errors().alias("errors")),
+    )

@@ -18,7 +18,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # JSON objects that repeat a key keep its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # Every string is kept as written, also in text that holds quotes or newlines.
+    # A stage whose generated method is too long for the JIT compiler runs as separate, compiled
+    # projections instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
