@@ -27,7 +27,8 @@ from tidemark.sources import files, store
 from tidemark.sources.records import records_from_json, records_from_table
 from tidemark.streaming import changes
 
-rec = F.col("rec")
+def rec():
+    return F.col("rec")
 
 
 # --- sources ---------------------------------------------------------------------------------
@@ -58,9 +59,9 @@ def jsonl_scan(spark: SparkSession, sf: str) -> DataFrame:
     X.events_lines(spark, sf).select(line.alias("value")).write.text(uri)
     got = files.read_jsonl(spark, uri)
     return got.select(
-        P.get_path(rec, ["event_id"]).try_cast("bigint").alias("event_id"),
-        P.get_path(rec, ["event_type"]).try_cast("string").alias("event_type"),
-        P.get_path(rec, ["props", "k"]).try_cast("bigint").alias("k"),
+        P.get_path(rec(), ["event_id"]).try_cast("bigint").alias("event_id"),
+        P.get_path(rec(), ["event_type"]).try_cast("string").alias("event_type"),
+        P.get_path(rec(), ["props", "k"]).try_cast("bigint").alias("k"),
     )
 
 
@@ -76,8 +77,8 @@ def api_records_explode(spark: SparkSession, sf: str) -> DataFrame:
     return G.explode_records(pages).select(
         "page_no",
         F.col("pos").cast("bigint").alias("pos"),
-        P.get_path(rec, ["c_custkey"]).cast("bigint").alias("c_custkey"),
-        P.get_path(rec, ["c_name"]).cast("string").alias("c_name"),
+        P.get_path(rec(), ["c_custkey"]).cast("bigint").alias("c_custkey"),
+        P.get_path(rec(), ["c_name"]).cast("string").alias("c_name"),
     )
 
 
@@ -86,7 +87,7 @@ def api_records_path(spark: SparkSession, sf: str) -> DataFrame:
     pages = X.orders_pages(spark, sf).filter("stream = 's1'")
     got = G.explode_records(G.normalise_responses(pages, records_path=["results"]), ["results"])
     return got.select(
-        "page_no", P.get_path(rec, ["o_orderkey"]).cast("bigint").alias("o_orderkey")
+        "page_no", P.get_path(rec(), ["o_orderkey"]).cast("bigint").alias("o_orderkey")
     )
 
 
@@ -174,24 +175,24 @@ def get_path(spark: SparkSession, sf: str) -> DataFrame:
     got = X.orders_json(spark, sf)
     return got.select(
         "ord",
-        P.get_path(rec, ["status", "code"]).cast("string").alias("code"),
-        P.get_path(rec, ["status", "absent"]).cast("string").alias("absent"),
-        P.get_path(rec, ["o_custkey", "below"]).cast("string").alias("below_scalar"),
-        F.to_json(P.get_path(rec, ["status"])).alias("status"),
+        P.get_path(rec(), ["status", "code"]).cast("string").alias("code"),
+        P.get_path(rec(), ["status", "absent"]).cast("string").alias("absent"),
+        P.get_path(rec(), ["o_custkey", "below"]).cast("string").alias("below_scalar"),
+        F.to_json(P.get_path(rec(), ["status"])).alias("status"),
     )
 
 
 def set_path(spark: SparkSession, sf: str) -> DataFrame:
     """Replace a leaf, and set one below parents that do not exist."""
-    code = F.concat(P.get_path(rec, ["status", "code"]).cast("string"), F.lit("!")).cast("variant")
-    made = P.set_path(P.set_path(rec, ["status", "code"], code), ["a", "b"], F.col("ord").cast("variant"))
+    code = F.concat(P.get_path(rec(), ["status", "code"]).cast("string"), F.lit("!")).cast("variant")
+    made = P.set_path(P.set_path(rec(), ["status", "code"], code), ["a", "b"], F.col("ord").cast("variant"))
     return X.orders_json(spark, sf).select("ord", V.canonical_text(made).alias("text"))
 
 
 def drop_paths(spark: SparkSession, sf: str) -> DataFrame:
     paths = [["status", "priority"], ["o_totalprice"], ["absent", "x"], ["o_custkey", "x"]]
     return X.orders_json(spark, sf).select(
-        "ord", V.canonical_text(P.drop_paths(rec, paths)).alias("text")
+        "ord", V.canonical_text(P.drop_paths(rec(), paths)).alias("text")
     )
 
 
@@ -199,24 +200,24 @@ def hash_sensitive(spark: SparkSession, sf: str) -> DataFrame:
     """A number, a nested string, an absent path, and a child below a hashed parent."""
     paths = [["o_custkey"], ["status", "priority"], ["absent"], ["o_custkey", "x"]]
     return X.orders_json(spark, sf).select(
-        "ord", V.canonical_text(P.hash_paths(rec, paths)).alias("text")
+        "ord", V.canonical_text(P.hash_paths(rec(), paths)).alias("text")
     )
 
 
 def key_string(spark: SparkSession, sf: str) -> DataFrame:
-    price = P.get_path(rec, ["o_totalprice"])
+    price = P.get_path(rec(), ["o_totalprice"])
     return X.orders_json(spark, sf).select(
         "ord",
-        V.key_string(P.get_path(rec, ["o_orderkey"])).alias("whole"),
+        V.key_string(P.get_path(rec(), ["o_orderkey"])).alias("whole"),
         V.key_string(price).alias("fraction"),
         V.key_string((F.round(price.cast("double") * 100) * 1e4).cast("variant")).alias("large"),
-        V.key_string(P.get_path(rec, ["status", "code"])).alias("string"),
-        V.key_string(P.get_path(rec, ["absent"])).alias("absent"),
+        V.key_string(P.get_path(rec(), ["status", "code"])).alias("string"),
+        V.key_string(P.get_path(rec(), ["absent"])).alias("absent"),
     )
 
 
 def canonical_text(spark: SparkSession, sf: str) -> DataFrame:
-    return X.events_json(spark, sf).select("ord", V.canonical_text(rec).alias("text"))
+    return X.events_json(spark, sf).select("ord", V.canonical_text(rec()).alias("text"))
 
 
 def natural_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -291,20 +292,20 @@ def validate_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def check_type(spark: SparkSession, sf: str) -> DataFrame:
-    value, kind = P.get_raw(rec, ["value"]), P.get_raw(rec, ["event_type"])
+    value, kind = P.get_raw(rec(), ["value"]), P.get_raw(rec(), ["event_type"])
     return X.events_drift(spark, sf).select(
         "ord",
         Y.check_type(value, ["number", "null"]).alias("is_number"),
         Y.check_type(value, "string").alias("is_string"),
-        Y.check_type(P.get_raw(rec, ["event_id"]), "integer").alias("is_integer"),
-        Y.check_type(P.get_raw(rec, ["props"]), "object").alias("is_object"),
+        Y.check_type(P.get_raw(rec(), ["event_id"]), "integer").alias("is_integer"),
+        Y.check_type(P.get_raw(rec(), ["props"]), "object").alias("is_object"),
         Y.check_type(kind, "string").alias("is_present_string"),
     )
 
 
 def check_min_length(spark: SparkSession, sf: str) -> DataFrame:
     return X.events_json(spark, sf).select(
-        "ord", Y.check_min_length(P.get_raw(rec, ["event_type"]), 6).alias("ok")
+        "ord", Y.check_min_length(P.get_raw(rec(), ["event_type"]), 6).alias("ok")
     )
 
 
@@ -492,11 +493,11 @@ def schema_messages(spark: SparkSession, sf: str) -> DataFrame:
     store.write_catalog(spark, uri, both)
     messages = M.schema_messages(store.read_catalog(spark, uri))
     m = messages.select("stream", F.parse_json("message").alias("rec"))
-    properties = P.get_path(rec, ["schema", "properties"]).cast(V.MAP)
+    properties = P.get_path(rec(), ["schema", "properties"]).cast(V.MAP)
     return m.select(
         "stream",
-        P.get_path(rec, ["type"]).cast("string").alias("type"),
-        F.to_json(P.get_path(rec, ["key_properties"])).alias("key_properties"),
+        P.get_path(rec(), ["type"]).cast("string").alias("type"),
+        F.to_json(P.get_path(rec(), ["key_properties"])).alias("key_properties"),
         F.explode(properties).alias("property", "definition"),
     ).select("stream", "type", "key_properties", "property", F.to_json("definition").alias("definition"))
 
@@ -530,7 +531,7 @@ def _prepared(spark: SparkSession, sf: str) -> store.Store:
 
 def _emitted(spark: SparkSession, messages: str) -> DataFrame:
     lines = spark.read.text(f"{messages}/records").select(F.parse_json("value").alias("rec"))
-    get = lambda name: P.get_path(rec, ["record", name]).cast("string").alias(name)
+    get = lambda name: P.get_path(rec(), ["record", name]).cast("string").alias(name)
     return lines.select(get("o_orderkey"), get(K.SURROGATE_KEY), get(K.UNIQUE_KEY))
 
 

@@ -34,6 +34,13 @@ def build_session(master: str | None = None, app: str = "tidemark", **conf: str)
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Set the recommended SQL settings on a session that is already running."""
+    for key, value in RECOMMENDED_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: the session's checkpoint folder.
 

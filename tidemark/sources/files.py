@@ -22,6 +22,8 @@ def _csv_options(multi_line: bool) -> dict:
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
         "maxCharsPerColumn": -1,
+        # Field counts are checked on whole rows, whatever a query reads of them.
+        "columnPruning": False,
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
     }
@@ -37,9 +39,12 @@ def csv_schema(spark: SparkSession, uri: str) -> T.StructType:
 def _csv_rows(df: DataFrame) -> DataFrame:
     """(ord, rec, raw): rec holds strings only, "" for empty; raw is set on rows that do not fit."""
     names = [c for c in df.columns if c != CORRUPT]
-    rec = F.struct(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in names])
+    value = lambda c: F.coalesce(F.col("`" + c.replace("`", "``") + "`"), F.lit(""))
+    rec = F.struct(*[value(c).alias(c) for c in names])
+    # Tied to a field, since Spark does not read the corrupt column by itself.
+    raw = F.when(value(names[0]) != "\u0000", F.col(CORRUPT))
     return df.withColumn("ord", F.monotonically_increasing_id()).select(
-        "ord", rec.alias("rec"), F.col(CORRUPT).alias("raw")
+        "ord", rec.alias("rec"), raw.alias("raw")
     )
 
 
