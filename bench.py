@@ -12,11 +12,14 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F
+
 import derived as X
 from tidemark.operators import bookmark as B
 from tidemark.operators.catalog import catalog_from_schema
 from tidemark.plans import run as R
 from tidemark.session import build_session, scratch_uri
+from tidemark.sources.records import records_from_json
 from tidemark.sources.store import Store, write_bookmark, write_catalog
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -32,8 +35,6 @@ def main() -> None:
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
-            # Small files are cut into enough splits for every core.
-            "spark.sql.files.minPartitionNum": CPUS,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,8 +54,14 @@ def main() -> None:
             write_bookmark(spark, store.uri, bookmark)
         return store
 
+    # Each table is one file with one row group, hence one split. Spread what is read over the cores.
+    splits = int(CPUS)
+
+    def spread_lines(lines, ord_: str):
+        return records_from_json(lines.repartition(splits), "value", ord=ord_)
+
     def extract(store: Store) -> None:
-        R.run_extract(X.orders_stream(spark, SF_DIR), X.ORDERS, store, X.RUN_TS)
+        R.run_extract(X.orders_stream(spark, SF_DIR, splits), X.ORDERS, store, X.RUN_TS)
 
     small = SF_DIR if not os.path.isdir("/root/testdata/sf0.001") else "/root/testdata/sf0.001"
     warm = fresh(X.orders_bookmark(spark, small))
@@ -71,21 +78,25 @@ def main() -> None:
     timed("extract_third_changed", orders, lambda: extract(changed))
     timed(
         "refresh", orders,
-        lambda: R.run_refresh(X.orders_stream(spark, SF_DIR), X.ORDERS, changed, run_ts=X.RUN_TS),
+        lambda: R.run_refresh(X.orders_stream(spark, SF_DIR, splits), X.ORDERS, changed, run_ts=X.RUN_TS),
     )
     timed(
         "extract_json_cold", orders,
-        lambda: R.run_extract(X.orders_json(spark, SF_DIR), X.ORDERS, fresh(), X.RUN_TS),
+        lambda: R.run_extract(
+            spread_lines(X.orders_lines(spark, SF_DIR), "o_orderkey"), X.ORDERS, fresh(), X.RUN_TS
+        ),
     )
     timed(
         "discover", events,
-        lambda: R.run_discover(X.events_json(spark, SF_DIR), X.EVENTS, fresh(), X.RUN_TS),
+        lambda: R.run_discover(
+            spread_lines(X.events_lines(spark, SF_DIR), "event_id"), X.EVENTS, fresh(), X.RUN_TS
+        ),
     )
 
     bookmark = changed.bookmark.read()
     updates = bookmark.select(
-        "stream", "key", "surrogate_key", B.F.lit("2024-07-01T00:00:00Z").alias("ts"),
-        B.F.lit(True).alias("emitted"), B.F.monotonically_increasing_id().alias("ord"),
+        "stream", "key", "surrogate_key", F.lit("2024-07-01T00:00:00Z").alias("ts"),
+        F.lit(True).alias("emitted"), F.monotonically_increasing_id().alias("ord"),
     )
     merged = lambda: B.advance_bookmark(bookmark, B.fold_updates(updates)).write.parquet(
         scratch_uri(spark, "merged")

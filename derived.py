@@ -42,9 +42,11 @@ def _orders_struct() -> list[Column]:
     ]
 
 
-def orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as typed records."""
-    return records_from_table(table(spark, sf_dir, "orders"), *_orders_struct(), ord="o_orderkey")
+def orders_stream(spark: SparkSession, sf_dir: str, splits: int | None = None) -> DataFrame:
+    """Orders as typed records; ``splits`` spreads a table that is a single small file."""
+    orders = table(spark, sf_dir, "orders")
+    orders = orders if splits is None else orders.repartition(splits)
+    return records_from_table(orders, *_orders_struct(), ord="o_orderkey")
 
 
 def orders_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -223,13 +223,13 @@ def canonical_text(spark: SparkSession, sf: str) -> DataFrame:
 def natural_key(spark: SparkSession, sf: str) -> DataFrame:
     """An object for a natural key, as JSON and as lookup text."""
     got = T.transform(X.turns_stream(spark, sf), X.TURNS, X.RUN_TS)
-    return got.select("ord", F.to_json(K.NATURAL_KEY).alias("natural_key"), "key")
+    return got.select("ord", F.to_json(F.to_variant_object(K.NATURAL_KEY)).alias("natural_key"), "key")
 
 
 def _transformed(df: DataFrame, cfg: StreamConfig) -> DataFrame:
     return T.transform(df, cfg, X.RUN_TS).select(
         "key", "text", K.SURROGATE_KEY, K.TIMESTAMP, K.UNIQUE_KEY,
-        F.to_json(K.NATURAL_KEY).alias(K.NATURAL_KEY),
+        F.to_json(F.col(K.NATURAL_KEY).cast("variant")).alias(K.NATURAL_KEY),
     )
 
 

@@ -95,7 +95,8 @@ def test_typed_text_equals_variant_text(spark):
         as t(id, d, s, b, ts, dt, st, arr)"""
     )
     out = transform(records_from_table(df, ord="id"), CFG, TS)
-    rows = out.select("text", F.to_json("rec").alias("variant"), "nk_json").collect()
+    variant = F.to_json(V.to_variant(rec(), out.schema["rec"].dataType))
+    rows = out.select("text", variant.alias("variant"), "nk_json").collect()
     assert all(r.text == r.variant for r in rows)
     assert json.loads(rows[0].text) == {
         "id": 1, "d": 1.5, "s": 'a"b\n', "b": True, "ts": "2024-01-02T03:04:05.1Z", "dt": "2024-01-02",

@@ -59,6 +59,15 @@ def to_variant(col: Column, dtype: T.DataType) -> Column:
     ) else F.to_variant_object(_jsonable(col, dtype))
 
 
+def scalar_text(col: Column, dtype: T.DataType) -> Column:
+    """A typed scalar as the string its VARIANT casts to; NULL for nested types."""
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return F.lit(None).cast("string")
+    if isinstance(dtype, (*_TIMESTAMPS, T.DateType, T.BinaryType)):
+        return _jsonable(col, dtype)
+    return col.cast("string")
+
+
 def _jsonable(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StructType):
         if not dtype.fields:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
 from tidemark.functions import temporal as D
+from tidemark.functions.values import is_variant, to_variant
 
 # Object nesting opened at first; deeper records raise or are opened again, never cut short.
 DEPTH = 4
@@ -60,6 +61,10 @@ def _leaves(df: DataFrame, depth: int) -> DataFrame:
     Keys are NULL past a value's own level. A null value stands for the object that holds it, and
     values of a record that is no object or has no members are left out."""
     spark = df.sparkSession
+    rec, dtype = F.col("rec"), df.schema["rec"].dataType
+    if not is_variant(dtype):
+        rec = to_variant(rec, dtype)
+    df = df.select("stream", "ord", rec.alias("rec"))
     rec = F.col("rec")
     rows = df.select("stream", "ord", rec.alias("v"), F.schema_of_variant(rec).alias("kind"))
     keys: list[str] = []

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
+from tidemark.functions.values import is_variant
 from tidemark.operators.bookmark import PREVIOUS, is_changed, join_bookmark
 from tidemark.operators.validate import compile_checks
 
@@ -27,27 +28,34 @@ def route_outcomes(
 ) -> DataFrame:
     """Outcome of transformed records, checked in order: key, bookmark, schema.
 
-    ``bookmark=None`` means that nothing was seen yet. With a lookup only the text of a record is
-    shuffled, and only changed records are parsed again; without one nothing is shuffled at all."""
+    ``bookmark=None`` means that nothing was seen yet; then nothing is shuffled. With a lookup only
+    the text of a record is shuffled: typed records are checked beforehand, since that costs next to
+    nothing, and of VARIANT records the changed ones are parsed again afterwards."""
     ok = F.col("key_ok")
-    if bookmark is None or refresh:
-        routed = df.withColumn("changed", ok)
-    else:
+    lookup = bookmark is not None and not refresh
+    if not lookup or not is_variant(df.schema["rec"].dataType):
+        checks = compile_checks(df, schema)
+        df = checks.df.select(*checks.columns, checks.is_valid().alias("valid")).drop(
+            "rec", K.NATURAL_KEY
+        )
+    if lookup:
         routed = join_bookmark(df.drop("rec", K.NATURAL_KEY), bookmark)
-        changed = ok & is_changed()
-        routed = routed.withColumn("changed", changed).drop(PREVIOUS)
+        routed = routed.withColumn("changed", ok & is_changed()).drop(PREVIOUS)
+    else:
+        routed = df.withColumn("changed", ok)
+    if "valid" not in routed.columns:
         routed = routed.select(
             "*",
             F.when(F.col("changed"), F.parse_json("text")).alias("rec"),
             F.when(F.col("changed"), F.parse_json("nk_json")).alias(K.NATURAL_KEY),
         )
-    checks = compile_checks(routed, schema)
-    valid = checks.is_valid()
-    routed = checks.df.withColumn(
+        checks = compile_checks(routed, schema)
+        routed = checks.df.withColumn("valid", checks.is_valid())
+    routed = routed.withColumn(
         "outcome",
         F.when(~ok, TRANSFORM_FAILED)
         .when(~F.col("changed"), FILTERED)
-        .when(~valid, INVALID)
+        .when(~F.col("valid"), INVALID)
         .otherwise(EMITTED),
     )
     unchanged = F.col("outcome") == FILTERED
@@ -65,12 +73,10 @@ def rejects(outcomes: DataFrame, schema: Mapping) -> DataFrame:
         F.parse_json(F.coalesce("nk_json", F.lit("null"))).alias(K.NATURAL_KEY),
     )
     checks = compile_checks(bad, schema)
-    return checks.df.select(
-        "stream",
-        "outcome",
-        "key",
-        F.col("text").alias("raw"),
-        F.when(F.col("outcome") == INVALID, checks.errors())
-        .otherwise(F.array(F.lit("unique key is missing or empty")))
-        .alias("errors"),
+    named = checks.with_errors(
+        checks.df, "stream", "outcome", "key", F.col("text").alias("raw")
+    )
+    no_key = F.array(F.lit("unique key is missing or empty"))
+    return named.withColumn(
+        "errors", F.when(F.col("outcome") == INVALID, F.col("errors")).otherwise(no_key)
     )

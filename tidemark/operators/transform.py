@@ -112,7 +112,7 @@ def _keyed_variant(df: DataFrame, cfg: StreamConfig) -> DataFrame:
 
 
 def _keyed_struct(df: DataFrame, cfg: StreamConfig) -> DataFrame:
-    """Typed records: text and keys come from plain columns; the variant is built only if it is used."""
+    """Typed records: text and keys come from plain columns, and rec stays a struct."""
     dtype = _rec_type(df)
     edited, edited_type = P.edit_paths(
         F.col("rec"), cfg.drop_field_paths, cfg.sensitive_field_paths, dtype
@@ -122,20 +122,20 @@ def _keyed_struct(df: DataFrame, cfg: StreamConfig) -> DataFrame:
     edited = F.col("edited")
     nk = P.get_path(edited, cfg.unique_key_path, edited_type)
     nk_type = P.type_at(edited_type, cfg.unique_key_path)
+    text = V.typed_json(edited, edited_type)
     df = df.select(
         "ord",
         "key_ok",
-        V.to_variant(edited, edited_type).alias("rec"),
-        V.typed_json(edited, edited_type).alias("text"),
+        edited.alias("rec"),
+        text.alias("text"),
         V.key_string(nk, nk_type).alias("key"),
-        (nk if nk_type is None else V.to_variant(nk, nk_type)).alias("nk"),
+        nk.alias("nk"),
         V.typed_json(nk, nk_type or T.VariantType()).alias("nk_json"),
     )
-    named_like_meta = any(n.startswith("_sdc_") for n in dtype.names)
-    clean = K.without_meta(F.col("rec"), F.col("text")) if named_like_meta else F.col("text")
-    return df.select(
-        "ord", "key_ok", "rec", "key", "nk", "text", "nk_json", clean.alias("clean_text")
-    )
+    clean = F.col("text")
+    if any(n.startswith("_sdc_") for n in dtype.names):
+        clean = K.without_meta(V.to_variant(F.col("rec"), edited_type), F.col("text"))
+    return df.select("*", clean.alias("clean_text"))
 
 
 def transform(df: DataFrame, cfg: StreamConfig, run_ts: str, disambiguate: bool = False) -> DataFrame:

@@ -12,7 +12,14 @@ from pyspark.sql import types as T
 
 from tidemark.functions import temporal as D
 from tidemark.functions.keys import META_FIELDS, NATURAL_KEY
-from tidemark.functions.values import ARRAY, MAP, canonical_text
+from tidemark.functions.values import (
+    ARRAY,
+    MAP,
+    canonical_text,
+    is_variant,
+    scalar_text,
+    to_variant,
+)
 
 # JSON Schema keywords that only describe.
 _ANNOTATIONS = {
@@ -44,6 +51,29 @@ class Value:
     def of(cls, v: Column) -> Value:
         return cls(v, F.schema_of_variant(v), v.cast("string"))
 
+    @classmethod
+    def typed(cls, col: Column, dtype: T.DataType | None) -> Value:
+        """A typed column. Its kind is known but for NULL, so most rules fold to a null check."""
+        if is_variant(dtype):
+            v = F.coalesce(col, F.parse_json(F.lit("null")))
+            return cls.of(v)
+        kind = F.when(col.isNull(), "VOID").otherwise(_kind_of(dtype))
+        return cls(to_variant(col, dtype), kind, scalar_text(col, dtype))
+
+
+def _kind_of(dtype: T.DataType) -> str:
+    if isinstance(dtype, (T.StructType, T.MapType)):
+        return "OBJECT<"
+    if isinstance(dtype, T.ArrayType):
+        return "ARRAY<"
+    if isinstance(dtype, T.BooleanType):
+        return "BOOLEAN"
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return "DOUBLE"
+    if isinstance(dtype, T.DecimalType):
+        return "DECIMAL("
+    return "BIGINT" if isinstance(dtype, T.IntegralType) else "STRING"
+
 
 def _is_type(x: Value, name: str) -> Column:
     if name == "null":
@@ -108,12 +138,22 @@ def _dumps(value) -> str:
 
 
 def _equals_any(x: Value, values: list) -> Column:
-    is_number = lambda c: isinstance(c, (int, float)) and not isinstance(c, bool)
-    numbers = [float(c) for c in values if is_number(c)]
-    texts = [_dumps(c) for c in values if not is_number(c)]
-    ok = canonical_text(x.v).isin(*texts) if texts else F.lit(False)
+    """True where the value is one of some constants; only nested ones are compared as JSON."""
+    ok = F.lit(False)
+    strings = [c for c in values if isinstance(c, str)]
+    booleans = [str(c).lower() for c in values if isinstance(c, bool)]
+    numbers = [float(c) for c in values if isinstance(c, (int, float)) and not isinstance(c, bool)]
+    nested = [_dumps(c) for c in values if isinstance(c, (list, dict))]
+    if strings:
+        ok = ok | ((x.kind == "STRING") & x.text.isin(*strings))
+    if booleans:
+        ok = ok | ((x.kind == "BOOLEAN") & x.text.isin(*booleans))
     if numbers:
         ok = ok | (_has_type(x, "number") & x.v.try_cast("double").isin(*numbers))
+    if nested:
+        ok = ok | canonical_text(x.v).isin(*nested)
+    if None in values:
+        ok = ok | (x.kind == "VOID")
     return ok
 
 
@@ -155,7 +195,7 @@ def _own_rules(
 ) -> list[Rule]:
     """Rules of one schema node without those of its properties.
 
-    ``child`` reads a property as VARIANT, ``names`` lists the keys an object holds."""
+    ``child`` is NULL where a property is absent, ``names`` lists the keys an object holds."""
     _check_keywords(schema, label)
     rules: list[Rule] = []
     add = lambda bad, message: rules.append(Rule(bad, f"{label}: {message}"))
@@ -175,9 +215,9 @@ def _own_rules(
     if "format" in schema:
         add(~_has_format(x, schema["format"]), f"is not a {schema['format']}")
     if "enum" in schema:
-        add(x.v.isNotNull() & ~_equals_any(x, schema["enum"]), "is not one of the allowed values")
+        add(x.kind.isNotNull() & ~_equals_any(x, schema["enum"]), "is not one of the allowed values")
     if "const" in schema:
-        add(x.v.isNotNull() & ~_equals_any(x, [schema["const"]]), "is not the constant")
+        add(x.kind.isNotNull() & ~_equals_any(x, [schema["const"]]), "is not the constant")
     for keyword in _NUMBER_KEYWORDS:
         if keyword in schema:
             add(_number_rule(x, keyword, schema[keyword]), f"breaks {keyword} {schema[keyword]}")
@@ -230,23 +270,26 @@ class Checks:
             ok = ok & ~F.coalesce(rule.bad, F.lit(False))
         return ok
 
-    def errors(self) -> Column:
-        """The messages of the broken rules."""
-        broken = [F.when(rule.bad, rule.message) for rule in self.rules]
-        return F.array_compact(F.array(*broken).cast("array<string>"))
+    def with_errors(self, df: DataFrame, *columns: str | Column) -> DataFrame:
+        """Select columns of the checked rows and ``errors``, the messages of the broken rules."""
+        broken = F.concat_ws("\u0001", *[F.when(r.bad, r.message) for r in self.rules])
+        none = F.array().cast("array<string>")
+        split = F.when(F.col("_broken") != "", F.split("_broken", "\u0001")).otherwise(none)
+        return df.withColumn("_broken", broken).select(*columns, split.alias("errors"))
 
 
 def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
     """Compile a schema over ``rec`` and, where the DataFrame has them, its metadata columns.
 
-    Each object is opened once into a struct of its properties and each property's kind is computed
-    once, level by level, in columns the rules then share."""
+    In a VARIANT each object is opened once into a struct of its properties and each property's kind
+    is computed once, level by level, in columns the rules then share. Typed records need neither."""
     checks = Checks(df, list(df.columns))
     meta: dict[str, Value] = {}
     for name in META_FIELDS:
         if name not in df.columns:
             continue
-        if name == NATURAL_KEY:
+        dtype = df.schema[name].dataType
+        if is_variant(dtype):
             # A null natural key is present in the record, as JSON null.
             checks.df = checks.df.withColumn(
                 "_nk", F.coalesce(F.col(name), F.parse_json(F.lit("null")))
@@ -254,37 +297,60 @@ def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
             v = F.col("_nk")
             meta[name] = Value(v, F.col("_nk_kind"), v.cast("string"))
         else:
-            text = F.col(name)
-            meta[name] = Value(text.cast("variant"), F.when(text.isNotNull(), "STRING"), text)
+            meta[name] = Value.typed(F.col(name), dtype)
 
-    # One level of nodes at a time: (schema, label, value, prefix of its helper columns).
-    level = [(schema, "(root)", Value.of(F.col("rec")), "_p")]
+    dtype = df.schema["rec"].dataType
+    if is_variant(dtype):
+        level = [_Node(schema, "(root)", Value.of(F.col("rec")), "_p", None)]
+    else:
+        level = [_Node(schema, "(root)", Value.typed(F.col("rec"), dtype), "_p", F.col("rec"), dtype)]
     while level:
         opened, below, kinds = {}, [], {}
-        for node, label, x, prefix in level:
-            root = label == "(root)"
-            properties = dict(node.get("properties", {}))
+        for node in level:
+            root = node.label == "(root)"
+            properties = dict(node.schema.get("properties", {}))
+            required = node.schema.get("required", ())
             # A required name is read as well, even if it is no property.
-            names = [*properties, *[n for n in node.get("required", ()) if n not in properties]]
+            names = [*properties, *[n for n in required if n not in properties]]
             read = [n for n in names if not (root and n in meta)]
-            if read:
-                fields = T.StructType([T.StructField(n, T.VariantType()) for n in read])
-                opened[prefix] = x.v.try_cast(fields)
-            values: dict[str, Column] = {n: F.col(prefix).getField(n) for n in read}
-            child = lambda n, r=root, vs=values: meta[n].v if r and n in meta else vs[n]
-            keys = F.map_keys(x.v.try_cast(MAP))
-            if root and meta:
-                keys = F.array_union(keys, F.array(*[F.lit(m) for m in meta]))
-            checks.rules += _own_rules(x, node, label, child, keys)
-            for i, (name, sub) in enumerate(properties.items()):
-                at = name if root else f"{label}.{name}"
-                if root and name in meta:
-                    below.append((sub, at, meta[name], f"_m{i}"))
-                    continue
-                kind = f"{prefix}_{i}_kind"
-                kinds[kind] = F.schema_of_variant(values[name])
-                value = Value(values[name], F.col(kind), values[name].cast("string"))
-                below.append((sub, at, value, f"{prefix}_{i}"))
+            values: dict[str, Value] = {}
+            types: dict[str, T.DataType | None] = {}
+            if isinstance(node.dtype, T.StructType):
+                for n in read:
+                    if n in node.dtype.names:
+                        types[n] = node.dtype[n].dataType
+                        values[n] = Value.typed(node.col.getField(n), types[n])
+                        # Absent, not null, where the object around it is null.
+                        if not root:
+                            held = F.when(node.col.isNotNull(), values[n].kind)
+                            values[n] = Value(values[n].v, held, values[n].text)
+                    else:
+                        values[n] = _absent()
+                keys = F.when(
+                    node.col.isNotNull(), F.array(*[F.lit(n) for n in node.dtype.names])
+                )
+            else:
+                if read:
+                    fields = T.StructType([T.StructField(n, T.VariantType()) for n in read])
+                    opened[node.prefix] = node.value.v.try_cast(fields)
+                for i, n in enumerate(read):
+                    v, kind = F.col(node.prefix).getField(n), f"{node.prefix}_{i}_kind"
+                    kinds[kind] = F.schema_of_variant(v)
+                    values[n] = Value(v, F.col(kind), v.cast("string"))
+                keys = F.map_keys(node.value.v.try_cast(MAP))
+            if root:
+                values |= meta
+                if meta:
+                    keys = F.array_union(keys, F.array(*[F.lit(m) for m in meta]))
+            present = lambda n, vs=values: vs[n].kind
+            checks.rules += _own_rules(node.value, node.schema, node.label, present, keys)
+            for n, sub in properties.items():
+                at = n if root else f"{node.label}.{n}"
+                prefix = f"{node.prefix}_{len(below)}"
+                if isinstance(types.get(n), T.StructType):
+                    below.append(_Node(sub, at, values[n], prefix, node.col.getField(n), types[n]))
+                else:
+                    below.append(_Node(sub, at, values[n], prefix))
         if opened:
             checks.df = checks.df.withColumns(opened)
         if kinds:
@@ -293,11 +359,29 @@ def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
     return checks
 
 
+@dataclass(frozen=True)
+class _Node:
+    """A schema node with the value it is about, the prefix of its helper columns, and the column and
+    type of the value where it is a struct."""
+
+    schema: Mapping
+    label: str
+    value: Value
+    prefix: str
+    col: Column | None = None
+    dtype: T.DataType | None = None
+
+
+def _absent() -> Value:
+    none = F.lit(None).cast("string")
+    return Value(none.cast("variant"), none, none)
+
+
 def validate(df: DataFrame, schema: Mapping) -> tuple[DataFrame, DataFrame]:
     """Valid records, and invalid ones with an ``errors`` array."""
     checks = compile_checks(df, schema)
     valid = checks.is_valid()
     return (
         checks.df.filter(valid).select(*checks.columns),
-        checks.df.filter(~valid).select(*checks.columns, checks.errors().alias("errors")),
+        checks.with_errors(checks.df.filter(~valid), *checks.columns),
     )
