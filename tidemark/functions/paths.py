@@ -172,19 +172,23 @@ def set_path(rec: Column, path: Path, value: Column) -> Column:
     """Put a VARIANT at a path of a VARIANT record, creating the parents that are missing.
 
     A parent that exists but is no object cannot be entered and raises."""
-    m = rec.try_cast(MAP)
-    missing = rec.isNull() | F.is_variant_null(rec)
-    empty = F.create_map().cast(MAP)
-    opened = (
-        F.when(m.isNotNull(), m)
-        .when(missing, empty)
-        .otherwise(F.raise_error(F.lit(f"cannot set {list(path)}: a parent is not an object")).cast(MAP))
-    )
-    key = path[0]
-    if len(path) > 1:
-        value = set_path(m.getItem(key), path[1:], value)
-    rest = F.map_filter(opened, lambda k, _: k != key)
-    return F.to_variant_object(F.map_concat(rest, F.create_map(F.lit(key), value)))
+    key, below = path[0], path[1:]
+
+    def put(r: Column) -> Column:
+        m = r.try_cast(MAP)
+        refuse = F.raise_error(F.lit(f"cannot set {list(path)}: a parent is not an object"))
+        opened = F.coalesce(
+            m,
+            F.when(r.isNull() | F.is_variant_null(r), F.create_map().cast(MAP)).otherwise(
+                refuse.cast(MAP)
+            ),
+        )
+        child = set_path(m.getItem(key), below, value) if below else value
+        rest = F.map_filter(opened, lambda k, _: k != key)
+        return F.to_variant_object(F.map_concat(rest, F.create_map(F.lit(key), child)))
+
+    # Bound to a lambda's variable, so that the record is worked out once.
+    return F.transform(F.array(rec), put).getItem(0)
 
 
 __all__ = [

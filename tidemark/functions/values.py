@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +47,14 @@ def variant_kind(v: Column) -> Column:
     )
 
 
+def settle(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column as the output of a generator, below which no filter is pushed.
+
+    A filter on an expensive column would otherwise be copied down to the source with all it is made
+    of, parsing included, and every row would be worked out twice."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def timestamp_text(ts: Column) -> Column:
     """RFC 3339 text in the session's zone, which is UTC."""
     return F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))

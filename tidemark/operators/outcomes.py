@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys as K
-from tidemark.functions.values import is_variant
+from tidemark.functions.values import is_variant, settle
 from tidemark.operators.bookmark import PREVIOUS, is_changed, join_bookmark
 from tidemark.operators.validate import compile_checks
 
@@ -51,13 +51,13 @@ def route_outcomes(
         )
         checks = compile_checks(routed, schema)
         routed = checks.df.withColumn("valid", checks.is_valid())
-    routed = routed.withColumn(
-        "outcome",
+    outcome = (
         F.when(~ok, TRANSFORM_FAILED)
         .when(~F.col("changed"), FILTERED)
         .when(~F.col("valid"), INVALID)
-        .otherwise(EMITTED),
+        .otherwise(EMITTED)
     )
+    routed = settle(routed, outcome, "outcome")
     unchanged = F.col("outcome") == FILTERED
     return routed.withColumn(
         "text", F.when(~unchanged, F.col("text"))

@@ -18,6 +18,7 @@ from tidemark.functions.values import (
     canonical_text,
     is_variant,
     scalar_text,
+    settle,
     to_variant,
 )
 
@@ -380,8 +381,8 @@ def _absent() -> Value:
 def validate(df: DataFrame, schema: Mapping) -> tuple[DataFrame, DataFrame]:
     """Valid records, and invalid ones with an ``errors`` array."""
     checks = compile_checks(df, schema)
-    valid = checks.is_valid()
+    checked = settle(checks.df, checks.is_valid(), "_valid")
     return (
-        checks.df.filter(valid).select(*checks.columns),
-        checks.with_errors(checks.df.filter(~valid), *checks.columns),
+        checked.filter("_valid").select(*checks.columns),
+        checks.with_errors(checked.filter("NOT _valid"), *checks.columns),
     )

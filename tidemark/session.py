@@ -21,15 +21,21 @@ RECOMMENDED_CONF = {
     # A stage whose generated method is too long for the JIT compiler runs as separate, compiled
     # projections instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The four outcomes of a run are written side by side instead of being sorted first.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# Set when a session is built. Plans here are many small columns, and PySpark collects a stack trace
+# for each one unless told not to.
+BUILD_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(master: str | None = None, app: str = "tidemark", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RECOMMENDED_CONF, **conf}.items():
+    for key, value in {**RECOMMENDED_CONF, **BUILD_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
