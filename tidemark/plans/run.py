@@ -67,8 +67,7 @@ def run_discover(
     while True:
         found = D.found_types(records, cfg.unique_key_path, depth)
         uri = scratch_uri(spark, "found")
-        # One row per path, so one file.
-        found.coalesce(1).write.parquet(uri)
+        found.write.parquet(uri)
         found = spark.read.schema(found.schema).parquet(uri)
         if found.filter("deeper").isEmpty():
             break
@@ -80,7 +79,7 @@ def run_discover(
         found, existing.filter(F.col("stream") == cfg.stream_name), discovered_at
     )
     version = table.version() + 1
-    written = table.write(merged.unionByName(others).coalesce(1), version)
+    written = table.write(merged.unionByName(others), version)
     schema = load_schema(written, cfg.stream_name)
     message = json.dumps(_schema_message(cfg.stream_name, schema))
     spark.createDataFrame([(message,)], "value string").coalesce(1).write.mode("overwrite").text(
