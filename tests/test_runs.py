@@ -209,3 +209,10 @@ def test_stream_reaches_the_state_of_a_batch_run(spark, ready, tmp_path):
     want = transform(files.read_jsonl(spark, str(landing / "2.jsonl")), CFG, "t").collect()
     assert set(sk) == {"1", "2", "3", "9"}
     assert {r.key: r["_sdc_surrogate_key"] for r in want}.items() <= sk.items()
+
+
+def test_empty_run(spark, ready, records):
+    R.run_extract(records('{"id":1}'), CFG, ready, "t1")
+    run = R.run_extract(records('{"id":1}').filter("false"), CFG, ready, "t2")
+    assert run.metrics["processed"] == 0 and emitted(spark, run) == []
+    assert spark.read.parquet(run.rejects).isEmpty() and state(ready) == {"1": ("t1", "t1")}
