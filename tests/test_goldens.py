@@ -61,6 +61,21 @@ def test_key_text(records):
                    "true", '{"a":2,"b":1}', "5"]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_number_text_does_not_depend_on_the_session(spark, records, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        texts = ["1.5e-10", "1e-7", "-3e-8", "1.25e19", "0.00001234", "1.5e7"]
+        assert column(records(*texts), V.canonical_text(rec())) == [
+            "0.00000000015", "0.0000001", "-0.00000003", "12500000000000000000", "0.00001234", "15000000"
+        ]
+        df = spark.sql("select 1 as id, 0.00000001BD as d, 1e-9D as e")
+        got = transform(records_from_table(df), StreamConfig("s", ("d",)), TS).collect()[0]
+        assert (got.key, got.text) == ("0.00000001", '{"d":0.00000001,"e":0.000000001,"id":1}')
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_hashed_number_text(records):
     texts = ["42", "1e6", "1234567.5", "12345678.5", "0.0001", "0.00015", "0.00001", "999999", "1e21",
              "-1e10", "1.5e-10", '"1e6"', "true", "[1,2]"]

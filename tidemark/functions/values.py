@@ -73,7 +73,7 @@ def scalar_text(col: Column, dtype: T.DataType) -> Column:
         return F.lit(None).cast("string")
     if isinstance(dtype, (*_TIMESTAMPS, T.DateType, T.BinaryType)):
         return _jsonable(col, dtype)
-    return col.cast("string")
+    return decimal_text(col) if isinstance(dtype, T.DecimalType) else col.cast("string")
 
 
 def _jsonable(col: Column, dtype: T.DataType) -> Column:
@@ -154,14 +154,17 @@ def typed_json(col: Column, dtype: T.DataType) -> Column:
     return F.coalesce(text, F.lit("null"))
 
 
+def decimal_text(x: Column) -> Column:
+    """A decimal as plain digits; a cast to string depends on the session's ANSI setting."""
+    return F.to_json(x.cast("variant"))
+
+
 def plain_number(d: Column) -> Column:
     """A double as decimal digits without an exponent, as far as 38 digits can hold it."""
     s = d.cast("string")
-    scaled = F.when(
-        F.abs(d) < 1, s.try_cast("decimal(38,37)").cast("string")
-    ).otherwise(
+    scaled = F.when(F.abs(d) < 1, decimal_text(s.try_cast("decimal(38,37)"))).otherwise(
         F.coalesce(
-            s.try_cast("decimal(38,18)").cast("string"), s.try_cast("decimal(38,0)").cast("string")
+            decimal_text(s.try_cast("decimal(38,18)")), decimal_text(s.try_cast("decimal(38,0)"))
         )
     )
     exact = F.when(s.contains("E"), F.coalesce(scaled, s)).otherwise(s)
@@ -220,6 +223,8 @@ def key_string(v: Column, dtype: T.DataType | None = None) -> Column:
         text = key_from_json(v, canonical_text(v))
     elif isinstance(dtype, _FLOATING):
         text = plain_number(v.cast("double"))
+    elif isinstance(dtype, T.DecimalType):
+        text = decimal_text(v)
     elif isinstance(dtype, _NESTED):
         text = canonical_text(to_variant(v, dtype))
     else:
