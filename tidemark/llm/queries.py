@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import packing, token_counts
+from tidemark.llm import licenses, packing, quality, sharding, simhash, token_counts, toxicity
 from tidemark.llm.common import table
 
 MOST_TOKENS = 2048
@@ -16,6 +16,32 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Which rule came first depends on measured costs; the verdict doesn't.
+    return quality.quality(table(spark, sf_dir, "documents")).drop("first_rule")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -23,5 +49,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MOST_TOKENS)
 
 
-QUERIES = {"op1_packing": op1_packing, "op10_token_counts": op10_token_counts}
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_sharding": op2_sharding,
+    "op3_toxicity": op3_toxicity,
+    "op4_simhash": op4_simhash,
+    "op6_licenses": op6_licenses,
+    "op7_quality": op7_quality,
+    "op10_token_counts": op10_token_counts,
+}
 ORACLE: dict[str, str] = {}
