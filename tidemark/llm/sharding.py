@@ -26,11 +26,12 @@ def granted(flows: dict[tuple[int, int], int], sizes: list[int], quota: int) ->
     return {k: grant[k] / n for k, n in flows.items()}
 
 
-def propagate(links: DataFrame, shards: int, quota: int, rounds: int = 8) -> DataFrame:
+def propagate(links: DataFrame, shards: int, quota: int, rounds: int = 10) -> DataFrame:
     """(node, shard) of every linked node; `links` has columns a and b, each link once.
 
-    Nodes ask in turns, by a bit of their hash, so that two neighbours don't change places for ever.
-    Only counts per shard and per pair of shards reach the driver."""
+    Half of the nodes may ask in a round, drawn anew each time, so that two neighbours don't change
+    places for ever. It ends when nobody wants to move. Only counts per shard and per pair of shards
+    reach the driver."""
     spark = links.sparkSession
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     state = freeze(
@@ -38,7 +39,6 @@ def propagate(links: DataFrame, shards: int, quota: int, rounds: int = 8) -> Dat
         .withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")),
         "shards",
     )
-    quiet = 0
     for turn in range(rounds):
         at_b = state.select(F.col("node").alias("b"), "shard")
         votes = both.join(at_b, "b").groupBy("a", "shard").agg(F.count(F.lit(1)).alias("votes"))
@@ -51,20 +51,15 @@ def propagate(links: DataFrame, shards: int, quota: int, rounds: int = 8) -> Dat
             state.join(best, "node")
             .withColumn("to", -F.col("best.minus"))
             .filter((F.col("to") != F.col("shard"))
-                    & (F.col("best.votes") > F.coalesce(F.col("all")[F.col("shard")], F.lit(0)))
-                    & (F.pmod(F.xxhash64("node", F.lit("turn")) + turn, F.lit(2)) == 0))
-            .select("node", "to")
+                    & (F.col("best.votes") > F.coalesce(F.col("all")[F.col("shard")], F.lit(0))))
+            .select("node", "shard", "to", (F.pmod(F.xxhash64("node", F.lit(-turn)), F.lit(2)) == 0).alias("drawn"))
         )
         asked = freeze(asked, "moves")
-        flows = {
-            (r[0], r[1]): r[2]
-            for r in asked.join(state, "node").groupBy("shard", "to").agg(F.count(F.lit(1))).collect()
-        }
-        quiet = 0 if flows else quiet + 1
-        if quiet == 2:  # nobody asked in either turn
+        wanted = asked.groupBy("shard", "to").agg(F.count_if("drawn")).collect()
+        if not wanted:
             break
-        if not flows:
-            continue
+        flows = {(r[0], r[1]): r[2] for r in wanted if r[2]}
+        asked = asked.filter("drawn").select("node", "to")
         counted = {r[0]: r[1] for r in state.groupBy("shard").agg(F.count(F.lit(1))).collect()}
         shares = granted(flows, [counted.get(s, 0) for s in range(shards)], quota)
         grants = spark.createDataFrame([(a, b, p) for (a, b), p in shares.items()], "shard int, to int, share double")
@@ -110,7 +105,7 @@ def fill(nodes: DataFrame, placed: DataFrame, shards: int) -> DataFrame:
     return nodes.join(stay.union(filled), "node")
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 10) -> DataFrame:
     """doc_id, size, text_crc32, law (`rows`), shard, slot, grown_shard of every row.
 
     Documents with equal texts are linked, and stay together as far as even counts allow. Null texts
