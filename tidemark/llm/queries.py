@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, packing, quality, sharding, simhash, token_counts, toxicity
+from tidemark.llm import licenses, neighbours, packing, pieces, quality, sharding, simhash, token_counts, toxicity, warc
 from tidemark.llm.common import table
 
 MOST_TOKENS = 2048
@@ -33,6 +33,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -42,6 +46,15 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents")).drop("first_rule")
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode(table(spark, sf_dir, "documents"), path, with_ids=False)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -54,8 +67,11 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
+    "op5_neighbours": op5_neighbours,
     "op6_licenses": op6_licenses,
     "op7_quality": op7_quality,
+    "op8_pieces": op8_pieces,
+    "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE: dict[str, str] = {}
