@@ -91,6 +91,33 @@ def test_typed_number_text(spark):
     assert got == [("42", "42"), ("1e+06", "0.00015"), ("-7.654321e+06", "1.2345675e+06")]
 
 
+def test_numbers_of_any_size_keep_their_digits(spark, records):
+    """Typed and JSON alike: no rounding, no exponent, no two numbers with one text."""
+    texts = ["1e-40", "2e-39", "6.62607015e-34", "6e-40", "9e-39", "1e18", "3e25", "1.5e-19", "-1.25e300", "5e-324",
+             "1.7976931348623157e308", "0.001", "123.456", "1e22"]
+    zeros = "0" * 300
+    want = ["0." + zeros[:39] + "1", "0." + zeros[:38] + "2", "0." + zeros[:33] + "662607015", "0." + zeros[:39] + "6",
+            "0." + zeros[:38] + "9", "1" + zeros[:18], "3" + zeros[:25], "0." + zeros[:18] + "15", "-125" + zeros[:298],
+            "0." + "0" * 323 + "49", "17976931348623157" + zeros[:292], "0.001", "123.456", "1" + zeros[:22]]
+    assert column(records(*texts), V.canonical_text(rec())) == want
+    df = spark.createDataFrame([(i, float(t)) for i, t in enumerate(texts)], "id bigint, d double")
+    from pyspark.sql import types as T
+    got = df.orderBy("id").select(V.typed_json(F.col("d"), T.DoubleType()), V.key_string(F.col("d"), T.DoubleType()))
+    rows = got.collect()
+    assert [r[0] for r in rows] == want and [r[1] for r in rows] == want
+
+
+def test_long_integers_hash_apart(spark, records):
+    longs = [1234567890123456789, 1234567890123456790, 2**53 + 1, 2**53 + 2, -(2**53) - 1, 2**53 - 1]
+    json_texts = column(records(*map(str, longs)), V.value_text(rec()))
+    df = spark.createDataFrame([(n,) for n in longs], "n bigint")
+    from pyspark.sql import types as T
+    typed = [r[0] for r in df.select(V.value_text(F.col("n"), T.LongType())).collect()]
+    assert json_texts == typed and len(set(typed)) == len(longs) and typed[:2] == [str(n) for n in longs[:2]]
+    assert column(records("0.1234567890123456789", "0.1234567890123456788"), V.value_text(rec())) == [
+        "0.1234567890123456789", "0.1234567890123456788"]
+
+
 def test_equal_numbers_have_one_spelling(records):
     texts = ['{"a":1e7,"b":"1.0E7,"}', '{"a":10000000,"b":"1.0E7,"}', '{"a":10000000.0,"b":"1.0E7,"}']
     assert set(column(records(*texts), V.canonical_text(rec()))) == {'{"a":10000000,"b":"1.0E7,"}'}
@@ -110,7 +137,7 @@ def test_typed_text_equals_variant_text(spark):
         as t(id, d, s, b, ts, dt, st, arr)"""
     )
     out = transform(records_from_table(df, ord="id"), CFG, TS)
-    variant = F.to_json(V.to_variant(rec(), out.schema["rec"].dataType))
+    variant = V.canonical_text(V.to_variant(rec(), out.schema["rec"].dataType))
     rows = out.select("text", variant.alias("variant"), "nk_json").collect()
     assert all(r.text == r.variant for r in rows)
     assert json.loads(rows[0].text) == {

@@ -21,9 +21,8 @@ _NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 # Marks a struct field that holds a hash, whose text needs no escapes.
 HEX = "hex"
 
-# Typed doubles of this size are written as plain decimals, so 5.0 and 5 are one value, and so are
-# 1.5E7 and 15000000.
-PLAIN_FROM, PLAIN_BELOW = 1e-18, 1e18
+# Integers below this are doubles without loss; longer ones are hashed from their digits.
+EXACT_BELOW = 2**53
 
 
 def is_variant(dtype: T.DataType | None) -> bool:
@@ -92,14 +91,7 @@ def _jsonable(col: Column, dtype: T.DataType) -> Column:
         return col if plain else F.transform_values(col, lambda _, x: _jsonable(x, dtype.valueType))
     if isinstance(dtype, _FLOATING):
         d = col.cast("double")
-        size = F.abs(d)
-        integral = (F.rint(d) == d) & (size < F.lit(PLAIN_BELOW))
-        exponent = ((size >= 1e7) & (size < PLAIN_BELOW)) | ((size < 1e-3) & (size >= PLAIN_FROM))
-        return (
-            F.when(integral, d.cast("bigint").cast("variant"))
-            .when(exponent, F.try_parse_json(plain_number(d)))
-            .otherwise(d.cast("variant"))
-        )
+        return F.when(_is_small_integer(d), d.cast("bigint").cast("variant")).otherwise(d.cast("variant"))
     if isinstance(dtype, _TIMESTAMPS):
         return timestamp_text(col)
     if isinstance(dtype, T.DateType):
@@ -109,6 +101,10 @@ def _jsonable(col: Column, dtype: T.DataType) -> Column:
     return col
 
 
+def _is_small_integer(d: Column) -> Column:
+    return (F.rint(d) == d) & (F.abs(d) < EXACT_BELOW)
+
+
 def json_quoted(text: Column) -> Column:
     """A string as a quoted JSON value; the few that need escapes take the long way."""
     plain = F.concat(F.lit('"'), text, F.lit('"'))
@@ -142,15 +138,13 @@ def typed_json(col: Column, dtype: T.DataType) -> Column:
         text = F.concat(F.lit('"'), _jsonable(col, dtype), F.lit('"'))
     elif isinstance(dtype, _FLOATING):
         d = col.cast("double")
-        size = F.abs(d)
         text = (
-            F.when((F.rint(d) == d) & (size < F.lit(PLAIN_BELOW)), d.cast("bigint").cast("string"))
-            .when((size >= 1e-3) & (size < 1e7), d.cast("string"))
-            .when((size >= F.lit(PLAIN_FROM)) & (size < F.lit(PLAIN_BELOW)), plain_number(d))
-            .otherwise(F.to_json(d.cast("variant")))
+            F.when(_is_small_integer(d), d.cast("bigint").cast("string"))
+            .when(F.isnan(d) | (F.abs(d) == float("inf")), F.to_json(d.cast("variant")))
+            .otherwise(plain_number(d))
         )
     else:
-        text = F.to_json(to_variant(col, dtype))
+        text = canonical_json(F.to_json(to_variant(col, dtype)))
     return F.coalesce(text, F.lit("null"))
 
 
@@ -160,15 +154,26 @@ def decimal_text(x: Column) -> Column:
 
 
 def plain_number(d: Column) -> Column:
-    """A double as decimal digits without an exponent, as far as 38 digits can hold it."""
-    s = d.cast("string")
-    scaled = F.when(F.abs(d) < 1, decimal_text(s.try_cast("decimal(38,37)"))).otherwise(
-        F.coalesce(
-            decimal_text(s.try_cast("decimal(38,18)")), decimal_text(s.try_cast("decimal(38,0)"))
-        )
+    """A double as decimal digits without an exponent, whatever its size."""
+    return plain_digits(d.cast("string"))
+
+
+def plain_digits(text: Column) -> Column:
+    """A number's text without an exponent or zeros after its last decimal.
+
+    The point is moved within the digits, so nothing is rounded; only texts with one digit before the
+    point have an exponent, as engines write doubles."""
+    parts = r"^(-?)([0-9])(?:\.([0-9]*?))?0*E([-+]?[0-9]+)$"
+    part = lambda i: F.regexp_extract(text, parts, i)
+    sign, digits = part(1), F.concat(part(2), part(3))
+    shift = part(4).try_cast("int")
+    moved = (
+        F.when(shift < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -shift - 1), digits))
+        .when(F.length(digits) <= shift + 1, F.rpad(digits, shift + 1, "0"))
+        .otherwise(F.concat(F.substring(digits, F.lit(1), shift + 1), F.lit("."), F.substring(digits, shift + 2, F.length(digits))))
     )
-    exact = F.when(s.contains("E"), F.coalesce(scaled, s)).otherwise(s)
-    return F.regexp_replace(exact, r"\.0*$|(\.[0-9]*?[1-9])0+$", "$1")
+    plain = F.regexp_replace(text, r"\.0*$|(\.[0-9]*?[1-9])0+$", "$1")
+    return F.when(text.rlike(parts), F.concat(sign, moved)).otherwise(plain)
 
 
 def general_number(d: Column) -> Column:
@@ -188,6 +193,14 @@ def general_number(d: Column) -> Column:
     return text
 
 
+def _has_long_digits(text: Column) -> Column:
+    """More digits than a double surely holds: an integer from 2^53, or a decimal of over 15 digits."""
+    digits = F.regexp_replace(text, r"^-?0*\.?0*|\.", "")
+    whole = text.try_cast("decimal(38,0)")
+    long_integer = text.rlike("^-?[0-9]{16,}$") & ~F.coalesce(whole.between(-EXACT_BELOW, EXACT_BELOW), F.lit(False))
+    return ~text.contains("E") & (long_integer | (text.contains(".") & (F.length(digits) > 15)))
+
+
 def value_text(v: Column, dtype: T.DataType | None = None) -> Column:
     """The text a sensitive value is hashed from; objects and arrays use their canonical JSON."""
     if is_variant(dtype):
@@ -198,14 +211,18 @@ def value_text(v: Column, dtype: T.DataType | None = None) -> Column:
         return (
             # Texts that are the same whatever the kind of the value.
             F.when(text.rlike("^-?[0-9]{1,6}$") | ~text.rlike(r"^[-0-9\[{]"), text)
-            .when(number, general_number(v.try_cast("double")))
+            .when(number, F.when(_has_long_digits(text), text).otherwise(general_number(v.try_cast("double"))))
             .when(nested, canonical_text(v))
             .otherwise(text)
         )
     if isinstance(dtype, _INTEGRAL):
-        small = F.abs(v.cast("bigint")) < 1_000_000
-        return F.when(small, v.cast("string")).otherwise(general_number(v.cast("double")))
-    if isinstance(dtype, (*_FLOATING, T.DecimalType)):
+        wide = v.cast("bigint")
+        plain = wide.between(-999_999, 999_999) | ~wide.between(-EXACT_BELOW, EXACT_BELOW)
+        return F.when(plain, v.cast("string")).otherwise(general_number(v.cast("double")))
+    if isinstance(dtype, T.DecimalType):
+        text = decimal_text(v)
+        return F.when(_has_long_digits(text), text).otherwise(general_number(v.cast("double")))
+    if isinstance(dtype, _FLOATING):
         return general_number(v.cast("double"))
     if isinstance(dtype, _NESTED):
         return canonical_text(to_variant(v, dtype))
@@ -269,7 +286,7 @@ def canonical_json(text: Column) -> Column:
     uneven = lambda t: t.rlike(r"^-?[0-9].*(\.0$|E)")
     tokens = F.transform(
         F.regexp_extract_all(masked, F.lit(_TOKENS), F.lit(0)),
-        lambda t: F.when(uneven(t), plain_number(t.try_cast("double"))).otherwise(t),
+        lambda t: F.when(uneven(t), plain_digits(t)).otherwise(t),
     )
     joined = F.array_join(tokens, "")
     normal = F.replace(F.replace(joined, F.lit("\u0002"), F.lit('\\"')), F.lit("\u0001"), F.lit("\\\\"))
