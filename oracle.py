@@ -107,6 +107,15 @@ DRIFT_CATALOG = f"""WITH {PATHS}, {first_types('ord <> 0')}, c AS (
 CATALOG_ROWS = f"{DRIFT_CATALOG} SELECT 'events' AS stream, * FROM c"
 PLAIN_CATALOG_ROWS = CATALOG_ROWS.replace("event_id % 50", "-1 * 1")
 
+DIGITS = "(CAST(o_orderkey % 9 + 1 AS VARCHAR) || rtrim(CAST(o_orderkey % 7 + 2 AS VARCHAR), '0'))"
+
+
+def number_texts(text: str) -> str:
+    return f"SELECT o_orderkey, t AS typed, t AS json, t AS typed_key, t AS json_key FROM (SELECT o_orderkey, {text} AS t FROM orders)"
+
+
+LONG_HASH = "'{\"id\":' || CAST(o_orderkey AS VARCHAR) || ',\"n\":\"' || sha256(CAST(1000000000000000000 + o_orderkey AS VARCHAR)) || '\"}'"
+
 DAY = "substr(CAST(o_orderdate AS VARCHAR), 1, 10)"
 DATES = f"""WITH d AS (SELECT o_orderkey, CASE o_orderkey % 6
     WHEN 0 THEN {ts('o_orderdate')}
@@ -224,6 +233,9 @@ ORACLE = {
         UNION ALL SELECT 'additionalProperties', count(*) FROM events""",
     "check_items": """SELECT l_orderkey AS ord FROM lineitem GROUP BY l_orderkey
         HAVING count(*) BETWEEN 2 AND 5 AND max(CAST(l_quantity AS INT)) <= 45""",
+    "number_text_small": number_texts(f"'0.' || repeat('0', CAST(o_orderkey % 297 + 3 AS INT)) || {DIGITS}"),
+    "number_text_large": number_texts(f"{DIGITS} || repeat('0', CAST(o_orderkey % 277 + 25 - length({DIGITS}) AS INT))"),
+    "hash_large_integers": f"SELECT o_orderkey AS ord, {LONG_HASH} AS typed, {LONG_HASH} AS json FROM orders WHERE o_orderkey <> 0",
     "objects_only": "SELECT event_id AS ord, event_id % 5 > 2 AS ok FROM events",
     "temporal_kind": f"""{DATES} SELECT o_orderkey,
         CASE WHEN is_date_time THEN 'date-time' WHEN is_date THEN 'date' END AS kind FROM x""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 import derived as X
 from tidemark import StreamConfig
@@ -27,6 +28,9 @@ from tidemark.sources import files, store
 from tidemark.sources.records import records_from_json, records_from_table
 from tidemark.streaming import changes
 
+T_DOUBLE = DoubleType()
+
+
 def rec():
     return F.col("rec")
 
@@ -216,6 +220,40 @@ def key_string(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _number_texts(spark: SparkSession, sf: str, exponent: str) -> DataFrame:
+    """Doubles of two digits, typed and as JSON, as text and as keys."""
+    digits = "concat(o_orderkey % 9 + 1, '.', o_orderkey % 7 + 2, 'E', " + exponent + ")"
+    df = X.table(spark, sf, "orders").select("o_orderkey", F.expr(digits).alias("t"))
+    json = F.parse_json(F.concat(F.lit('{"v":'), F.col("t"), F.lit("}")))
+    typed, of_json = F.col("t").cast("double"), P.get_path(json, ["v"])
+    return df.select(
+        "o_orderkey", V.typed_json(typed, T_DOUBLE).alias("typed"), V.canonical_text(of_json).alias("json"),
+        V.key_string(typed, T_DOUBLE).alias("typed_key"), V.key_string(of_json).alias("json_key"),
+    )
+
+
+def number_text_small(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers from 1e-4 down to 1e-300."""
+    return _number_texts(spark, sf, "-(o_orderkey % 297 + 4)")
+
+
+def number_text_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers from 1e24 up to 1e300."""
+    return _number_texts(spark, sf, "o_orderkey % 277 + 24")
+
+
+def hash_large_integers(spark: SparkSession, sf: str) -> DataFrame:
+    """Sensitive integers of 19 digits that differ in the last ones only, typed and as JSON."""
+    n = (F.lit(10**18) + F.col("o_orderkey")).alias("n")
+    cfg = StreamConfig("orders", ("id",), sensitive_field_paths=(("n",),))
+    df = X.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), n)
+    lines = df.select("id", F.to_json(F.struct("id", "n")).alias("line"))
+    texts = lambda records, name: T.transform(records, cfg, X.RUN_TS).select("ord", F.col("text").alias(name))
+    return texts(records_from_table(df, ord="id"), "typed").join(
+        texts(records_from_json(lines, "line", ord="id"), "json"), "ord"
+    )
+
+
 def canonical_text(spark: SparkSession, sf: str) -> DataFrame:
     return X.events_json(spark, sf).select("ord", V.canonical_text(rec()).alias("text"))
 
@@ -598,6 +636,7 @@ QUERIES = {
         csv_scan, jsonl_scan, api_response_normalise, api_records_explode, api_records_path, page_urls,
         pages_until_empty, first_page_only, page_chain, read_bookmark, write_bookmark, read_catalog,
         write_catalog, get_path, set_path, drop_paths, hash_sensitive, key_string, canonical_text,
+        number_text_small, number_text_large, hash_large_integers,
         natural_key, surrogate_key, run_timestamp, unique_key, transform_records,
         transform_json_records, require_key, changed_only, validate_records, check_type,
         check_min_length, check_format, check_properties, check_catalog_keywords, check_items,
