@@ -155,7 +155,14 @@ def decimal_text(x: Column) -> Column:
 
 def plain_number(d: Column) -> Column:
     """A double as decimal digits without an exponent, whatever its size."""
-    return plain_digits(d.cast("string"))
+    return plain_digits(double_text(d))
+
+
+def double_text(d: Column) -> Column:
+    """The shortest text of a double. Casts give up to two digits more than needed for a few numbers, so
+    long texts are tried with 15 digits, and kept so if that is the same number."""
+    text, short = d.cast("string"), F.format_string("%.14E", d)
+    return F.when((F.length(text) >= 17) & (short.try_cast("double") == d), short).otherwise(text)
 
 
 def plain_digits(text: Column) -> Column:
@@ -178,7 +185,7 @@ def plain_digits(text: Column) -> Column:
 
 def general_number(d: Column) -> Column:
     """A double in general format: shortest digits, an exponent outside [1e-4, 1e6)."""
-    text = d.cast("string")
+    text = F.regexp_replace(double_text(d), r"^(-?[0-9]\.[0-9]+?)0*E\+?(-?)0?([0-9]+)$", "$1E$2$3")
     for pattern, replacement in (
         # 1234567.5 and 1.5E-4 are on the other side of the bounds of the plain form.
         (r"^(-?[0-9])([0-9]{6})\.([0-9]+)$", "$1.$2$3E6"),
@@ -286,7 +293,7 @@ def canonical_json(text: Column) -> Column:
     uneven = lambda t: t.rlike(r"^-?[0-9].*(\.0$|E)")
     tokens = F.transform(
         F.regexp_extract_all(masked, F.lit(_TOKENS), F.lit(0)),
-        lambda t: F.when(uneven(t), plain_digits(t)).otherwise(t),
+        lambda t: F.when(uneven(t), F.when(t.contains("E"), plain_number(t.try_cast("double"))).otherwise(plain_digits(t))).otherwise(t),
     )
     joined = F.array_join(tokens, "")
     normal = F.replace(F.replace(joined, F.lit("\u0002"), F.lit('\\"')), F.lit("\u0001"), F.lit("\\\\"))
