@@ -97,12 +97,17 @@ def updated_at(bookmark: DataFrame) -> DataFrame:
 
 
 def unseen_keys(
-    bookmark: DataFrame, run_started_at: str | Column, rejected: DataFrame | None = None
+    bookmark: DataFrame, run_started_at: str | Column, rejected: DataFrame | None = None,
+    stream: str | None = None,
 ) -> DataFrame:
-    """Keys not seen since a run began: candidates for deletion at the source.
+    """Keys not seen since a run began, of one stream if it is named: candidates for deletion at the source.
 
     ``rejected`` (stream, key) names records that were present but did not pass validation."""
-    out = bookmark.filter(F.col("last_seen") < run_started_at)
+    # Compared as times: texts with and without fractions of a second do not sort as they should.
+    started = F.lit(run_started_at) if isinstance(run_started_at, str) else run_started_at
+    out = bookmark.filter(F.to_timestamp("last_seen") < F.to_timestamp(started))
+    if stream is not None:
+        out = out.filter(F.col("stream") == stream)
     if rejected is not None:
         out = out.join(rejected.select("stream", "key"), ["stream", "key"], "left_anti")
     return out

@@ -20,6 +20,7 @@ from tidemark.functions.values import is_variant, to_variant
 DEPTH = 4
 
 # Type codes, all below CODES.
+FIRST = "decimal(21,0)"
 CODES = 8
 BOOLEAN, NUMBER, STRING, DATE_TIME, DATE, ARRAY, OBJECT, DEEPER = range(8)
 _TYPE_OF = {
@@ -144,12 +145,13 @@ def infer_paths(df: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def _first(ord_: Column, code: Column) -> Column:
-    return ord_ * CODES + code
+    # Wide enough for any BIGINT order; a decimal of this size is still a buffer of a hash aggregate.
+    return (ord_.cast("decimal(20,0)") * CODES + code).cast(FIRST)
 
 
 def _named(types: DataFrame) -> DataFrame:
     """Catalog columns from (stream, path, first, object, deeper)."""
-    code = F.pmod(F.col("first"), F.lit(CODES))
+    code = F.pmod(F.col("first"), F.lit(CODES)).cast("int")
     return types.select(
         "stream",
         "path",
@@ -248,7 +250,7 @@ def found_types(
     )
     leaves = _fold(leaves, "stream", *keys)
     # From here on one row per distinct path: add the objects around each value.
-    around = F.floor(F.col("first") / CODES).cast("bigint") * CODES + OBJECT
+    around = (F.col("first") - F.pmod(F.col("first"), F.lit(CODES)) + OBJECT).cast(FIRST)
     entries = []
     for level in range(1, depth + 1):
         own = F.col(f"k{level + 1}").isNull() if level < depth else F.lit(True)
@@ -276,17 +278,17 @@ def _add_natural_key(paths: DataFrame, key_path: tuple[str, ...]) -> DataFrame:
     at = F.array(*[F.lit(k) for k in key_path])
     under = F.slice("path", F.lit(1), F.lit(n)) == at
     below = F.slice("path", F.lit(n + 1), F.greatest(F.size("path") - n, F.lit(0)))
-    code = F.pmod(F.col("first"), F.lit(CODES))
+    code = F.pmod(F.col("first"), F.lit(CODES)).cast("int")
     # The key itself carries no date format.
     plain = F.when(
-        (F.size("path") == n) & code.isin(DATE, DATE_TIME), F.col("first") - code + STRING
+        (F.size("path") == n) & code.isin(DATE, DATE_TIME), (F.col("first") - code + STRING).cast(FIRST)
     ).otherwise(F.col("first"))
     natural = F.array(F.lit(K.NATURAL_KEY))
     row = lambda path, first, obj, deeper: F.struct(
         path.alias("path"), first.alias("first"), obj.alias("object"), deeper.alias("deeper")
     )
     same = row(F.col("path"), F.col("first"), F.col("object"), F.col("deeper"))
-    last = F.lit((2**63 - 1) // CODES * CODES - CODES + STRING)
+    last = F.lit(str(2**63 * CODES + STRING)).cast(FIRST)
     absent = row(natural, last, F.lit(False), F.lit(False))
     copy = row(F.concat(natural, below), plain, F.col("object"), F.col("deeper"))
     rows = F.when(under, F.array(same, absent, copy)).otherwise(F.array(same, absent))

@@ -97,9 +97,9 @@ def set_query_parameter(url: Column, name: Column, value: Column) -> Column:
 
 def page_urls(streams: DataFrame, n_pages: int | Column) -> DataFrame:
     """(stream, page_no, url) of query paging, for rows of ``stream, url, query_parameter,
-    query_value, query_increment``. Page 0 is the URL as given."""
+    query_value, query_increment``. Page 0 is the URL as given; a stream of no pages has no row."""
     last = (F.lit(n_pages) if isinstance(n_pages, int) else n_pages) - 1
-    pages = streams.withColumn("page_no", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+    pages = streams.withColumn("page_no", F.explode(F.when(last >= 0, F.sequence(F.lit(0), last.cast("int")))))
     value = F.col("query_value") + (F.col("page_no") - 1) * F.col("query_increment")
     paged = set_query_parameter(F.col("url"), F.col("query_parameter"), value)
     return pages.select(

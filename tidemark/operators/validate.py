@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions import temporal as D
 from tidemark.functions.keys import META_FIELDS, NATURAL_KEY
+from tidemark.functions.paths import get_raw
 from tidemark.functions.values import (
     ARRAY,
     MAP,
@@ -138,13 +140,38 @@ def _dumps(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def _plain(value):
+    """A constant with its numbers spelled as canonical_text does: 1.0 is 1."""
+    if isinstance(value, dict):
+        return {k: _plain(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_plain(v) for v in value]
+    return int(value) if isinstance(value, float) and value.is_integer() else value
+
+
+def _multiple_of(x: Value, step) -> Column:
+    """True unless the number is a multiple, worked out from its digits, whatever the point's place.
+
+    What is too long for 38 digits counts as no multiple, since nothing unchecked may pass."""
+    exact = Decimal(str(step))
+    if exact <= 0:
+        raise ValueError(f"multipleOf must be above 0, got {step}")
+    places = max(0, -exact.normalize().as_tuple().exponent)
+    whole = int(exact.scaleb(places))
+    digits = F.regexp_extract(canonical_text(x.v), r"^-?([0-9]+)(?:\.([0-9]+))?$", 1)
+    decimals = F.regexp_extract(canonical_text(x.v), r"^-?([0-9]+)(?:\.([0-9]+))?$", 2)
+    scaled = F.concat(digits, F.rpad(decimals, places, "0")).try_cast("decimal(38,0)")
+    fits = (F.length(decimals) <= places) & (scaled % F.lit(str(whole)).cast("decimal(38,0)") == 0)
+    return ~F.coalesce(fits, F.lit(False))
+
+
 def _equals_any(x: Value, values: list) -> Column:
     """True where the value is one of some constants; only nested ones are compared as JSON."""
     ok = F.lit(False)
     strings = [c for c in values if isinstance(c, str)]
     booleans = [str(c).lower() for c in values if isinstance(c, bool)]
     numbers = [float(c) for c in values if isinstance(c, (int, float)) and not isinstance(c, bool)]
-    nested = [_dumps(c) for c in values if isinstance(c, (list, dict))]
+    nested = [_dumps(_plain(c)) for c in values if isinstance(c, (list, dict))]
     if strings:
         ok = ok | ((x.kind == "STRING") & x.text.isin(*strings))
     if booleans:
@@ -169,8 +196,7 @@ def _number_rule(x: Value, keyword: str, bound) -> Column:
     elif keyword == "exclusiveMaximum":
         broken = d >= float(bound)
     else:
-        exact = x.v.try_cast("decimal(38,18)")
-        broken = exact % F.lit(str(bound)).cast("decimal(38,18)") != 0
+        broken = _multiple_of(x, bound)
     return _has_type(x, "number") & broken
 
 
@@ -331,11 +357,14 @@ def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
                     node.col.isNotNull(), F.array(*[F.lit(n) for n in node.dtype.names])
                 )
             else:
-                if read:
+                # Names that differ by case alone would be one field of a struct.
+                apart = len({n.lower() for n in read}) == len(read)
+                if read and apart:
                     fields = T.StructType([T.StructField(n, T.VariantType()) for n in read])
                     opened[node.prefix] = node.value.v.try_cast(fields)
                 for i, n in enumerate(read):
-                    v, kind = F.col(node.prefix).getField(n), f"{node.prefix}_{i}_kind"
+                    v = F.col(node.prefix).getField(n) if apart else get_raw(node.value.v, [n])
+                    kind = f"{node.prefix}_{i}_kind"
                     kinds[kind] = F.schema_of_variant(v)
                     values[n] = Value(v, F.col(kind), v.cast("string"))
                 keys = F.map_keys(node.value.v.try_cast(MAP))

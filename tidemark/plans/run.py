@@ -53,10 +53,14 @@ class RunResult:
 
 
 def run_discover(
-    source: DataFrame, cfg: StreamConfig, store: Store, discovered_at: str | None = None
-) -> dict:
+    source: DataFrame, cfg: StreamConfig, store: Store, discovered_at: str | None = None,
+    needs_records: bool = True,
+) -> dict | None:
     """Infer the stream's schema, merge it into the catalog, and return the JSON Schema.
 
+    A source without a usable record leaves the catalog as it is. It raises where the catalog has
+    nothing on the stream either, unless ``needs_records`` is false, as for a micro-batch.
+
     Records nested deeper than the first look reads are read again with more levels. The bookmark is
     left as it is."""
     spark = source.sparkSession
@@ -73,7 +77,10 @@ def run_discover(
             break
         depth *= 2
     if found.isEmpty():
-        raise ValueError(f"discovery of stream {cfg.stream_name} found no properties")
+        known = load_schema(existing, cfg.stream_name)
+        if known is None and needs_records:
+            raise ValueError(f"discovery of stream {cfg.stream_name} found no properties")
+        return known
     others = existing.filter(F.col("stream") != cfg.stream_name)
     merged = D.merge_found(
         found, existing.filter(F.col("stream") == cfg.stream_name), discovered_at

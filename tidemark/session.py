@@ -7,7 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings a run should be submitted with; none is needed for right results but the time zone.
+# Settings that results depend on; scans and runs raise under others.
+NEEDED_CONF = {"spark.sql.session.timeZone": ("UTC", "Etc/UTC", "Z", "GMT"), "spark.sql.variant.allowDuplicateKeys": ("true",)}
+
+# Settings a run should be submitted with.
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -47,12 +50,23 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def check_settings(spark: SparkSession) -> None:
+    """Raise under a setting that would change or lose records without a word."""
+    for key, values in NEEDED_CONF.items():
+        value = spark.conf.get(key)
+        if value not in values:
+            raise ValueError(f"{key} is {value}; it must be {values[0]} (see tidemark.session.apply_settings)")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: the session's checkpoint folder.
 
-    Set only where the session names none, which is the case in local tests."""
+    Where the session names none, a local session gets a temporary folder; on a cluster this raises,
+    since a folder of one machine would not hold what the others write."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(base)
     return base

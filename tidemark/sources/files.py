@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.values import is_object
+from tidemark.session import check_settings
 
 CORRUPT = "_corrupt_record"
 
@@ -62,25 +63,51 @@ def read_csv(
     rows = _csv_rows(spark.read.options(**_csv_options(multi_line)).schema(schema).csv(uri))
     if on_bad == "quarantine":
         return rows.filter("raw IS NULL").drop("raw"), rows.filter("raw IS NOT NULL").select("raw")
-    message = F.concat(F.lit("CSV row does not fit the header: "), F.col("raw"))
+    # The row itself may hold sensitive fields, so only its place is told.
+    place = F.concat(F.input_file_name(), F.lit(", row "), F.col("ord").cast("string"), F.lit(" of the scan"))
+    message = F.concat(F.lit("a CSV row does not fit the header: "), place)
     ok = F.when(F.col("raw").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
     return rows.filter(ok).drop("raw")
 
 
-def jsonl_rows(lines: DataFrame) -> DataFrame:
-    """(ord, rec, raw) from a ``value`` column of lines.
+def jsonl_parsed(lines: DataFrame) -> DataFrame:
+    """(ord, rec, raw, reason) of every line but blank ones, from a ``value`` column of lines.
 
-    Lines that are not objects are left out; a bare null stays and later fails the key check. The
-    parsed record comes out of a generator, so that the test does not parse every line again."""
-    rec = F.try_parse_json("value")
-    parsed = F.explode(F.array(rec)).alias("rec")
-    rows = lines.select(parsed, F.col("value").alias("raw"))
-    kept = rows.filter(is_object(F.col("rec")) | F.is_variant_null("rec"))
-    return kept.withColumn("ord", F.monotonically_increasing_id()).select("ord", "rec", "raw")
+    ``reason`` says why a line gives no record, and is NULL for objects and for a bare null, which
+    later fails the key check. The parsed record comes out of a generator, so that no test parses a
+    line again. Objects that repeat a key keep its last value, which is a setting of the session."""
+    check_settings(lines.sparkSession)
+    parsed = F.explode(F.array(F.try_parse_json("value"))).alias("rec")
+    rows = lines.filter(F.trim("value") != "").select(parsed, F.col("value").alias("raw"))
+    rec = F.col("rec")
+    # A line that is too large or too deep for a VARIANT is not told from one that is no JSON.
+    reason = F.when(rec.isNull(), "is not JSON, or over the limits of a VARIANT").when(
+        ~is_object(rec) & ~F.is_variant_null(rec), "is not an object"
+    )
+    return rows.withColumn("ord", F.monotonically_increasing_id()).select("ord", "rec", "raw", reason.alias("reason"))
 
 
-def read_jsonl(spark: SparkSession, uri: str) -> DataFrame:
-    return jsonl_rows(spark.read.text(uri))
+def jsonl_rows(lines: DataFrame) -> DataFrame:
+    """(ord, rec, raw) of the lines that give a record."""
+    return jsonl_parsed(lines).filter("reason IS NULL").drop("reason")
+
+
+def read_jsonl(
+    spark: SparkSession, uri: str, on_bad: str = "skip"
+) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Records of JSON lines. Lines that give none are skipped; ``on_bad="quarantine"`` returns
+    (records, bad lines with their reasons) instead, ``on_bad="fail"`` fails the job at the first."""
+    if on_bad not in ("skip", "fail", "quarantine"):
+        raise ValueError(f"on_bad must be skip, fail or quarantine, got {on_bad!r}")
+    rows = jsonl_parsed(spark.read.text(uri))
+    if on_bad == "skip":
+        return rows.filter("reason IS NULL").drop("reason")
+    if on_bad == "quarantine":
+        good = rows.filter("reason IS NULL").drop("reason")
+        return good, rows.filter("reason IS NOT NULL").select("ord", "raw", "reason")
+    message = F.concat(F.lit("a line "), F.col("reason"), F.lit(": "), F.input_file_name())
+    ok = F.when(F.col("reason").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.filter(ok).drop("reason")
 
 
 def stream_jsonl(spark: SparkSession, uri: str, max_files: int | None = None) -> DataFrame:
@@ -102,5 +129,10 @@ def stream_csv(
 
 
 def csv_rows(df: DataFrame) -> DataFrame:
-    """(ord, rec) of a micro-batch read by stream_csv; rows that do not fit are left in ``raw``."""
-    return _csv_rows(df)
+    """(ord, rec) of a micro-batch read by stream_csv, without the rows that do not fit the header."""
+    return _csv_rows(df).filter("raw IS NULL").drop("raw")
+
+
+def csv_rejects(df: DataFrame) -> DataFrame:
+    """(raw) of the rows of a micro-batch that do not fit the header."""
+    return _csv_rows(df).filter("raw IS NOT NULL").select("raw")

@@ -62,9 +62,7 @@ def stream_discover(
     known paths keep what they have."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        records = parse(batch)
-        if not records.isEmpty():
-            run_discover(records, cfg, store)
+        run_discover(parse(batch), cfg, store, needs_records=False)
 
     return _start(arriving, checkpoint, on_batch)
 
