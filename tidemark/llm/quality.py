@@ -29,11 +29,11 @@ class Rule:
     rejects: str
 
 
-#: Thresholds reject what is broken, and leave tables, lists and short notes alone.
+#: Thresholds reject what is broken, and leave prose with some code, figures or links alone.
 RULES = (
     Rule("mean_word_short", "word_chars < 1.5 * n_words"),
     Rule("mean_word_long", "word_chars > 30 * n_words"),
-    Rule("symbols", "n_symbols > 1.0 * n_words"),
+    Rule("symbols", "n_symbols > 0.3 * n_words"),
     Rule("duplicate_lines", "n_dup_lines > 0.5 * n_lines"),
     Rule("few_different_words", "10 * size(array_distinct(words)) < n_words and n_words < 2000"),
     Rule("long_word", "exists(words, w -> length(w) > 1000)"),
