@@ -93,7 +93,7 @@ def main() -> None:
         ),
     )
 
-    bookmark = changed.bookmark.read()
+    bookmark = changed.of("orders").bookmark.read()
     updates = bookmark.select(
         "stream", "key", "surrogate_key", F.lit("2024-07-01T00:00:00Z").alias("ts"),
         F.lit(True).alias("emitted"), F.monotonically_increasing_id().alias("ord"),

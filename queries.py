@@ -141,7 +141,7 @@ def write_bookmark(spark: SparkSession, sf: str) -> DataFrame:
     first = X.orders_bookmark(spark, sf)
     store.write_bookmark(spark, uri, first.filter("last_emitted IS NULL"))
     store.write_bookmark(spark, uri, first)
-    table = store.Store(spark, uri).bookmark
+    table = store.Store(spark, uri).of("orders").bookmark
     old = table.read(1).select("key", F.lit(1).cast("bigint").alias("version"))
     return old.unionByName(table.read().select("key", F.lit(2).cast("bigint").alias("version")))
 
@@ -165,7 +165,7 @@ def write_catalog(spark: SparkSession, sf: str) -> DataFrame:
     found = _drift_catalog(spark, sf)
     store.write_catalog(spark, uri, found.filter(F.size("path") == 1))
     store.write_catalog(spark, uri, found)
-    table = store.Store(spark, uri).catalog
+    table = store.Store(spark, uri).of("events").catalog
     rows = lambda v: table.read(v).select(
         F.array_join("path", ".").alias("path"), "type", F.lit(v).cast("bigint").alias("version")
     )
@@ -557,7 +557,7 @@ def rejects(spark: SparkSession, sf: str) -> DataFrame:
 def run_discover(spark: SparkSession, sf: str) -> DataFrame:
     s = store.Store(spark, scratch_uri(spark, "run"))
     R.run_discover(X.events_drift(spark, sf), X.EVENTS, s, X.RUN_TS)
-    return _catalog_columns(s.catalog.read())
+    return _catalog_columns(s.of("events").catalog.read())
 
 
 def _prepared(spark: SparkSession, sf: str) -> store.Store:
@@ -584,7 +584,7 @@ def run_extract_bookmark(spark: SparkSession, sf: str) -> DataFrame:
     """The bookmark that the run left."""
     s = _prepared(spark, sf)
     R.run_extract(X.orders_stream(spark, sf), X.ORDERS, s, X.RUN_TS)
-    return s.bookmark.read()
+    return s.of("orders").bookmark.read()
 
 
 def run_refresh(spark: SparkSession, sf: str) -> DataFrame:
@@ -616,7 +616,7 @@ def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
             files.stream_jsonl(spark, uri), X.EVENTS, s, f"{s.uri}/checkpoint", files.jsonl_rows
         ).awaitTermination()
     emitted_last = F.col("last_seen") == F.col("last_emitted")
-    return s.bookmark.read().select("key", "surrogate_key", emitted_last.alias("emitted_when_last_seen"))
+    return s.of("events").bookmark.read().select("key", "surrogate_key", emitted_last.alias("emitted_when_last_seen"))
 
 
 def stream_discover(spark: SparkSession, sf: str) -> DataFrame:
@@ -627,7 +627,7 @@ def stream_discover(spark: SparkSession, sf: str) -> DataFrame:
         changes.stream_discover(
             files.stream_jsonl(spark, uri), X.EVENTS, s, f"{s.uri}/checkpoint", files.jsonl_rows
         ).awaitTermination()
-    return _catalog_columns(s.catalog.read())
+    return _catalog_columns(s.of("events").catalog.read())
 
 
 QUERIES = {

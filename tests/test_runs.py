@@ -14,7 +14,7 @@ from tidemark.operators.catalog import catalog_from_schema
 from tidemark.operators.transform import transform, transform_all
 from tidemark.plans import run as R
 from tidemark.sources import files
-from tidemark.sources.store import write_catalog
+from tidemark.sources.store import StaleRun, read_bookmark, write_catalog
 from tidemark.streaming.changes import _extract_batch, stream_changes
 
 SF = "/root/testdata/sf0.001"
@@ -31,7 +31,7 @@ def emitted(spark, run):
 
 
 def state(store):
-    return {r.key: (r.last_seen, r.last_emitted) for r in store.bookmark.read().collect()}
+    return {r.key: (r.last_seen, r.last_emitted) for r in store.of("s").bookmark.read().collect()}
 
 
 @pytest.fixture
@@ -59,9 +59,9 @@ def test_runs(spark, ready, records):
     assert m["processed"] == m["emitted"] + m["not_emitted_total"] == 3
 
     rejected = spark.read.parquet(third.rejects)
-    gone = unseen_keys(ready.bookmark.read(), "t3")
+    gone = unseen_keys(ready.of("s").bookmark.read(), "t3")
     assert [r.key for r in gone.collect()] == ["2"]
-    assert unseen_keys(ready.bookmark.read(), "t3", rejected).isEmpty()
+    assert unseen_keys(ready.of("s").bookmark.read(), "t3", rejected).isEmpty()
 
     refreshed = R.run_refresh(records('{"id":1,"v":5}', '{"id":3}'), CFG, ready, run_ts="t4")
     assert emitted(spark, refreshed) == [(1, 5), (3, None)]
@@ -86,8 +86,8 @@ def test_discovery(spark, store, records):
     for key in "bcde":
         node = node["properties"][key]
     assert node["properties"] == {"f": {"type": ["boolean", "null"]}} and "q" not in schema["properties"]
-    message = json.loads(spark.read.text(store.output("schema", 1)).first().value)
-    assert message["schema"] == schema and store.bookmark.info() is None
+    message = json.loads(spark.read.text(store.of("s").catalog.info()["schema_message"]).first().value)
+    assert message["schema"] == schema and store.of("s").bookmark.info() is None
     later = R.run_discover(records('{"id":2,"q":"x","a":5}'), CFG, store, "t2")
     assert later["properties"]["q"] == {"type": ["string", "null"]}
     assert later["properties"]["a"] == schema["properties"]["a"]
@@ -108,11 +108,11 @@ def test_csv_run(spark, ready, tmp_path):
 
 def test_failed_run_leaves_the_state(spark, ready, records):
     R.run_extract(records('{"id":1}'), CFG, ready, "t1")
-    before = ready.bookmark.info()
+    before = ready.of("s").bookmark.info()
     boom = records('{"id":2}').withColumn("rec", F.raise_error(F.lit("source broke")).cast("variant"))
     with pytest.raises(Exception, match="source broke"):
         R.run_extract(boom, CFG, ready, "t2")
-    assert ready.bookmark.info() == before and list(state(ready)) == ["1"]
+    assert ready.of("s").bookmark.info() == before and list(state(ready)) == ["1"]
 
 
 def test_outcomes_do_not_depend_on_partitions(spark):
@@ -187,12 +187,14 @@ def test_stream_replay_is_idempotent(spark, ready, records):
     _extract_batch(batch, 0, CFG, ready, "ck", False)
     changed = records('{"id":1,"v":2}')
     _extract_batch(changed, 1, CFG, ready, "ck", False)
-    info, rows = ready.bookmark.info(), state(ready)
-    first = emitted(spark, R.RunResult(2, ready.output("messages", 2), "", {}))
+    info, rows = ready.of("s").bookmark.info(), state(ready)
+    first = emitted(spark, R.RunResult(2, ready.of("s").bookmark.info()["outputs"][0] + "/messages", "", {}))
     _extract_batch(changed, 1, CFG, ready, "ck", False)
-    assert emitted(spark, R.RunResult(2, ready.output("messages", 2), "", {})) == first == [(1, 2)]
-    after = ready.bookmark.info()
-    assert state(ready) == rows and {**after, "metrics": 0} == {**info, "metrics": 0}
+    assert emitted(spark, R.RunResult(2, ready.of("s").bookmark.info()["outputs"][0] + "/messages", "", {})) == first == [(1, 2)]
+    after = ready.of("s").bookmark.info()
+    # A run has folders and an end of its own; everything else is as it was.
+    own = {"metrics", "path", "outputs", "last_extraction_ended_at"}
+    assert state(ready) == rows and {k: after[k] for k in after.keys() - own} == {k: info[k] for k in info.keys() - own}
 
 
 def test_stream_reaches_the_state_of_a_batch_run(spark, ready, tmp_path):
@@ -204,8 +206,8 @@ def test_stream_reaches_the_state_of_a_batch_run(spark, ready, tmp_path):
     stream_changes(
         files.stream_jsonl(spark, str(landing), max_files=1), CFG, ready, str(tmp_path / "ck"), files.jsonl_rows
     ).awaitTermination()
-    assert ready.bookmark.version() == 3
-    sk = {r.key: r.surrogate_key for r in ready.bookmark.read().collect()}
+    assert ready.of("s").bookmark.version() == 3
+    sk = {r.key: r.surrogate_key for r in ready.of("s").bookmark.read().collect()}
     want = transform(files.read_jsonl(spark, str(landing / "2.jsonl")), CFG, "t").collect()
     assert set(sk) == {"1", "2", "3", "9"}
     assert {r.key: r["_sdc_surrogate_key"] for r in want}.items() <= sk.items()
@@ -216,3 +218,55 @@ def test_empty_run(spark, ready, records):
     run = R.run_extract(records('{"id":1}').filter("false"), CFG, ready, "t2")
     assert run.metrics["processed"] == 0 and emitted(spark, run) == []
     assert spark.read.parquet(run.rejects).isEmpty() and state(ready) == {"1": ("t1", "t1")}
+
+
+def test_two_streams_in_one_store(spark, ready, records):
+    """Both begin from nothing, as runs side by side do; neither touches the other's state or output."""
+    other = StreamConfig("t", ("id",))
+    write_catalog(spark, ready.uri, catalog_from_schema(spark, "t", SCHEMA))
+    one = R.run_extract(records('{"id":1}', '{"id":2}'), CFG, ready, version=1, previous=0)
+    two = R.run_extract(records('{"id":1}'), other, ready, version=1, previous=0)
+    assert read_bookmark(spark, ready.uri, ["s"]).count() == 2 and read_bookmark(spark, ready.uri).count() == 3
+    assert spark.read.text(f"{one.messages}/records").count() == 2
+    assert spark.read.text(f"{two.messages}/records").count() == 1
+
+
+def test_a_stale_run_does_not_commit(spark, ready, records):
+    R.run_extract(records('{"id":1}'), CFG, ready, version=1, previous=0)
+    with pytest.raises(StaleRun):
+        R.run_extract(records('{"id":2}'), CFG, ready, version=1, previous=0)
+    assert [r.key for r in ready.of("s").bookmark.read().collect()] == ["1"]
+
+
+def test_old_versions_go(spark, ready, records):
+    for i in range(4):
+        result = R.run_extract(records(f'{{"id":{i + 1}}}'), CFG, ready, keep_versions=2)
+    table = ready.of("s").bookmark
+    assert result.version == table.version() == 4 and table.read(3).count() == 3 and table.read().count() == 4
+    with pytest.raises(ValueError, match="not there"):
+        table.read(2)
+    assert table.info()["updated_at"] == table.info()["last_extraction_started_at"]
+
+
+def test_discovery_of_nothing(spark, store, records):
+    with pytest.raises(ValueError, match="found no properties"):
+        R.run_discover(records("null"), CFG, store)
+    assert R.run_discover(records("null"), CFG, store, needs_records=False) is None
+    known = R.run_discover(records('{"id":1}'), CFG, store)
+    assert R.run_discover(records("null"), CFG, store) == known
+
+
+def test_settings_are_checked(spark, ready, records):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        with pytest.raises(ValueError, match="timeZone"):
+            R.run_extract(records('{"id":1}'), CFG, ready)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_keys_that_differ_by_case(spark, store, records):
+    rows = records('{"id":1,"ID":"x","n":{"a":1,"A":2}}', '{"id":2,"ID":"y","n":{"a":3,"A":"no"}}')
+    R.run_discover(rows, CFG, store)
+    result = R.run_extract(rows, CFG, store)
+    assert (result.metrics["emitted"], result.metrics["schema_validation_failed"]) == (1, 1)

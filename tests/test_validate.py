@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import StreamConfig
 from tidemark.operators.validate import validate
@@ -84,3 +85,19 @@ def test_config():
     ):
         with pytest.raises(ValueError):
             StreamConfig.from_dict(broken)
+
+
+@pytest.mark.parametrize("step, value, ok", [
+    (7, "1e21", False), (7, "7e21", True), (1, "1.5e-19", False), (1e-20, "3e-20", True), (0.1, "0.30000", True),
+    (0.1, "0.35", False), (2, "0", True), (3, "-9", True), (3, "1e60", False), (0.01, "19.99", True),
+])
+def test_multiple_of_any_size(records, step, value, ok):
+    rows = records(f'{{"a":{value}}}').withColumn("stream", F.lit("s"))
+    valid, bad = validate(rows, {"properties": {"a": {"multipleOf": step}}})
+    assert (valid.count(), bad.count()) == (int(ok), int(not ok))
+
+
+def test_nested_constants(records):
+    schema = {"properties": {"a": {"enum": [{"x": 1.0, "y": [2.0, 2.5]}]}}}
+    valid, bad = validate(records('{"a":{"x":1,"y":[2,2.5]}}', '{"a":{"x":1,"y":[2]}}'), schema)
+    assert (valid.count(), bad.count()) == (1, 1)

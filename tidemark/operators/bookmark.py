@@ -96,6 +96,11 @@ def updated_at(bookmark: DataFrame) -> DataFrame:
     return bookmark.groupBy("stream").agg(F.max("last_seen").alias("updated_at"))
 
 
+def _sortable(ts: Column) -> Column:
+    """UTC text without its Z and the zeros of its fraction, so that 00:00:00Z sorts before 00:00:00.5Z."""
+    return F.regexp_replace(ts, r"(\.[0-9]*[1-9])0*Z$|\.0*Z$|Z$", "$1")
+
+
 def unseen_keys(
     bookmark: DataFrame, run_started_at: str | Column, rejected: DataFrame | None = None,
     stream: str | None = None,
@@ -103,9 +108,8 @@ def unseen_keys(
     """Keys not seen since a run began, of one stream if it is named: candidates for deletion at the source.
 
     ``rejected`` (stream, key) names records that were present but did not pass validation."""
-    # Compared as times: texts with and without fractions of a second do not sort as they should.
     started = F.lit(run_started_at) if isinstance(run_started_at, str) else run_started_at
-    out = bookmark.filter(F.to_timestamp("last_seen") < F.to_timestamp(started))
+    out = bookmark.filter(_sortable(F.col("last_seen")) < _sortable(started))
     if stream is not None:
         out = out.filter(F.col("stream") == stream)
     if rejected is not None:

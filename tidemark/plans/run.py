@@ -23,7 +23,7 @@ from tidemark.operators import metrics as X
 from tidemark.operators import outcomes as O
 from tidemark.operators.catalog import load_schema
 from tidemark.operators.transform import now_text, transform, transform_all
-from tidemark.session import scratch_uri
+from tidemark.session import check_settings, scratch_uri
 from tidemark.sources import files
 from tidemark.sources.store import Store
 
@@ -65,8 +65,10 @@ def run_discover(
     left as it is."""
     spark = source.sparkSession
     discovered_at = discovered_at or now_text()
+    store = store.of(cfg.stream_name)
     table = store.catalog
-    existing = table.read()
+    version = table.version() + 1
+    existing = table.read(version - 1)
     depth, records = D.DEPTH, transform(source, cfg, discovered_at)
     while True:
         found = D.found_types(records, cfg.unique_key_path, depth)
@@ -81,18 +83,12 @@ def run_discover(
         if known is None and needs_records:
             raise ValueError(f"discovery of stream {cfg.stream_name} found no properties")
         return known
-    others = existing.filter(F.col("stream") != cfg.stream_name)
-    merged = D.merge_found(
-        found, existing.filter(F.col("stream") == cfg.stream_name), discovered_at
-    )
-    version = table.version() + 1
-    written = table.write(merged.unionByName(others), version)
-    schema = load_schema(written, cfg.stream_name)
+    path = table.write(D.merge_found(found, existing, discovered_at), version)
+    schema = load_schema(spark.read.schema(table.schema).parquet(path), cfg.stream_name)
     message = json.dumps(_schema_message(cfg.stream_name, schema))
-    spark.createDataFrame([(message,)], "value string").coalesce(1).write.mode("overwrite").text(
-        store.output("schema", version)
-    )
-    table.commit(version, schema_discovered_at=discovered_at)
+    output = f"{store.output(version)}/schema"
+    spark.createDataFrame([(message,)], "value string").coalesce(1).write.text(output)
+    table.commit(version, path, schema_discovered_at=discovered_at, schema_message=output, outputs=[output])
     return schema
 
 
@@ -125,48 +121,55 @@ def run_extract(
     disambiguate: bool = False,
     version: int | None = None,
     previous: int | None = None,
+    replay: bool = False,
+    keep_versions: int | None = None,
     **facts,
 ) -> RunResult:
     """Emit new and changed records, and advance the bookmark.
 
     The bookmark becomes current after all output is written: a run that fails midway can be repeated
     and gives the same records again. ``version`` and ``previous`` name the bookmark versions to
-    write and to compare with; ``facts`` are stored with the version."""
+    write and to compare with, and ``replay`` says that an earlier try of this run may have committed;
+    ``facts`` are stored with the version. Of two runs that began from one version the second raises
+    StaleRun. ``keep_versions`` deletes older versions with their output afterwards."""
     started = time.monotonic()
     spark, run_ts = source.sparkSession, run_ts or now_text()
+    store = store.of(cfg.stream_name)
     schema = load_schema(store.catalog.read(), cfg.stream_name)
     if schema is None:
         raise ValueError(f"stream {cfg.stream_name} has no catalog; run discovery first")
     table = store.bookmark
-    previous = table.version() if previous is None else previous
+    check_settings(spark)
+    info = table.info() or {}
+    previous = info.get("version", 0) if previous is None else previous
+    last_update = info.get("updated_at")
     version = previous + 1 if version is None else version
     bookmark = table.read(previous)
 
     routed = outcomes_of(
         source, cfg, bookmark if previous else None, schema, run_ts, refresh, disambiguate
     )
-    uri = store.output("outcomes", version)
+    output, path = store.output(version), table.new_path(version)
+    uri = f"{output}/outcomes"
     # The outcome is a folder, so emitted, rejected and unchanged records are read apart.
-    routed.write.mode("overwrite").partitionBy("outcome").parquet(uri)
+    routed.write.partitionBy("outcome").parquet(uri)
     outcomes = spark.read.schema(OUTCOMES_SCHEMA).parquet(uri)
 
-    messages = store.output("messages", version)
-    quarantine = store.output("rejects", version)
-    overwrite = lambda df: df.write.mode("overwrite")
+    messages, quarantine = f"{output}/messages", f"{output}/rejects"
 
     def write_messages() -> None:
         first = json.dumps(_schema_message(cfg.stream_name, schema), separators=(",", ":"))
-        overwrite(spark.createDataFrame([(first,)], "value string").coalesce(1)).text(f"{messages}/schema")
+        spark.createDataFrame([(first,)], "value string").coalesce(1).write.text(f"{messages}/schema")
         emitted = outcomes.filter(F.col("outcome") == O.EMITTED)
-        overwrite(M.record_messages(emitted).select("message")).text(f"{messages}/records")
+        M.record_messages(emitted).select("message").write.text(f"{messages}/records")
 
     def write_rejects() -> None:
-        overwrite(O.rejects(outcomes, schema)).parquet(quarantine)
+        O.rejects(outcomes, schema).write.parquet(quarantine)
 
     def write_bookmark() -> None:
         folded = B.fold_updates(B.bookmark_updates(outcomes))
         advanced = B.advance_bookmark(bookmark, folded) if previous else folded
-        overwrite(advanced).parquet(table.path(version))
+        advanced.write.parquet(path)
 
     def count_outcomes() -> dict:
         return X.run_metrics(outcomes).first().asDict()
@@ -179,11 +182,18 @@ def run_extract(
     metrics |= {"duration_s": duration, "processed_per_second": metrics["processed"] / duration}
     table.commit(
         version,
+        path,
+        replay=replay,
         previous=previous,
         last_extraction_started_at=run_ts,
+        last_extraction_ended_at=now_text(),
+        updated_at=run_ts if metrics["emitted"] + metrics["filtered_bookmark"] else last_update,
         metrics=metrics,
+        outputs=[output],
         **facts,
     )
+    if keep_versions is not None:
+        table.retain(keep_versions)
     return RunResult(version, messages, quarantine, metrics)
 
 

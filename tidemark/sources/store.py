@@ -1,14 +1,16 @@
 """The tables a stream keeps between runs, as versioned Parquet folders.
 
-A version is written beside the current one and becomes current by replacing a small pointer file,
-so a run that is lost midway leaves the previous state as it was."""
+A version is written beside the current one and becomes current by one small commit file, so a run
+that is lost midway leaves the previous state as it was, and streams do not touch each other's."""
 
 from __future__ import annotations
 
 import json
 import uuid
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,31 @@ class _Files:
         finally:
             stream.close()
 
+    def names(self, uri: str) -> list[str]:
+        fs, path = self._fs(uri), self._path(uri)
+        return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+
+    def delete(self, uri: str) -> None:
+        self._fs(uri).delete(self._path(uri), True)
+
+    def create(self, uri: str, text: str) -> bool:
+        """Write a new file; false, and nothing written, where it is there already."""
+        fs = self._fs(uri)
+        fs.mkdirs(self._path(uri).getParent())
+        try:
+            out = fs.create(self._path(uri), False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            if fs.exists(self._path(uri)):
+                return False
+            raise
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+        return True
+
     def replace(self, uri: str, text: str) -> None:
         """Write beside the file, then rename over it in one step."""
         fs = self._fs(uri)
@@ -58,30 +85,45 @@ class _Files:
         context.rename(fs.makeQualified(self._path(temporary)), target, options)
 
 
+class StaleRun(RuntimeError):
+    """Another run made a later version current while this one was at work."""
+
+
 @dataclass(frozen=True)
 class VersionedTable:
-    """One table of a store: ``<uri>/version=N/`` folders and a ``current.json`` pointer."""
+    """One table of one stream: a folder per version, and a commit file that says which folder counts.
+
+    A commit file is created and never overwritten by another run, so of two runs that began from one
+    version the second fails. ``current.json`` only says where to start looking for the last commit."""
 
     spark: SparkSession
     uri: str
     schema: str
 
-    @property
-    def _pointer(self) -> str:
-        return f"{self.uri}/current.json"
+    def _commit_file(self, version: int) -> str:
+        return f"{self.uri}/commits/v{version:012d}.json"
 
-    def info(self) -> dict | None:
-        """What the pointer holds: the version and the facts stored with it."""
-        text = _Files(self.spark).read(self._pointer)
+    def _facts(self, version: int) -> dict | None:
+        text = _Files(self.spark).read(self._commit_file(version))
         return None if text is None else json.loads(text)
 
+    def info(self) -> dict | None:
+        """What was committed last: the version, its folder, and the facts stored with it."""
+        hint = _Files(self.spark).read(f"{self.uri}/current.json")
+        version = json.loads(hint)["version"] if hint else 0
+        found = self._facts(version) if version else None
+        while (later := self._facts(version + 1)) is not None:
+            version, found = version + 1, later
+        return found
+
     def version(self) -> int:
         info = self.info()
         return 0 if info is None else info["version"]
 
-    def path(self, version: int) -> str:
+    def new_path(self, version: int) -> str:
+        """An unused folder for a version that is not committed yet."""
         # No "key=value" folder name: Spark would read it as a partition column.
-        return f"{self.uri}/v{version:012d}"
+        return f"{self.uri}/v{version:012d}-{uuid.uuid4().hex[:12]}"
 
     def read(self, version: int | None = None) -> DataFrame:
         """A version's rows, the current one by default; empty where there is none.
@@ -90,20 +132,39 @@ class VersionedTable:
         version = self.version() if version is None else version
         if version == 0:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(version))
-
-    def write(self, df: DataFrame, version: int) -> DataFrame:
-        """Write a version without making it current."""
-        df.write.mode("overwrite").parquet(self.path(version))
-        return self.read(version)
-
-    def commit(self, version: int, **facts) -> None:
-        _Files(self.spark).replace(self._pointer, json.dumps({"version": version, **facts}))
+        facts = self._facts(version)
+        if facts is None:
+            raise ValueError(f"version {version} of {self.uri} is not there")
+        return self.spark.read.schema(self.schema).parquet(facts["path"])
+
+    def write(self, df: DataFrame, version: int) -> str:
+        """Write a version without making it current; returns its folder."""
+        path = self.new_path(version)
+        df.write.parquet(path)
+        return path
+
+    def commit(self, version: int, path: str, replay: bool = False, **facts) -> None:
+        """Make a written version current. A replay of the run that committed this version may replace
+        it; any other raises StaleRun where the version is taken."""
+        files, text = _Files(self.spark), json.dumps({"version": version, "path": path, **facts})
+        if not files.create(self._commit_file(version), text):
+            if not replay:
+                raise StaleRun(f"version {version} of {self.uri} was committed by another run")
+            files.replace(self._commit_file(version), text)
+        files.replace(f"{self.uri}/current.json", json.dumps({"version": version}))
+
+    def retain(self, keep: int) -> None:
+        """Delete what is older than the last ``keep`` versions."""
+        files, version = _Files(self.spark), self.version() - max(1, keep)
+        while version > 0 and (facts := self._facts(version)) is not None:
+            for path in (facts["path"], *facts.get("outputs", ()), self._commit_file(version)):
+                files.delete(path)
+            version -= 1
 
 
 @dataclass(frozen=True)
-class Store:
-    """State of one or more streams below one URI."""
+class StreamStore:
+    """State of one stream: its bookmark, its catalog, and the output of its runs."""
 
     spark: SparkSession
     uri: str
@@ -116,37 +177,63 @@ class Store:
     def catalog(self) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.uri}/catalog", CATALOG_SCHEMA)
 
-    def output(self, table: str, version: int) -> str:
-        """Folder of a run's output: outcomes, messages, rejects or metrics."""
-        return f"{self.uri}/{table}/v{version:012d}"
+    def output(self, version: int) -> str:
+        """An unused folder for a run's output: outcomes, messages, rejects."""
+        return f"{self.uri}/runs/v{version:012d}-{uuid.uuid4().hex[:12]}"
+
+
+@dataclass(frozen=True)
+class Store:
+    """Streams below one URI, each with tables, commits and output of its own."""
+
+    spark: SparkSession
+    uri: str
+
+    def of(self, stream: str) -> StreamStore:
+        return StreamStore(self.spark, f"{self.uri}/{_PREFIX}{quote(stream, safe='')}")
+
+    def streams(self) -> list[str]:
+        names = _Files(self.spark).names(self.uri)
+        return sorted(unquote(n[len(_PREFIX) :]) for n in names if n.startswith(_PREFIX))
+
+
+_PREFIX = "stream-"
 
 
-def _only(df: DataFrame, streams: list[str] | None) -> DataFrame:
-    return df if streams is None else df.filter(F.col("stream").isin(*streams))
+def _read(spark: SparkSession, uri: str, streams: list[str] | None, kind: str, schema: str) -> DataFrame:
+    store = Store(spark, uri)
+    out = spark.createDataFrame([], schema)
+    for stream in store.streams() if streams is None else streams:
+        out = out.unionByName(getattr(store.of(stream), kind).read())
+    return out
 
 
 def read_bookmark(spark: SparkSession, uri: str, streams: list[str] | None = None) -> DataFrame:
-    """The bookmark of a store; empty before the first run."""
-    return _only(Store(spark, uri).bookmark.read(), streams)
+    """The bookmarks of a store's streams; empty before the first run."""
+    return _read(spark, uri, streams, "bookmark", BOOKMARK_SCHEMA)
 
 
-def write_bookmark(spark: SparkSession, uri: str, bookmark: DataFrame, **facts) -> int:
-    """Write a new bookmark version and make it current."""
-    return _write(Store(spark, uri).bookmark, bookmark, facts)
+def write_bookmark(spark: SparkSession, uri: str, bookmark: DataFrame, **facts) -> dict[str, int]:
+    """Write a new bookmark version of each stream that has rows, and make it current."""
+    return _write(spark, uri, "bookmark", bookmark, facts)
 
 
 def read_catalog(spark: SparkSession, uri: str, streams: list[str] | None = None) -> DataFrame:
-    """The catalog of a store; empty before the first discovery."""
-    return _only(Store(spark, uri).catalog.read(), streams)
+    """The catalogs of a store's streams; empty before the first discovery."""
+    return _read(spark, uri, streams, "catalog", CATALOG_SCHEMA)
 
 
-def write_catalog(spark: SparkSession, uri: str, catalog: DataFrame, **facts) -> int:
-    """Write a new catalog version and make it current."""
-    return _write(Store(spark, uri).catalog, catalog, facts)
+def write_catalog(spark: SparkSession, uri: str, catalog: DataFrame, **facts) -> dict[str, int]:
+    """Write a new catalog version of each stream that has rows, and make it current."""
+    return _write(spark, uri, "catalog", catalog, facts)
 
 
-def _write(table: VersionedTable, df: DataFrame, facts: dict) -> int:
-    version = table.version() + 1
-    table.write(df, version)
-    table.commit(version, **facts)
-    return version
+def _write(spark: SparkSession, uri: str, kind: str, df: DataFrame, facts: dict) -> dict[str, int]:
+    versions = {}
+    # As many rows as streams.
+    for (stream,) in df.select("stream").distinct().collect():
+        table = getattr(Store(spark, uri).of(stream), kind)
+        versions[stream] = table.version() + 1
+        path = table.write(df.filter(F.col("stream") == stream), versions[stream])
+        table.commit(versions[stream], path, **facts)
+    return versions

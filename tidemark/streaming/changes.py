@@ -19,7 +19,7 @@ def _extract_batch(
 ) -> None:
     """Run one micro-batch. A replayed batch compares with the version before its own and writes its
     own again, so its records come out as they did the first time."""
-    info = store.bookmark.info()
+    info = store.of(cfg.stream_name).bookmark.info()
     replay = info is not None and (info.get("query"), info.get("batch_id")) == (checkpoint, batch_id)
     if replay:
         version, previous = info["version"], info["previous"]
@@ -29,7 +29,7 @@ def _extract_batch(
         version, run_ts = previous + 1, None
     run_extract(
         batch, cfg, store, run_ts=run_ts, refresh=refresh, version=version, previous=previous,
-        query=checkpoint, batch_id=batch_id,
+        replay=replay, query=checkpoint, batch_id=batch_id,
     )
 
 
