@@ -48,6 +48,7 @@ class Machine:
         self.word: list[float | None] = [None]
         self.stem: list[float | None] = [None]
         self.most: list[int] = [0]
+        self.edits: list[int] = [0]  # that the word which ends here may have
         for term, (weight, is_stem) in lexicon.items():
             node, edits = 0, 0 if is_stem else min(1, len(term) // letters_per_edit)
             self.most[0] = max(self.most[0], edits)
@@ -58,13 +59,13 @@ class Machine:
                     self.word.append(None)
                     self.stem.append(None)
                     self.most.append(0)
+                    self.edits.append(0)
                 node = self.next[node][letter]
                 # An edit is allowed only on the way to words long enough for it.
                 self.most[node] = max(self.most[node], edits)
             (self.stem if is_stem else self.word)[node] = weight
-        self.allowed = {
-            n: 1 if self.most[n] else 0 for n in range(len(self.next))
-        }
+            self.edits[node] = edits
+        self.allowed = self.most
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
@@ -90,7 +91,7 @@ class Machine:
             self.sets.append(pairs)
             self.moves.append({})
             exact = [self.word[n] for n, e in pairs if e == 0 and self.word[n] is not None]
-            near = [self.word[n] for n, e in pairs if e == 1 and self.word[n] is not None and self.most[n]]
+            near = [self.word[n] for n, e in pairs if e == 1 and self.word[n] is not None and self.edits[n]]
             self.final.append(("exact", max(exact)) if exact else ("fuzzy", max(near)) if near else None)
             stems = [self.stem[n] for n, e in pairs if e == 0 and self.stem[n] is not None]
             self.sticky.append(max(stems) if stems else None)
