@@ -99,7 +99,7 @@ class Ring:
     def probes(self, value: Column) -> Column:
         """Keys with one set bit of the second segment cleared; null where the bit isn't set."""
         out = []
-        for i in range(self.n if self.n > 1 else 0):
+        for i in range(self.n):
             j = (i + 1) % self.n
             for bit in range(self.width[j]):
                 one = F.lit(_signed(1 << (self.low[j] + bit)))
@@ -109,7 +109,7 @@ class Ring:
 
     def holds(self, differ: Column, i: int) -> Column:
         """Every chain from segment i is within its budget."""
-        return F.expr("true") if not self.n else _all(
+        return _all(
             F.bit_count(differ.bitwiseAND(F.lit(self.mask(i, l)))) <= l * self.most // self.n
             for l in range(1, self.n + 1)
         )
@@ -133,6 +133,8 @@ def _all(conditions) -> Column:
 
 def near_prints(prints: DataFrame, most: int = 3) -> DataFrame:
     """(print, root) of distinct fingerprints with a link; root is the smallest that is reachable."""
+    if most == 0:
+        return prints.select("print", F.col("print").alias("root"))
     ring = Ring(most)
     value = F.col("print")
     indexed = prints.select("print", F.explode(ring.keys(value)).alias("key"))
