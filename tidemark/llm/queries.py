@@ -74,4 +74,40 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {}
+SPACE, NO_SPACE = r"[\x09-\x0D ]", r"[^\x09-\x0D ]"
+
+QUALITY_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT r, doc_id, list_filter(regexp_split_to_array(text, '{SPACE}+'), lambda x: x <> '') AS w,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{NO_SPACE}')) AS l,
+         length(regexp_replace(text, '{SPACE}', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols FROM d),
+g AS (SELECT r, i, w[i] || chr(1) || w[i + 1] || chr(1) || w[i + 2] AS g
+      FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) > 2)),
+t AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
+c AS (SELECT r, count(DISTINCT i + k) AS n FROM t, range(3) AS s(k) GROUP BY r),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, word_chars, n_symbols, CAST(len(l) AS BIGINT) AS n_lines,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words,
+         len(list_distinct(w)) AS different, len(list_filter(w, lambda x: length(x) > 1000)) AS long_words
+  FROM w LEFT JOIN c USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 1.5 * n_words OR word_chars > 30 * n_words OR n_symbols > 0.3 * n_words
+            OR n_dup_lines > 0.5 * n_lines OR (10 * different < n_words AND n_words < 2000) OR long_words > 0) AS kept
+FROM b"""
+
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+v AS (SELECT *, list_transform(range(8), lambda g: CAST('0x' || substr(h, CAST(5 * g + 1 AS INT), 5) AS BIGINT)) AS v,
+             min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(v, lambda x: array_to_string(list_transform([15, 10, 5, 0],
+         lambda s: substr('{LETTERS}', CAST((x >> CAST(s AS INT)) % 32 + 1 AS INT), 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM v"""
+
+ORACLE: dict[str, str] = {"op7_quality": QUALITY_SQL, "op9_warc": WARC_SQL}
