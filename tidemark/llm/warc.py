@@ -127,7 +127,9 @@ def write_archives(
     ).withColumn("sha1", F.sha1("payload"))
     keys = freeze(rows.select("page_id", "sha1", F.octet_length("payload").alias("n")), "payloads")
     firsts = keys.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("times")).filter("times > 1")
-    # Narrow rows meet on the digest, which many may share; payloads move by page.
+    # Narrow rows meet on the digest, which many may share; payloads move by page. Read from a table, both
+    # sides of the join are plain exchanges, of which a crowded digest is split.
+    firsts = freeze(firsts, "firsts")
     revisits = keys.filter(F.col("n") >= least_bytes).join(firsts, "sha1").filter(
         F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     ).select(F.col("page_id").alias("_page"), F.col("sha1").alias("_sha1"), "first").distinct()
