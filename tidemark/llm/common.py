@@ -55,22 +55,19 @@ def rank_within(df: DataFrame, group: str, order: list[str], rank: str, rows: in
 
 
 class Memo(dict):
-    """Values of chunks of text, computed for many new chunks at once and kept within a size.
+    """What a function gives for chunks of text, kept for up to `bound` chunks.
 
-    `encode` maps a list of chunks to a list of values. The bound only decides how often a value is
-    computed again."""
+    The bound only decides how often a value is computed again."""
 
-    def __init__(self, encode: Callable[[list[str]], list], bound: int = 300_000):
+    def __init__(self, function: Callable[[str], object], bound: int = 300_000):
         super().__init__()
-        self.encode, self.bound = encode, bound
+        self.function, self.bound = function, bound
 
-    def learn(self, parts: list[list[str]]) -> None:
-        new = set().union(*parts).difference(self) if parts else set()
-        if len(self) + len(new) > self.bound:
+    def __missing__(self, chunk: str):
+        if len(self) >= self.bound:
             self.clear()
-            new = set().union(*parts)
-        listed = list(new)
-        self.update(zip(listed, self.encode(listed)))
+        value = self[chunk] = self.function(chunk)
+        return value
 
 
 def in_batches(texts: list[str], chars: int = 4_000_000):

@@ -10,6 +10,7 @@ The broadcast side has at most a row per pattern and length, which the sequence
 from __future__ import annotations
 
 import heapq
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -21,6 +22,8 @@ from tidemark.llm.common import Memo, freeze, in_batches, rank_within, text_or_e
 
 SEQUENCE = 2048
 END_ID = 1
+# Fixed value: how byte-level BPE of this kind cuts text into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def chunks_at_spaces(text: str) -> list[str]:
@@ -41,6 +44,25 @@ def chunks_at_spaces(text: str) -> list[str]:
     return out
 
 
+def byte_ranks(tokenizer_path: str) -> dict[bytes, int]:
+    """Ids of a byte-level BPE file's byte strings; raises unless merges are ranked by their ids.
+
+    That is what lets another encoder of the same kind give the same ids."""
+    with open(tokenizer_path, encoding="utf-8") as file:
+        told = json.load(file)
+    model, added = told["model"], {t["content"] for t in told["added_tokens"]}
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    letter = {chr(b): b for b in plain} | {
+        chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)
+    }
+    vocabulary = {bytes(letter[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    ids = [model["vocab"][a + b] for a, b in merges]
+    if model["type"] != "BPE" or ids != sorted(ids) or len(ids) + 256 != len(vocabulary):
+        raise ValueError("not a byte-level BPE with merges in the order of their ids")
+    return vocabulary
+
+
 def token_pieces(
     docs: DataFrame, tokenizer_path: str, max_length: int = SEQUENCE, end_id: int = END_ID, with_ids: bool = False
 ) -> DataFrame:
@@ -49,32 +71,34 @@ def token_pieces(
     A null text is an empty one and gives one piece with the end id. Only doc_id and text are read,
     so other columns may have any name. Returns doc_id, start, length, ids_crc32, doc_tokens and, if
     asked for, ids. Words are encoded once per task as long as they stay in its memo."""
+    ranks = byte_ranks(tokenizer_path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import array
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
+        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        encoder = tiktoken.Encoding("bpe", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
-        def ids(texts: list[str]) -> list[bytes]:
-            got = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [array.array("I", e.ids).tobytes() for e in got]
+        def ids(text: str) -> bytes:
+            if any(s in text for s in special):
+                return array.array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            return array.array("I", encoder.encode_ordinary(text)).tobytes()
 
-        first = Memo(ids)
-        rest = Memo(lambda texts: ids([" " + t for t in texts]))
+        first, rest = Memo(ids), Memo(lambda text: ids(" " + text))
         end = array.array("I", [end_id]).tobytes()
         step = 4 * max_length
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in in_batches(texts):
-                parts = [chunks_at_spaces(t) for t in texts[a:b]]
-                first.learn([[p[0]] for p in parts])
-                rest.learn([p[1:] for p in parts])
                 out: list[list] = [[], [], [], [], [], []]
-                for key, part in zip(keys[a:b], parts):
+                for key, text in zip(keys[a:b], texts[a:b]):
+                    part = chunks_at_spaces(text)
                     data = b"".join([first[part[0]], *map(rest.__getitem__, part[1:]), end])
                     for at in range(0, len(data), step):
                         piece = data[at : at + step]
@@ -120,8 +144,11 @@ def shortest_pack_first(histogram: dict[int, int], max_length: int) -> list[tupl
         left = histogram[length]
         while left:
             if not heap or heap[0][0] + length > max_length:
-                # No room anywhere: as many new packs as there are copies.
-                put(length, left, ((length, 1),))
+                # No room anywhere. A new pack is the shortest one until it is full.
+                times = max_length // length
+                put(length * times, left // times, ((length, times),))
+                if left % times:
+                    put(length * (left % times), 1, ((length, left % times),))
                 break
             total, _, count, pattern = heapq.heappop(heap)
             if left < count:

@@ -43,16 +43,12 @@ def count_tokens(texts: DataFrame, tokenizer_path: str) -> DataFrame:
         tokenizer = Tokenizer.from_file(tokenizer_path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        memo = Memo(
-            lambda words: [len(e.ids) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        )
+        memo = Memo(lambda word: len(tokenizer.encode(word, add_special_tokens=False).ids))
         for batch in batches:
             digests, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             counts: list[int] = []
             for a, b in in_batches(texts):
-                words = [t.split(" ") for t in texts[a:b]]
-                memo.learn(words)
-                counts += [sum(map(memo.__getitem__, w)) for w in words]
+                counts += [sum(map(memo.__getitem__, t.split(" "))) for t in texts[a:b]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(digests, pa.string()), pa.array(counts, pa.int64())], names=["digest", "n_tokens"]
             )
