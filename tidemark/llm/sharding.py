@@ -75,6 +75,8 @@ def propagate(links: DataFrame, shards: int, quota: int, rounds: int = 10) -> Da
 def equal_text_links(nodes: DataFrame) -> DataFrame:
     """Each node with a text that others have, linked to the first of them: one link a node."""
     hubs = nodes.groupBy("digest").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Read from a table, both sides of the join are plain exchanges, of which a crowded digest is split.
+    hubs = freeze(hubs, "hubs")
     return nodes.join(hubs, "digest").filter("node != a").select("a", F.col("node").alias("b"))
 
 
@@ -93,15 +95,14 @@ def fill(nodes: DataFrame, placed: DataFrame, shards: int) -> DataFrame:
     stay = ranked.join(F.broadcast(sizes), "shard").filter("slot < size").select("node", "shard", "slot")
     rest = nodes.select("node", F.lit(0).alias("one")).join(stay, "node", "left_anti")
     rest = rank_within(rest, "one", ["node"], "place", max(1, total))
-    free, begin = [], 0
+    shard = slot = F.lit(None)
+    begin, place = 0, F.col("place")
     for s in range(shards):
-        free.append((s, begin, begin + target[s] - used[s], used[s]))
+        # The last shard whose gap begins at or before a place has it; shards without a gap are passed over.
+        shard = F.when(place >= begin, s).otherwise(shard)
+        slot = F.when(place >= begin, place - begin + used[s]).otherwise(slot)
         begin += target[s] - used[s]
-    gaps = spark.createDataFrame(free, "shard int, low bigint, high bigint, used bigint")
-    # As many rows as shards.
-    filled = rest.join(F.broadcast(gaps), (F.col("place") >= F.col("low")) & (F.col("place") < F.col("high"))).select(
-        "node", "shard", (F.col("place") - F.col("low") + F.col("used")).alias("slot")
-    )
+    filled = rest.select("node", shard.alias("shard"), slot.alias("slot"))
     return nodes.join(stay.union(filled), "node")
 
 
