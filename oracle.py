@@ -279,6 +279,12 @@ ORACLE = {
     "run_discover": CATALOG_ROWS,
     "run_extract": f"{OUTCOMES} {EMITTED} WHERE outcome = 'emitted'",
     "run_extract_bookmark": f"{OUTCOMES} {ADVANCED}",
+    "run_extract_next_pages": f"""SELECT {K} AS key, sha256('{{"o_orderkey":' || {K} || ',"o_orderstatus":"' || o_orderstatus
+        || '","o_totalprice":' || {num('o_totalprice')} || '}}') AS surrogate_key FROM orders WHERE o_orderkey <> 0""",
+    "run_extract_query_pages": """SELECT CAST(c_custkey AS VARCHAR) AS key, sha256('{"c_custkey":' || CAST(c_custkey AS VARCHAR)
+        || ',"c_name":"' || c_name || '"}') AS surrogate_key FROM customer WHERE c_custkey <> 0 AND c_custkey < 120""",
+    "run_extract_bare_array": """SELECT CAST(n_nationkey AS VARCHAR) AS key, sha256('{"n_name":"' || n_name
+        || '","n_nationkey":' || CAST(n_nationkey AS VARCHAR) || '}') AS surrogate_key FROM nation WHERE n_nationkey <> 0""",
     "run_refresh": f"{OUTCOMES} {EMITTED} WHERE o_orderstatus IN ('O', 'F')",
     "stream_changes": f"""{EVENTS} SELECT nk AS key, sk AS surrogate_key,
         NOT (event_id % 3 < 2 AND event_id // 3 % 10 = 0) AS emitted_when_last_seen FROM u""",

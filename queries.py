@@ -593,6 +593,46 @@ def run_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return _emitted(spark, run.messages)
 
 
+def _run_pages(spark: SparkSession, cfg: StreamConfig, pages: DataFrame) -> DataFrame:
+    """Discover and extract a REST stream; the keys and contents that its run knows afterwards."""
+    s = store.Store(spark, scratch_uri(spark, "run"))
+    source = R.read_source(spark, cfg, pages)
+    R.run_discover(source, cfg, s, X.RUN_TS)
+    R.run_extract(source, cfg, s, X.RUN_TS)
+    return s.of(cfg.stream_name).bookmark.read().select("key", "surrogate_key")
+
+
+def run_extract_next_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders behind next links."""
+    cfg = StreamConfig(
+        "orders", ("o_orderkey",), source_type="rest", url="http://h/orders?page=0", records_path=("results",),
+        pagination=True, pagination_strategy="next", pagination_next_path=("info", "next"),
+    )
+    return _run_pages(spark, cfg, X.orders_pages(spark, sf).filter("stream = 's1'"))
+
+
+def run_extract_query_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers behind a query parameter; the seventh page is empty and ends the stream."""
+    cfg = StreamConfig(
+        "customers", ("c_custkey",), source_type="rest", url="http://h/c", records_path=("data",), pagination=True,
+        pagination_strategy="query", query_parameter="p", query_value=5, query_increment=5,
+    )
+    n = F.floor(F.col("c_custkey") / 20).cast("bigint")
+    pages = X.table(spark, sf, "customer").groupBy(n.alias("n")).agg(
+        F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))).alias("data")
+    )
+    url = F.when(F.col("n") == 0, "http://h/c").otherwise(F.concat(F.lit("http://h/c?p="), (F.col("n") * 5).cast("string")))
+    body = F.when(F.col("n") == 6, '{"data":[]}').otherwise(F.to_json(F.struct("data")))
+    return _run_pages(spark, cfg, pages.select(url.alias("url"), body.alias("body")))
+
+
+def run_extract_bare_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations from one response that is an array."""
+    cfg = StreamConfig("nations", ("n_nationkey",), source_type="rest", url="http://h/n")
+    body = F.to_json(F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name"))))
+    return _run_pages(spark, cfg, X.table(spark, sf, "nation").agg(body.alias("body")).withColumn("url", F.lit("http://h/n")))
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 
@@ -643,6 +683,6 @@ QUERIES = {
         objects_only, temporal_kind, bookmark_lookup, unseen_keys, infer_paths, merge_schemas,
         discover_catalog, run_metrics, fold_updates, advance_bookmark, route_outcomes,
         bookmark_updates, schema_messages, record_messages, rejects, run_discover, run_extract,
-        run_extract_bookmark, run_refresh, stream_changes, stream_discover,
+        run_extract_bookmark, run_refresh, run_extract_next_pages, run_extract_query_pages, run_extract_bare_array, stream_changes, stream_discover,
     )
 }

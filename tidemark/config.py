@@ -41,6 +41,8 @@ class StreamConfig:
     query_parameter: str = ""
     query_value: int = 0
     query_increment: int = 0
+    #: Whether quoted CSV fields may hold newlines; files can be split between tasks only if not.
+    multi_line: bool = True
 
     def __post_init__(self) -> None:
         set_ = lambda name, value: object.__setattr__(self, name, value)
@@ -89,6 +91,7 @@ class StreamConfig:
             query_parameter=query.get("query_parameter", ""),
             query_value=query.get("query_value", 0),
             query_increment=query.get("query_increment", 0),
+            multi_line=(doc.get("csv") or {}).get("multi_line", True),
         )
 
     @classmethod

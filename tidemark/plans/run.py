@@ -21,6 +21,7 @@ from tidemark.operators import discover as D
 from tidemark.operators import messages as M
 from tidemark.operators import metrics as X
 from tidemark.operators import outcomes as O
+from tidemark.operators import pages as G
 from tidemark.operators.catalog import load_schema
 from tidemark.operators.transform import now_text, transform, transform_all
 from tidemark.session import check_settings, scratch_uri
@@ -33,15 +34,49 @@ OUTCOMES_SCHEMA = (
 )
 
 
-def read_source(spark: SparkSession, cfg: StreamConfig) -> DataFrame:
-    """Records of a file source named by its configuration.
-
-    Responses of a paginated API are landed first and read with the page operators."""
+def read_source(spark: SparkSession, cfg: StreamConfig, pages: DataFrame | None = None) -> DataFrame:
+    """Records of a source named by its configuration; ``pages`` holds the landed responses of an API."""
     if cfg.source_type == "csv":
-        return files.read_csv(spark, cfg.url)
+        return files.read_csv(spark, cfg.url, multi_line=cfg.multi_line)
     if cfg.source_type == "jsonl":
         return files.read_jsonl(spark, cfg.url)
-    raise ValueError("read landed responses with normalise_responses and explode_records")
+    if pages is None:
+        raise ValueError("a rest stream is read from landed pages")
+    return read_pages(cfg, pages)
+
+
+def read_pages(cfg: StreamConfig, pages: DataFrame) -> DataFrame:
+    """(ord, rec) of an API stream from its landed responses, a table of ``url`` and ``body``.
+
+    Pages count as far as the stream's paging reaches them: the configured URL alone, what its next
+    links lead to, or the URLs of its query parameter up to the first page without records or that
+    was not landed. A URL that was landed twice counts once."""
+    spark, name = pages.sparkSession, F.lit(cfg.stream_name)
+    landed = pages.groupBy("url").agg(F.min("body").alias("body")).withColumn("stream", name)
+    if landed.filter(F.col("url") == cfg.url).isEmpty():
+        raise ValueError(f"no response of {cfg.url} was landed")
+    root = spark.createDataFrame(
+        [(cfg.stream_name, cfg.url, cfg.query_parameter, cfg.query_value, cfg.query_increment)],
+        "stream string, url string, query_parameter string, query_value bigint, query_increment bigint",
+    )
+    if not cfg.pagination:
+        places = root.select("url", F.lit(0).cast("bigint").alias("page_no"))
+    elif cfg.pagination_strategy == "next":
+        places = G.follow_next(landed, root.select("stream", "url"), cfg.pagination_next_path)
+        places = places.select("url", "page_no")
+    else:
+        places = G.page_urls(root, landed.count()).select("url", F.col("page_no").cast("bigint").alias("page_no"))
+    placed = landed.join(places, "url")
+    opened = G.normalise_responses(placed.select("stream", "page_no", "body"), records_path=cfg.records_path)
+    if cfg.pagination and cfg.pagination_strategy == "query":
+        # One row a page: the first number whose page is missing ends the stream as an empty page does.
+        missing = places.join(landed.select("url"), "url", "left_anti").agg(F.min("page_no")).first()[0]
+        opened = G.cut_pages(G.count_records(opened, cfg.records_path)).drop("n_records")
+        if missing is not None:
+            opened = opened.filter(F.col("page_no") < missing)
+    return G.explode_records(opened, cfg.records_path).select(
+        (F.shiftleft("page_no", 32) + F.col("pos")).alias("ord"), "rec"
+    )
 
 
 @dataclass(frozen=True)
@@ -203,5 +238,5 @@ def run_refresh(source: DataFrame, cfg: StreamConfig, store: Store, **options) -
 
 
 __all__ = [
-    "RunResult", "outcomes_of", "read_source", "run_discover", "run_extract", "run_refresh",
+    "RunResult", "outcomes_of", "read_pages", "read_source", "run_discover", "run_extract", "run_refresh",
 ]
