@@ -186,6 +186,7 @@ ORACLE = {
     "read_catalog": CATALOG_ROWS,
     "write_catalog": f"""{DRIFT_CATALOG} SELECT path, type, CAST(1 AS BIGINT) AS version FROM c WHERE path NOT LIKE '%.%'
         UNION ALL SELECT path, type, 2 FROM c""",
+    "catalog_document": CATALOG_ROWS,
     "get_path": f"""SELECT o_orderkey AS ord, o_orderstatus AS code, CAST(NULL AS VARCHAR) AS absent,
         CAST(NULL AS VARCHAR) AS below_scalar, {STATUS} AS status FROM orders""",
     "set_path": f"""SELECT o_orderkey AS ord, {order_text(CUSTKEY,

@@ -3,6 +3,8 @@ returned as its JSON text and a path as its keys joined by dots."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -172,6 +174,12 @@ def write_catalog(spark: SparkSession, sf: str) -> DataFrame:
     return rows(1).unionByName(rows(2))
 
 
+def catalog_document(spark: SparkSession, sf: str) -> DataFrame:
+    """A discovered catalog written as a document and read back from its text."""
+    doc = C.catalog_document(_drift_catalog(spark, sf), "events")
+    return _catalog_columns(C.catalog_from_document(spark, json.dumps(doc)))
+
+
 # --- projections -----------------------------------------------------------------------------
 
 
@@ -675,7 +683,7 @@ QUERIES = {
     for f in (
         csv_scan, jsonl_scan, api_response_normalise, api_records_explode, api_records_path, page_urls,
         pages_until_empty, first_page_only, page_chain, read_bookmark, write_bookmark, read_catalog,
-        write_catalog, get_path, set_path, drop_paths, hash_sensitive, key_string, canonical_text,
+        write_catalog, catalog_document, get_path, set_path, drop_paths, hash_sensitive, key_string, canonical_text,
         number_text_small, number_text_large, hash_large_integers,
         natural_key, surrogate_key, run_timestamp, unique_key, transform_records,
         transform_json_records, require_key, changed_only, validate_records, check_type,

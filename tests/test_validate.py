@@ -32,6 +32,13 @@ CASES = [
     ({"required": ["a"]}, [{"a": None}, 5], [{}, {"b": 1}]),
     ({"properties": {"a": {"type": "string"}}, "additionalProperties": False}, [{"a": "x"}, {}, 5], [{"a": "x", "b": 1}, {"a": 1}]),
     ({"properties": {"a": {"properties": {"b": {"maximum": 1}}}}}, [{"a": {"b": 1}}, {"a": 5}, {}], [{"a": {"b": 2}}]),
+    ({"anyOf": [{"type": "string"}, {"minimum": 5}]}, ["x", 6], [4]),
+    ({"oneOf": [{"minimum": 3}, {"maximum": 5}]}, [1, 9], [4, "x"]),
+    ({"allOf": [{"minimum": 3}, {"maximum": 5}]}, [4, "x"], [1, 9]),
+    ({"not": {"required": ["a"]}}, [{"b": 1}], [{"a": 1}, 5]),
+    ({"anyOf": [{"properties": {"a": {"not": {"type": "null"}}}, "required": ["a"]}]}, [{"a": 1}], [{"a": None}, {}]),
+    ({"uniqueItems": True}, [[1, 2], [], [[1], [2]], "x"], [[1, 1.0], [{"a": 1}, {"a": 1}]]),
+    ({"minProperties": 1, "maxProperties": 2}, [{"a": 1}, 5], [{}, {"a": 1, "b": 2, "c": 3}]),
     ({"title": "t", "description": "d", "default": 1}, [1, "x"], []),
 ]
 

@@ -8,6 +8,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import KEY_PROPERTIES
+
 CATALOG_SCHEMA = (
     "stream string, path array<string>, type string, nullable boolean, format string, "
     "min_length int, keywords map<string,string>, schema_discovered_at string"
@@ -72,6 +74,29 @@ def schema_from_rows(rows: Iterable[Row]) -> dict:
     return root
 
 
+def catalog_document(catalog: DataFrame, stream: str) -> dict | None:
+    """A stream's catalog as the document that users edit, or None if it has none."""
+    rows = catalog.filter(F.col("stream") == stream).collect()
+    if not rows:
+        return None
+    return {
+        "stream": stream, "key_properties": list(KEY_PROPERTIES), "schema": schema_from_rows(rows),
+        "schema_discovered_at": max((r["schema_discovered_at"] or "" for r in rows), default=""),
+    }
+
+
+def catalog_from_document(spark: SparkSession, document: Mapping | str) -> DataFrame:
+    """Catalog rows of such a document, given as a mapping or JSON text.
+
+    Key properties are fixed; others raise, since records would be told apart by the wrong fields."""
+    doc = json.loads(document) if isinstance(document, str) else document
+    if not doc.get("stream"):
+        raise ValueError("a catalog document names its stream")
+    if list(doc.get("key_properties") or KEY_PROPERTIES) != list(KEY_PROPERTIES):
+        raise ValueError(f"key_properties must be {list(KEY_PROPERTIES)}")
+    return catalog_from_schema(spark, doc["stream"], doc.get("schema") or {}, doc.get("schema_discovered_at") or None)
+
+
 def load_schema(catalog: DataFrame, stream: str) -> dict | None:
     """JSON Schema of a stream, or None if its catalog is empty.
 

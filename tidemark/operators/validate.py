@@ -203,7 +203,8 @@ def _number_rule(x: Value, keyword: str, bound) -> Column:
 _NUMBER_KEYWORDS = ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf")
 _KNOWN = {
     "type", "properties", "format", "minLength", "maxLength", "pattern", "enum", "const", "required",
-    "items", "minItems", "maxItems", "additionalProperties", *_NUMBER_KEYWORDS,
+    "items", "minItems", "maxItems", "uniqueItems", "additionalProperties", "minProperties", "maxProperties",
+    "anyOf", "oneOf", "allOf", "not", *_NUMBER_KEYWORDS,
 }
 
 
@@ -213,6 +214,9 @@ def _check_keywords(schema: Mapping, label: str) -> None:
         raise ValueError(f"unsupported keyword at {label}: {sorted(unknown)}")
     if "items" in schema and not isinstance(schema["items"], Mapping):
         raise ValueError(f"unsupported items list at {label}")
+    for keyword in ("anyOf", "oneOf", "allOf"):
+        if keyword in schema and not schema[keyword]:
+            raise ValueError(f"empty {keyword} at {label}")
     if not isinstance(schema.get("additionalProperties", True), bool):
         raise ValueError(f"unsupported additionalProperties at {label}")
 
@@ -257,6 +261,25 @@ def _own_rules(
     if "items" in schema:
         add(~F.forall(array, lambda i: ~_any_bad(i, schema["items"])), "an item is invalid")
 
+    if schema.get("uniqueItems", False):
+        spelled = F.transform(array, canonical_text)
+        add(F.size(F.array_distinct(spelled)) < F.size(array), "an item is repeated")
+
+    present = x.kind.isNotNull()
+    fits = lambda sub: (~_any_bad(x.v, sub)).cast("int")
+    if "allOf" in schema:
+        add(present & (sum(map(fits, schema["allOf"])) < len(schema["allOf"])), "does not match all of allOf")
+    if "anyOf" in schema:
+        add(present & (sum(map(fits, schema["anyOf"])) == 0), "matches none of anyOf")
+    if "oneOf" in schema:
+        add(present & (sum(map(fits, schema["oneOf"])) != 1), "does not match exactly one of oneOf")
+    if "not" in schema:
+        add(present & (fits(schema["not"]) == 1), "matches not")
+
+    if "minProperties" in schema:
+        add(F.size(names) < schema["minProperties"], f"fewer than {schema['minProperties']} properties")
+    if "maxProperties" in schema:
+        add(F.size(names) > schema["maxProperties"], f"more than {schema['maxProperties']} properties")
     for name in schema.get("required", ()):
         add(names.isNotNull() & child(name).isNull(), f"{name} is required")
     if schema.get("additionalProperties", True) is False:

@@ -24,7 +24,7 @@ from tidemark.operators import outcomes as O
 from tidemark.operators import pages as G
 from tidemark.operators.catalog import load_schema
 from tidemark.operators.transform import now_text, transform, transform_all
-from tidemark.session import check_settings, scratch_uri
+from tidemark.session import check_settings
 from tidemark.sources import files
 from tidemark.sources.store import Store
 
@@ -104,10 +104,11 @@ def run_discover(
     table = store.catalog
     version = table.version() + 1
     existing = table.read(version - 1)
+    output = store.output(version)
     depth, records = D.DEPTH, transform(source, cfg, discovered_at)
     while True:
         found = D.found_types(records, cfg.unique_key_path, depth)
-        uri = scratch_uri(spark, "found")
+        uri = f"{output}/found-{depth}"
         found.write.parquet(uri)
         found = spark.read.schema(found.schema).parquet(uri)
         if found.filter("deeper").isEmpty():
@@ -121,9 +122,9 @@ def run_discover(
     path = table.write(D.merge_found(found, existing, discovered_at), version)
     schema = load_schema(spark.read.schema(table.schema).parquet(path), cfg.stream_name)
     message = json.dumps(_schema_message(cfg.stream_name, schema))
-    output = f"{store.output(version)}/schema"
-    spark.createDataFrame([(message,)], "value string").coalesce(1).write.text(output)
-    table.commit(version, path, schema_discovered_at=discovered_at, schema_message=output, outputs=[output])
+    message_uri = f"{output}/schema"
+    spark.createDataFrame([(message,)], "value string").coalesce(1).write.text(message_uri)
+    table.commit(version, path, schema_discovered_at=discovered_at, schema_message=message_uri, outputs=[output])
     return schema
 
 
