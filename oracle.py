@@ -187,6 +187,18 @@ ORACLE = {
     "write_catalog": f"""{DRIFT_CATALOG} SELECT path, type, CAST(1 AS BIGINT) AS version FROM c WHERE path NOT LIKE '%.%'
         UNION ALL SELECT path, type, 2 FROM c""",
     "catalog_document": CATALOG_ROWS,
+    "discover_ns_ord": CATALOG_ROWS,
+    "jsonl_rejects": """SELECT CASE event_id % 100 WHEN 11 THEN 'not json' WHEN 12 THEN '[1]' ELSE '5' END AS raw,
+        CASE event_id % 100 WHEN 11 THEN 'is not JSON, or over the limits of a VARIANT' ELSE 'is not an object' END AS reason,
+        count(*) AS n FROM events WHERE event_id % 100 IN (11, 12, 14) GROUP BY 1, 2""",
+    "csv_rejects": "SELECT c_custkey || ',short' AS raw FROM customer WHERE c_custkey % 10 = 0",
+    "stream_csv": """SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_nationkey AS VARCHAR) AS nation, 'a, b' AS note
+        FROM customer WHERE c_custkey % 10 <> 0""",
+    "two_streams_one_store": f"""SELECT 'orders' AS stream, nk AS key, sk AS surrogate_key FROM ({ORDERS} SELECT * FROM u)
+        UNION ALL SELECT 'events', nk, sk FROM ({EVENTS} SELECT * FROM u)""",
+    "check_multiple_of": """SELECT o_orderkey AS ord, concat_ws('; ',
+        CASE WHEN o_orderkey % 7 <> 0 THEN 'big: breaks multipleOf 7' END,
+        CASE WHEN o_orderkey % 5 <> 0 THEN 'small: breaks multipleOf 5e-12' END) AS errors FROM orders""",
     "get_path": f"""SELECT o_orderkey AS ord, o_orderstatus AS code, CAST(NULL AS VARCHAR) AS absent,
         CAST(NULL AS VARCHAR) AS below_scalar, {STATUS} AS status FROM orders""",
     "set_path": f"""SELECT o_orderkey AS ord, {order_text(CUSTKEY,

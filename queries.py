@@ -71,6 +71,43 @@ def jsonl_scan(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def jsonl_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that give no record, with their reasons: no JSON, an array and a number among every hundred."""
+    n = F.col("event_id") % 100
+    line = F.when(n == 11, "not json").when(n == 12, "[1]").when(n == 13, "null").when(n == 14, "5").otherwise(F.col("value"))
+    uri = scratch_uri(spark, "jsonl")
+    X.events_lines(spark, sf).select(line.alias("value")).write.text(uri)
+    _, bad = files.read_jsonl(spark, uri, on_bad="quarantine")
+    return bad.groupBy("raw", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ragged_csv(spark: SparkSession, sf: str) -> str:
+    """Customers as CSV, where every tenth row has two fields of three."""
+    n = F.col("c_custkey")
+    line = F.when(n % 10 == 0, F.concat(n, F.lit(",short"))).otherwise(F.concat_ws(",", n, F.col("c_nationkey"), F.lit('"a, b"')))
+    uri = scratch_uri(spark, "csv")
+    header = spark.createDataFrame([("id,nation,note",)], "value string")
+    rows = X.table(spark, sf, "customer").select(line.alias("value"))
+    # One file: the header has to stand above its rows.
+    header.union(rows).coalesce(1).write.text(uri)
+    return uri
+
+
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    _, bad = files.read_csv(spark, _ragged_csv(spark, sf), on_bad="quarantine")
+    return bad
+
+
+def stream_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of a CSV stream, without the ragged rows."""
+    uri, out = _ragged_csv(spark, sf), scratch_uri(spark, "rows")
+    arriving = files.stream_csv(spark, uri, files.csv_schema(spark, uri))
+    keep = lambda batch, _: files.csv_rows(batch).select("rec.*").write.mode("append").parquet(out)
+    stream = arriving.writeStream.foreachBatch(keep).option("checkpointLocation", f"{out}-checkpoint")
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out)
+
+
 def api_response_normalise(spark: SparkSession, sf: str) -> DataFrame:
     pages = G.normalise_responses(X.customer_bodies(spark, sf))
     return pages.select(
@@ -426,6 +463,24 @@ def check_items(spark: SparkSession, sf: str) -> DataFrame:
     return valid.select("ord")
 
 
+def check_multiple_of(spark: SparkSession, sf: str) -> DataFrame:
+    """multipleOf where numbers have over 20 digits, or decimals."""
+    n = F.col("o_orderkey").cast("string")
+    line = F.concat(F.lit('{"big":'), n, F.lit("0" * 21), F.lit(',"small":0.'), F.lpad(n, 12, "0"), F.lit("}"))
+    df = records_from_json(X.table(spark, sf, "orders").select("o_orderkey", line.alias("line")), "line", ord="o_orderkey")
+    schema = {"properties": {"big": {"multipleOf": 7}, "small": {"multipleOf": 5e-12}}}
+    valid, bad = Y.validate(df, schema)
+    return valid.select("ord", F.lit("").alias("errors")).unionByName(
+        bad.select("ord", F.array_join("errors", "; ").alias("errors"))
+    )
+
+
+def discover_ns_ord(spark: SparkSession, sf: str) -> DataFrame:
+    """Discovery in an order of epoch nanoseconds."""
+    late = X.events_drift(spark, sf).withColumn("ord", F.col("ord") + F.lit(1_700_000_000_000_000_000))
+    return _catalog_columns(I.discover(T.transform(late, X.EVENTS, X.RUN_TS), None, X.RUN_TS, X.EVENTS.unique_key_path))
+
+
 def objects_only(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("event_id") % 5
     text = (
@@ -601,6 +656,15 @@ def run_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return _emitted(spark, run.messages)
 
 
+def two_streams_one_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Bookmarks of two streams whose runs both began from an empty store."""
+    s = store.Store(spark, scratch_uri(spark, "run"))
+    for cfg, records in ((X.ORDERS, X.orders_stream(spark, sf)), (X.EVENTS, X.events_json(spark, sf))):
+        R.run_discover(records, cfg, s, X.RUN_TS)
+        R.run_extract(records, cfg, s, X.RUN_TS, version=1, previous=0)
+    return store.read_bookmark(spark, s.uri).select("stream", "key", "surrogate_key")
+
+
 def _run_pages(spark: SparkSession, cfg: StreamConfig, pages: DataFrame) -> DataFrame:
     """Discover and extract a REST stream; the keys and contents that its run knows afterwards."""
     s = store.Store(spark, scratch_uri(spark, "run"))
@@ -681,7 +745,8 @@ def stream_discover(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        csv_scan, jsonl_scan, api_response_normalise, api_records_explode, api_records_path, page_urls,
+        csv_scan, jsonl_scan, jsonl_rejects, csv_rejects, stream_csv, two_streams_one_store, check_multiple_of,
+        discover_ns_ord, api_response_normalise, api_records_explode, api_records_path, page_urls,
         pages_until_empty, first_page_only, page_chain, read_bookmark, write_bookmark, read_catalog,
         write_catalog, catalog_document, get_path, set_path, drop_paths, hash_sensitive, key_string, canonical_text,
         number_text_small, number_text_large, hash_large_integers,

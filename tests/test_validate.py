@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import StreamConfig
+from tidemark.operators import catalog
 from tidemark.operators.validate import validate
 
 CASES = [
@@ -108,3 +109,10 @@ def test_nested_constants(records):
     schema = {"properties": {"a": {"enum": [{"x": 1.0, "y": [2.0, 2.5]}]}}}
     valid, bad = validate(records('{"a":{"x":1,"y":[2,2.5]}}', '{"a":{"x":1,"y":[2]}}'), schema)
     assert (valid.count(), bad.count()) == (1, 1)
+
+
+def test_objects_used_as_maps_are_named(spark, monkeypatch):
+    rows = catalog.catalog_from_schema(spark, "s", {"properties": {"a": {"properties": {str(i): {} for i in range(5)}}}})
+    monkeypatch.setattr(catalog, "MOST_PROPERTIES", 4)
+    with pytest.raises(ValueError, match="a of stream s has 5 properties"):
+        catalog.load_schema(rows, "s")

@@ -15,6 +15,8 @@ CATALOG_SCHEMA = (
     "min_length int, keywords map<string,string>, schema_discovered_at string"
 )
 
+MOST_PROPERTIES = 10_000
+
 # Keywords held in columns of their own; all others are kept as JSON in ``keywords``.
 _COLUMNS = ("type", "format", "minLength", "properties")
 
@@ -100,6 +102,13 @@ def catalog_from_document(spark: SparkSession, document: Mapping | str) -> DataF
 def load_schema(catalog: DataFrame, stream: str) -> dict | None:
     """JSON Schema of a stream, or None if its catalog is empty.
 
-    The rows are the stream's field list, metadata that the validator is compiled from."""
+    The rows are the stream's field list, metadata that the validator is compiled from. An object with more
+    than MOST_PROPERTIES properties is a map whose keys are data: it raises before anything is collected."""
+    parent = F.slice("path", F.lit(1), F.greatest(F.size("path") - 1, F.lit(0)))
+    wide = catalog.filter(F.col("stream") == stream).groupBy(parent.alias("parent")).count()
+    row = wide.filter(F.col("count") > MOST_PROPERTIES).first()
+    if row is not None:
+        at = ".".join(row["parent"]) or "(root)"
+        raise ValueError(f"{at} of stream {stream} has {row['count']} properties; drop it, or store it as an array")
     rows = catalog.filter(F.col("stream") == stream).collect()
     return schema_from_rows(rows) if rows else None
