@@ -69,8 +69,9 @@ def scan(docs: DataFrame, against: list[Template] | None = None, slack: int = 3,
     Words are runs of letters and digits in lower case, after which only ASCII words can equal a
     phrase's. `spans` are (label, first word, end, share of the template) of verified places. A notice is
     found where merged diagonals cover `cover` of its grams within a span of the right length.
-    score is 1 with a base place, else the largest cover found. Null texts are empty ones. Repeated rows stay apart; other columns are
-    not read. An empty table gives an empty result. A phrase's length is at most the gram's."""
+    score is 1 with a base place, else the largest cover found. Null texts are empty ones. Repeated rows stay apart, by their
+    places in the scan, so `docs` should be a table or written frame; other columns are not read. An empty
+    table gives an empty result. A phrase's length is at most the gram's."""
     against = templates() if against is None else against
     if any(t.base and len(t.words) > GRAM for t in against):
         raise ValueError(f"a base phrase has at most {GRAM} words")
