@@ -90,5 +90,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_uri: str | None = N
         .select(F.lit(version).alias("tokenizer"), "digest", "n_tokens")
         .write.mode("append").parquet(cache_uri)
     )
-    counts = read_cache(spark, cache_uri, version)
+    # As many rows as there are different contents. Read from a table, both sides of the join are plain
+    # exchanges, of which a crowded digest is split.
+    own = keyed.select("digest").distinct()
+    counts = freeze(read_cache(spark, cache_uri, version).join(own, "digest", "left_semi"), "counts")
     return keyed.join(counts, "digest", "left").select("doc_id", "n_bytes", "n_tokens")
