@@ -178,7 +178,8 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, most: int = 3) -> DataFram
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     prints = freeze(own.groupBy("print").agg(F.min(first).alias("first")), "distinct-prints")
     roots = freeze(near_prints(prints.select("print"), most), "roots")
-    firsts = prints.join(roots, "print").groupBy("root").agg(F.min("first").alias("first"))
+    # Read from a table, both sides of the join are plain exchanges, of which a crowded root is split.
+    firsts = freeze(prints.join(roots, "print").groupBy("root").agg(F.min("first").alias("first")), "firsts")
     per_print = roots.join(firsts, "root").select("print", "first")
     return own.join(per_print, "print").select(
         "doc_id", "digest", "print", F.col("first.doc_id").alias("component_id"),
