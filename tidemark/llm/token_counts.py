@@ -83,8 +83,10 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_uri: str | None = N
     )
     keyed = freeze(contents.drop("text"), "digests")
     cache = read_cache(spark, cache_uri, version)
-    # Copies fold before the shuffle as well as after it; all texts of a digest are equal.
-    misses = contents.join(cache, "digest", "left_anti").groupBy("digest").agg(F.first("text").alias("text"))
+    # Copies fold before the shuffle as well as after it, so a crowded digest brings a row a task; all texts
+    # of a digest are equal.
+    distinct = contents.groupBy("digest").agg(F.first("text").alias("text"))
+    misses = distinct.join(cache, "digest", "left_anti")
     (
         count_tokens(misses, tokenizer_path)
         .select(F.lit(version).alias("tokenizer"), "digest", "n_tokens")
