@@ -725,7 +725,7 @@ def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
     for part in range(3):
         _arrive(spark, sf, uri, part)
         changes.stream_changes(
-            files.stream_jsonl(spark, uri), X.EVENTS, s, f"{s.uri}/checkpoint", files.jsonl_rows
+            files.stream_jsonl(spark, uri), X.EVENTS, s, f"{s.uri}/checkpoint", files.jsonl_parsed
         ).awaitTermination()
     emitted_last = F.col("last_seen") == F.col("last_emitted")
     return s.of("events").bookmark.read().select("key", "surrogate_key", emitted_last.alias("emitted_when_last_seen"))
@@ -737,7 +737,7 @@ def stream_discover(spark: SparkSession, sf: str) -> DataFrame:
     for part in range(3):
         _arrive(spark, sf, uri, part)
         changes.stream_discover(
-            files.stream_jsonl(spark, uri), X.EVENTS, s, f"{s.uri}/checkpoint", files.jsonl_rows
+            files.stream_jsonl(spark, uri), X.EVENTS, s, f"{s.uri}/checkpoint", files.jsonl_parsed
         ).awaitTermination()
     return _catalog_columns(s.of("events").catalog.read())
 

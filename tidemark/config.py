@@ -43,6 +43,9 @@ class StreamConfig:
     query_increment: int = 0
     #: Whether quoted CSV fields may hold newlines; files can be split between tasks only if not.
     multi_line: bool = True
+    #: What a run does with lines that give no record: "quarantine" them in its rejects, or "fail". By
+    #: default rows of a CSV scan fail, and all others are quarantined.
+    on_bad: str | None = None
 
     def __post_init__(self) -> None:
         set_ = lambda name, value: object.__setattr__(self, name, value)
@@ -58,6 +61,8 @@ class StreamConfig:
             raise ValueError("records.unique_key_path is required")
         if self.source_type not in SOURCE_TYPES:
             raise ValueError(f"source_type must be one of {SOURCE_TYPES}, got {self.source_type!r}")
+        if self.on_bad not in (None, "quarantine", "fail"):
+            raise ValueError(f"on_bad must be quarantine or fail, got {self.on_bad!r}")
         if self.pagination and self.pagination_strategy not in PAGINATION_STRATEGIES:
             raise ValueError(f"pagination_strategy must be one of {PAGINATION_STRATEGIES}")
         if self.pagination and self.pagination_strategy == "next" and not self.pagination_next_path:
@@ -92,6 +97,7 @@ class StreamConfig:
             query_value=query.get("query_value", 0),
             query_increment=query.get("query_increment", 0),
             multi_line=(doc.get("csv") or {}).get("multi_line", True),
+            on_bad=records.get("on_bad"),
         )
 
     @classmethod

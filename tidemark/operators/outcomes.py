@@ -16,6 +16,7 @@ TRANSFORM_FAILED = "transform_failed"
 FILTERED = "filtered_bookmark"
 INVALID = "schema_validation_failed"
 EMITTED = "emitted"
+REJECTED = "rejected"
 
 # What a run writes for each record; ``text`` is NULL where a record is unchanged.
 OUTCOME_COLUMNS = (
@@ -64,6 +65,23 @@ def route_outcomes(
     ).select(*OUTCOME_COLUMNS)
 
 
+def unreadable(source: DataFrame, stream: str, hide: bool) -> DataFrame:
+    """Outcomes, with a ``reason``, of the lines of a source that give no record.
+
+    ``text`` is the line; with ``hide`` its SHA-256, since fields of a line that cannot be read can
+    neither be dropped nor hashed."""
+    text = F.concat(F.lit("sha256:"), F.sha2("raw", 256)) if hide else F.col("raw")
+    given = {"stream": F.lit(stream), "ord": F.col("ord"), "text": text, "outcome": F.lit(REJECTED)}
+    columns = [given.get(c, F.lit(None).cast("string")).alias(c) for c in OUTCOME_COLUMNS]
+    return source.filter("reason IS NOT NULL").select(*columns, "reason")
+
+
+def unreadable_rejects(outcomes: DataFrame) -> DataFrame:
+    """Rows of the quarantine table for the lines that give no record."""
+    bad = outcomes.filter(F.col("outcome") == REJECTED)
+    return bad.select("stream", "outcome", "key", F.col("text").alias("raw"), F.array("reason").alias("errors"))
+
+
 def rejects(outcomes: DataFrame, schema: Mapping) -> DataFrame:
     """Quarantine table (stream, outcome, key, raw, errors) of the records that were not emitted for
     a fault of their own. Only these are parsed again to name their errors."""

@@ -30,16 +30,19 @@ from tidemark.sources.store import Store
 
 OUTCOMES_SCHEMA = (
     "stream string, ord bigint, key string, nk_json string, _sdc_surrogate_key string, "
-    "_sdc_timestamp string, _sdc_unique_key string, text string, outcome string"
+    "_sdc_timestamp string, _sdc_unique_key string, text string, reason string, outcome string"
 )
 
 
 def read_source(spark: SparkSession, cfg: StreamConfig, pages: DataFrame | None = None) -> DataFrame:
-    """Records of a source named by its configuration; ``pages`` holds the landed responses of an API."""
+    """Records of a source named by its configuration; ``pages`` holds the landed responses of an API.
+
+    Lines that give no record stay, with a ``reason``, for the rejects of a run."""
     if cfg.source_type == "csv":
-        return files.read_csv(spark, cfg.url, multi_line=cfg.multi_line)
+        kept = "keep" if cfg.on_bad == "quarantine" else "fail"
+        return files.read_csv(spark, cfg.url, on_bad=kept, multi_line=cfg.multi_line)
     if cfg.source_type == "jsonl":
-        return files.read_jsonl(spark, cfg.url)
+        return files.read_jsonl(spark, cfg.url, on_bad="fail" if cfg.on_bad == "fail" else "keep")
     if pages is None:
         raise ValueError("a rest stream is read from landed pages")
     return read_pages(cfg, pages)
@@ -105,7 +108,7 @@ def run_discover(
     version = table.version() + 1
     existing = table.read(version - 1)
     output = store.output(version)
-    depth, records = D.DEPTH, transform(source, cfg, discovered_at)
+    depth, records = D.DEPTH, transform(_readable(source, cfg), cfg, discovered_at)
     while True:
         found = D.found_types(records, cfg.unique_key_path, depth)
         uri = f"{output}/found-{depth}"
@@ -134,6 +137,17 @@ def _schema_message(stream: str, schema: dict) -> dict:
     }
 
 
+def _readable(source: DataFrame, cfg: StreamConfig) -> DataFrame:
+    """The rows of a source that give a record; the others fail the job if the stream is set to."""
+    if "reason" not in source.columns:
+        return source
+    ok = F.col("reason").isNull()
+    if cfg.on_bad == "fail":
+        message = F.concat(F.lit("a line of the source "), F.col("reason"))
+        ok = F.when(ok, True).otherwise(F.raise_error(message).cast("boolean"))
+    return source.filter(ok).drop("raw", "reason")
+
+
 def outcomes_of(
     source: DataFrame,
     cfg: StreamConfig,
@@ -143,9 +157,15 @@ def outcomes_of(
     refresh: bool = False,
     disambiguate: bool = False,
 ) -> DataFrame:
-    """Outcome of every record of a source: the part of a run before anything is written."""
-    records = transform_all(source, cfg, run_ts, disambiguate)
-    return O.route_outcomes(records, bookmark, schema, refresh)
+    """Outcome of every record of a source: the part of a run before anything is written.
+
+    A source with a ``reason`` column gives the lines without a record as well, with their reason."""
+    records = transform_all(_readable(source, cfg), cfg, run_ts, disambiguate)
+    routed = O.route_outcomes(records, bookmark, schema, refresh)
+    if "reason" not in source.columns:
+        return routed
+    bad = O.unreadable(source, cfg.stream_name, bool(cfg.drop_field_paths or cfg.sensitive_field_paths))
+    return routed.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
 
 
 def run_extract(
@@ -200,7 +220,7 @@ def run_extract(
         M.record_messages(emitted).select("message").write.text(f"{messages}/records")
 
     def write_rejects() -> None:
-        O.rejects(outcomes, schema).write.parquet(quarantine)
+        O.rejects(outcomes, schema).unionByName(O.unreadable_rejects(outcomes)).write.parquet(quarantine)
 
     def write_bookmark() -> None:
         folded = B.fold_updates(B.bookmark_updates(outcomes))
@@ -208,7 +228,9 @@ def run_extract(
         advanced.write.parquet(path)
 
     def count_outcomes() -> dict:
-        return X.run_metrics(outcomes).first().asDict()
+        counts = X.run_metrics(outcomes).first().asDict()
+        counts[O.REJECTED] = outcomes.filter(F.col("outcome") == O.REJECTED).count()
+        return counts | {"not_emitted_total": counts["not_emitted_total"] + counts[O.REJECTED]}
 
     # Four independent jobs over the written outcomes; the first error of any ends the run.
     with ThreadPoolExecutor(max_workers=4) as pool:

@@ -55,12 +55,14 @@ def read_csv(
     """Records of CSV files, all values strings.
 
     A row with too few or too many fields fails the job; ``on_bad="quarantine"`` returns
-    (records, bad rows) instead. ``multi_line=False`` lets Spark split large files, for data whose
+    (records, bad rows) instead, ``on_bad="keep"`` all rows as csv_parsed does. ``multi_line=False`` lets Spark split large files, for data whose
     quoted fields hold no newlines."""
-    if on_bad not in ("fail", "quarantine"):
-        raise ValueError(f"on_bad must be fail or quarantine, got {on_bad!r}")
+    if on_bad not in ("fail", "quarantine", "keep"):
+        raise ValueError(f"on_bad must be fail, quarantine or keep, got {on_bad!r}")
     schema = csv_schema(spark, uri)
     rows = _csv_rows(spark.read.options(**_csv_options(multi_line)).schema(schema).csv(uri))
+    if on_bad == "keep":
+        return _with_reason(rows)
     if on_bad == "quarantine":
         return rows.filter("raw IS NULL").drop("raw"), rows.filter("raw IS NOT NULL").select("raw")
     # The row itself may hold sensitive fields, so only its place is told.
@@ -96,10 +98,13 @@ def read_jsonl(
     spark: SparkSession, uri: str, on_bad: str = "skip"
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Records of JSON lines. Lines that give none are skipped; ``on_bad="quarantine"`` returns
-    (records, bad lines with their reasons) instead, ``on_bad="fail"`` fails the job at the first."""
-    if on_bad not in ("skip", "fail", "quarantine"):
-        raise ValueError(f"on_bad must be skip, fail or quarantine, got {on_bad!r}")
+    (records, bad lines with their reasons) instead, ``on_bad="keep"`` all lines as jsonl_parsed does,
+    ``on_bad="fail"`` fails the job at the first."""
+    if on_bad not in ("skip", "fail", "quarantine", "keep"):
+        raise ValueError(f"on_bad must be skip, fail, quarantine or keep, got {on_bad!r}")
     rows = jsonl_parsed(spark.read.text(uri))
+    if on_bad == "keep":
+        return rows
     if on_bad == "skip":
         return rows.filter("reason IS NULL").drop("reason")
     if on_bad == "quarantine":
@@ -111,7 +116,7 @@ def read_jsonl(
 
 
 def stream_jsonl(spark: SparkSession, uri: str, max_files: int | None = None) -> DataFrame:
-    """Lines of files as they arrive; parse a micro-batch with jsonl_rows."""
+    """Lines of files as they arrive; parse a micro-batch with jsonl_parsed."""
     reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -128,6 +133,15 @@ def stream_csv(
     return reader.csv(uri)
 
 
+def _with_reason(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("reason", F.when(F.col("raw").isNotNull(), "does not fit the header"))
+
+
+def csv_parsed(df: DataFrame) -> DataFrame:
+    """(ord, rec, raw, reason) of every row of a micro-batch read by stream_csv."""
+    return _with_reason(_csv_rows(df))
+
+
 def csv_rows(df: DataFrame) -> DataFrame:
     """(ord, rec) of a micro-batch read by stream_csv, without the rows that do not fit the header."""
     return _csv_rows(df).filter("raw IS NULL").drop("raw")

@@ -43,7 +43,8 @@ def stream_changes(
 ) -> StreamingQuery:
     """Extract each micro-batch of a stream and stop when all that has arrived is done.
 
-    ``parse`` turns a raw batch into records, e.g. jsonl_rows for lines of text."""
+    ``parse`` turns a raw batch into records: jsonl_parsed for lines of text and csv_parsed for CSV keep
+    the lines that give none for the rejects of the run, jsonl_rows and csv_rows leave them out."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         _extract_batch(parse(batch), batch_id, cfg, store, checkpoint, refresh)
