@@ -301,5 +301,9 @@ ORACLE = {
     "run_refresh": f"{OUTCOMES} {EMITTED} WHERE o_orderstatus IN ('O', 'F')",
     "stream_changes": f"""{EVENTS} SELECT nk AS key, sk AS surrogate_key,
         NOT (event_id % 3 < 2 AND event_id // 3 % 10 = 0) AS emitted_when_last_seen FROM u""",
+    "stream_changes_deltas": f"""{EVENTS} SELECT nk AS key, sk AS surrogate_key, event_id % 3 < 2 AS seen,
+        event_id % 3 = 0 AS emitted FROM u""",
     "stream_discover": PLAIN_CATALOG_ROWS,
 }
+ORACLE["bookmark_lookup_filtered"] = ORACLE["bookmark_lookup"]
+ORACLE["run_metrics_observed"] = ORACLE["run_metrics"]

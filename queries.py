@@ -506,6 +506,18 @@ def bookmark_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return B.join_bookmark(got, X.orders_bookmark(spark, sf)).select("key", B.PREVIOUS)
 
 
+def bookmark_lookup_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lookup against a stored bookmark and its delta, of which the run's own keys are read and joined."""
+    uri = scratch_uri(spark, "store")
+    whole, share = X.orders_bookmark(spark, sf), F.expr("pmod(hash(key), 10)")
+    content = F.when(share < 7, F.col("surrogate_key")).otherwise("older")
+    store.write_bookmark(spark, uri, whole.filter(share < 9).withColumn("surrogate_key", content))
+    log = store.Store(spark, uri).of("orders").bookmark
+    log.commit(2, log.advance(whole.filter(share >= 7), 2, 1))
+    got = T.transform(X.orders_stream(spark, sf), X.ORDERS, X.RUN_TS)
+    return B.join_bookmark(got, log.known(got)).select("key", B.PREVIOUS)
+
+
 def _outcomes(spark: SparkSession, sf: str, refresh: bool = False) -> DataFrame:
     return R.outcomes_of(
         X.orders_stream(spark, sf), X.ORDERS, X.orders_bookmark(spark, sf), X.ORDERS_SCHEMA, X.RUN_TS,
@@ -555,6 +567,15 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.run_metrics(_outcomes(spark, sf))
 
 
+def run_metrics_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same counts, observed while the outcomes are written."""
+    routed, counts = metrics.observed(_outcomes(spark, sf))
+    routed.write.parquet(scratch_uri(spark, "outcomes"))
+    got = metrics.metrics_of(counts)
+    got.pop(O.REJECTED)
+    return spark.createDataFrame([tuple(got.values())], ", ".join(f"{name} bigint" for name in got))
+
+
 def _updates(spark: SparkSession, sf: str) -> DataFrame:
     """Updates keyed by customer, so that keys repeat within the run."""
     return X.table(spark, sf, "orders").select(
@@ -731,6 +752,28 @@ def stream_changes(spark: SparkSession, sf: str) -> DataFrame:
     return s.of("events").bookmark.read().select("key", "surrogate_key", emitted_last.alias("emitted_when_last_seen"))
 
 
+def stream_changes_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """The same stream over a bookmark of all events but each third: batches append to the log, and what they
+    leave is the base with the deltas over it."""
+    s = store.Store(spark, scratch_uri(spark, "stream"))
+    store.write_catalog(spark, s.uri, C.catalog_from_schema(spark, "events", X.EVENTS_SCHEMA))
+    known = T.transform(X.events_json(spark, sf), X.EVENTS, X.OLD_TS).filter("ord % 3 <> 0")
+    store.write_bookmark(spark, s.uri, known.select(
+        "stream", "key", F.col("_sdc_surrogate_key").alias("surrogate_key"), F.lit(X.OLD_TS).alias("last_seen"),
+        F.lit(X.OLD_TS).alias("last_emitted"),
+    ))
+    uri = f"{s.uri}/landing"
+    for part in range(2):
+        _arrive(spark, sf, uri, part)
+        changes.stream_changes(
+            files.stream_jsonl(spark, uri), X.EVENTS, s, f"{s.uri}/checkpoint", files.jsonl_parsed
+        ).awaitTermination()
+    state = s.of("events").bookmark.read()
+    return state.select(
+        "key", "surrogate_key", (F.col("last_seen") != X.OLD_TS).alias("seen"), (F.col("last_emitted") != X.OLD_TS).alias("emitted")
+    )
+
+
 def stream_discover(spark: SparkSession, sf: str) -> DataFrame:
     s = store.Store(spark, scratch_uri(spark, "stream"))
     uri = f"{s.uri}/landing"
@@ -756,6 +799,7 @@ QUERIES = {
         objects_only, temporal_kind, bookmark_lookup, unseen_keys, infer_paths, merge_schemas,
         discover_catalog, run_metrics, fold_updates, advance_bookmark, route_outcomes,
         bookmark_updates, schema_messages, record_messages, rejects, run_discover, run_extract,
-        run_extract_bookmark, run_refresh, run_extract_next_pages, run_extract_query_pages, run_extract_bare_array, stream_changes, stream_discover,
+        run_extract_bookmark, run_refresh, run_extract_next_pages, run_extract_query_pages, run_extract_bare_array, stream_changes, stream_changes_deltas,
+        stream_discover, bookmark_lookup_filtered, run_metrics_observed,
     )
 }

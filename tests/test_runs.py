@@ -193,7 +193,7 @@ def test_stream_replay_is_idempotent(spark, ready, records):
     assert emitted(spark, R.RunResult(2, ready.of("s").bookmark.info()["outputs"][0] + "/messages", "", {})) == first == [(1, 2)]
     after = ready.of("s").bookmark.info()
     # A run has folders and an end of its own; everything else is as it was.
-    own = {"metrics", "path", "outputs", "last_extraction_ended_at"}
+    own = {"metrics", "path", "base", "outputs", "last_extraction_ended_at"}
     assert state(ready) == rows and {k: after[k] for k in after.keys() - own} == {k: info[k] for k in info.keys() - own}
 
 

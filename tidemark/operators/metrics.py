@@ -1,19 +1,37 @@
-"""Counts of a run."""
+"""Counts of a run, over written outcomes or observed while they are written."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.operators.outcomes import EMITTED, FILTERED, INVALID, TRANSFORM_FAILED
+from tidemark.operators.outcomes import EMITTED, FILTERED, INVALID, REJECTED, TRANSFORM_FAILED
+
+
+def _counts() -> list[Column]:
+    n = lambda o: F.count_if(F.col("outcome") == o).alias(o)
+    return [F.count("*").alias("processed"), n(EMITTED), n(FILTERED), n(INVALID), n(TRANSFORM_FAILED)]
+
+
+def observed(outcomes: DataFrame) -> tuple[DataFrame, Observation]:
+    """The outcomes, and their counts once an action has run over them: no pass of their own.
+
+    Counts are those of tasks that succeeded, each partition once, as long as nothing is shuffled
+    behind the outcomes."""
+    counts = Observation("run metrics")
+    rejected = F.count_if(F.col("outcome") == REJECTED).alias(REJECTED)
+    return outcomes.observe(counts, *_counts(), rejected), counts
+
+
+def metrics_of(counts: Observation) -> dict:
+    """Counts as run_metrics gives them, with those of lines that give no record."""
+    got = dict(counts.get)
+    return got | {"not_emitted_total": got["processed"] - got[EMITTED]}
 
 
 def run_metrics(outcomes: DataFrame, duration_s: float | None = None) -> DataFrame:
     """One row of counts over an ``outcome`` column, and the rate if the duration is given."""
-    n = lambda o: F.count_if(F.col("outcome") == o).alias(o)
-    counts = outcomes.agg(
-        F.count("*").alias("processed"), n(EMITTED), n(FILTERED), n(INVALID), n(TRANSFORM_FAILED)
-    )
+    counts = outcomes.agg(*_counts())
     total = F.col(FILTERED) + F.col(INVALID) + F.col(TRANSFORM_FAILED)
     counts = counts.withColumn("not_emitted_total", total)
     if duration_s is None:

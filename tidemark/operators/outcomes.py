@@ -25,22 +25,24 @@ OUTCOME_COLUMNS = (
 
 
 def route_outcomes(
-    df: DataFrame, bookmark: DataFrame | None, schema: Mapping, refresh: bool = False
+    df: DataFrame, bookmark: DataFrame | None, schema: Mapping, refresh: bool = False, hide: bool = False
 ) -> DataFrame:
-    """Outcome of transformed records, checked in order: key, bookmark, schema.
+    """Outcome of transformed records, checked in order: readable, key, bookmark, schema.
 
     ``bookmark=None`` means that nothing was seen yet; then nothing is shuffled. With a lookup only
     the text of a record is shuffled: typed records are checked beforehand, since that costs next to
-    nothing, and of VARIANT records the changed ones are parsed again afterwards."""
-    ok = F.col("key_ok")
+    nothing, and of VARIANT records the changed ones are parsed again afterwards, for which ``df`` may
+    lack ``rec``. Lines that give no record come in the same pass, and leave with their ``reason``;
+    ``text`` is the line, with ``hide`` its SHA-256, since fields of a line that cannot be read can
+    neither be dropped nor hashed."""
+    ok, told = F.col("key_ok"), ["reason"] if "reason" in df.columns else []
     lookup = bookmark is not None and not refresh
-    if not lookup or not is_variant(df.schema["rec"].dataType):
+    if "rec" in df.columns and not (lookup and is_variant(df.schema["rec"].dataType)):
         checks = compile_checks(df, schema)
-        df = checks.df.select(*checks.columns, checks.is_valid().alias("valid")).drop(
-            "rec", K.NATURAL_KEY
-        )
+        df = checks.df.select(*checks.columns, checks.is_valid().alias("valid"))
+    df = df.drop("rec", K.NATURAL_KEY)
     if lookup:
-        routed = join_bookmark(df.drop("rec", K.NATURAL_KEY), bookmark)
+        routed = join_bookmark(df, bookmark)
         routed = routed.withColumn("changed", ok & is_changed()).drop(PREVIOUS)
     else:
         routed = df.withColumn("changed", ok)
@@ -58,22 +60,14 @@ def route_outcomes(
         .when(~F.col("valid"), INVALID)
         .otherwise(EMITTED)
     )
+    if told:
+        outcome = F.when(F.col("reason").isNotNull(), REJECTED).otherwise(outcome)
     routed = settle(routed, outcome, "outcome")
-    unchanged = F.col("outcome") == FILTERED
-    return routed.withColumn(
-        "text", F.when(~unchanged, F.col("text"))
-    ).select(*OUTCOME_COLUMNS)
-
-
-def unreadable(source: DataFrame, stream: str, hide: bool) -> DataFrame:
-    """Outcomes, with a ``reason``, of the lines of a source that give no record.
-
-    ``text`` is the line; with ``hide`` its SHA-256, since fields of a line that cannot be read can
-    neither be dropped nor hashed."""
-    text = F.concat(F.lit("sha256:"), F.sha2("raw", 256)) if hide else F.col("raw")
-    given = {"stream": F.lit(stream), "ord": F.col("ord"), "text": text, "outcome": F.lit(REJECTED)}
-    columns = [given.get(c, F.lit(None).cast("string")).alias(c) for c in OUTCOME_COLUMNS]
-    return source.filter("reason IS NOT NULL").select(*columns, "reason")
+    text = F.when(F.col("outcome") != FILTERED, F.col("text"))
+    if told:
+        line = F.concat(F.lit("sha256:"), F.sha2("raw", 256)) if hide else F.col("raw")
+        text = F.when(F.col("outcome") == REJECTED, line).otherwise(text)
+    return routed.withColumn("text", text).select(*OUTCOME_COLUMNS, *told)
 
 
 def unreadable_rejects(outcomes: DataFrame) -> DataFrame:

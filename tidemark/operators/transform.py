@@ -53,8 +53,11 @@ def transform_all(
     """Every record with its keys; ``key_ok`` is false where the key check failed.
 
     ``text`` is the JSON text to emit. Failed records have NULL keys; their text is edited as well, so
-    that a rejects table never holds a value configured as sensitive."""
+    that a rejects table never holds a value configured as sensitive. Of a source with a ``reason`` column
+    the lines that give no record stay, with ``raw`` and ``reason``, as records that fail the key check."""
     df = with_ord(df)
+    if "reason" in df.columns:
+        df = df.withColumn("rec", F.when(F.col("reason").isNull(), F.col("rec")))
     if _rec_type(df) is None:
         step = _keyed_variant(df, cfg)
     else:
@@ -72,6 +75,7 @@ def transform_all(
         F.when(ok, F.col("nk")).alias(K.NATURAL_KEY),
         F.when(ok, K.surrogate_key(F.col("text"))).alias(K.SURROGATE_KEY),
         F.when(ok, F.lit(run_ts)).alias(K.TIMESTAMP),
+        *_told(df),
     )
     unique = K.unique_key(
         F.col("text"),
@@ -86,18 +90,24 @@ def transform_all(
     )
 
 
+def _told(df: DataFrame) -> list[str]:
+    """What a source says of lines that give no record."""
+    return ["raw", "reason"] if "reason" in df.columns else []
+
+
 def _keyed_variant(df: DataFrame, cfg: StreamConfig) -> DataFrame:
     """Dynamic records: each select names what the next one uses more than once."""
-    rec = F.col("rec")
-    df = df.select("ord", "rec", P.get_path(rec, cfg.unique_key_path).alias("source_key"))
-    df = df.select("ord", "rec", (~V.is_empty(F.col("source_key"))).alias("key_ok"))
+    rec, told = F.col("rec"), _told(df)
+    df = df.select("ord", *told, "rec", P.get_path(rec, cfg.unique_key_path).alias("source_key"))
+    df = df.select("ord", *told, "rec", (~V.is_empty(F.col("source_key"))).alias("key_ok"))
     edited, _ = P.edit_paths(rec, cfg.drop_field_paths, cfg.sensitive_field_paths)
-    df = df.select("ord", "key_ok", edited.alias("rec"))
+    df = df.select("ord", *told, "key_ok", edited.alias("rec"))
     df = df.select(
         "*", F.to_json(rec).alias("json"), P.get_path(rec, cfg.unique_key_path).alias("nk")
     )
     df = df.select(
         "ord",
+        *told,
         "key_ok",
         "rec",
         "nk",
@@ -113,18 +123,19 @@ def _keyed_variant(df: DataFrame, cfg: StreamConfig) -> DataFrame:
 
 def _keyed_struct(df: DataFrame, cfg: StreamConfig) -> DataFrame:
     """Typed records: text and keys come from plain columns, and rec stays a struct."""
-    dtype = _rec_type(df)
+    dtype, told = _rec_type(df), _told(df)
     edited, edited_type = P.edit_paths(
         F.col("rec"), cfg.drop_field_paths, cfg.sensitive_field_paths, dtype
     )
     ok = key_ok(df, cfg.unique_key_path)
-    df = df.select("ord", ok.alias("key_ok"), edited.alias("edited"))
+    df = df.select("ord", *told, ok.alias("key_ok"), edited.alias("edited"))
     edited = F.col("edited")
     nk = P.get_path(edited, cfg.unique_key_path, edited_type)
     nk_type = P.type_at(edited_type, cfg.unique_key_path)
     text = V.typed_json(edited, edited_type)
     df = df.select(
         "ord",
+        *told,
         "key_ok",
         edited.alias("rec"),
         text.alias("text"),

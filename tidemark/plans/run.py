@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import StreamConfig
 from tidemark.functions import keys as K
+from tidemark.functions.values import is_variant
 from tidemark.operators import bookmark as B
 from tidemark.operators import discover as D
 from tidemark.operators import messages as M
@@ -26,6 +27,7 @@ from tidemark.operators.catalog import load_schema
 from tidemark.operators.transform import now_text, transform, transform_all
 from tidemark.session import check_settings
 from tidemark.sources import files
+from tidemark.sources.bookmark_log import BookmarkLog
 from tidemark.sources.store import Store
 
 OUTCOMES_SCHEMA = (
@@ -141,11 +143,17 @@ def _readable(source: DataFrame, cfg: StreamConfig) -> DataFrame:
     """The rows of a source that give a record; the others fail the job if the stream is set to."""
     if "reason" not in source.columns:
         return source
-    ok = F.col("reason").isNull()
-    if cfg.on_bad == "fail":
-        message = F.concat(F.lit("a line of the source "), F.col("reason"))
-        ok = F.when(ok, True).otherwise(F.raise_error(message).cast("boolean"))
-    return source.filter(ok).drop("raw", "reason")
+    return _checked(source, cfg).filter("reason IS NULL").drop("raw", "reason")
+
+
+def _checked(source: DataFrame, cfg: StreamConfig) -> DataFrame:
+    """A source whose lines without a record fail the job if the stream is set to."""
+    if "reason" not in source.columns or cfg.on_bad != "fail":
+        return source
+    message = F.concat(F.lit("a line of the source "), F.col("reason"))
+    return source.filter(
+        F.when(F.col("reason").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
+    )
 
 
 def outcomes_of(
@@ -159,13 +167,31 @@ def outcomes_of(
 ) -> DataFrame:
     """Outcome of every record of a source: the part of a run before anything is written.
 
-    A source with a ``reason`` column gives the lines without a record as well, with their reason."""
-    records = transform_all(_readable(source, cfg), cfg, run_ts, disambiguate)
-    routed = O.route_outcomes(records, bookmark, schema, refresh)
-    if "reason" not in source.columns:
-        return routed
-    bad = O.unreadable(source, cfg.stream_name, bool(cfg.drop_field_paths or cfg.sensitive_field_paths))
-    return routed.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+    A source with a ``reason`` column gives the lines without a record as well, with their reason, in the
+    same pass."""
+    records = transform_all(_checked(source, cfg), cfg, run_ts, disambiguate)
+    return O.route_outcomes(records, bookmark, schema, refresh, _hides(cfg))
+
+
+def _hides(cfg: StreamConfig) -> bool:
+    return bool(cfg.drop_field_paths or cfg.sensitive_field_paths)
+
+
+def _against_bookmark(
+    source: DataFrame, cfg: StreamConfig, table: BookmarkLog, previous: int, schema: dict, run_ts: str,
+    disambiguate: bool, staged: str,
+) -> DataFrame:
+    """Outcomes against a version of the bookmark, of which only the run's own keys are read and joined.
+
+    Typed records are scanned for their keys first, which reads the key's columns alone. VARIANT records are
+    parsed once: what a run needs of them is written, and their keys are one column of it."""
+    records = transform_all(_checked(source, cfg), cfg, run_ts, disambiguate)
+    if is_variant(records.schema["rec"].dataType):
+        records = records.drop("rec", K.NATURAL_KEY)
+        records.write.parquet(staged)
+        records = source.sparkSession.read.schema(records.schema).parquet(staged)
+    known = table.known(records, previous)
+    return O.route_outcomes(records, known, schema, hide=_hides(cfg))
 
 
 def run_extract(
@@ -200,12 +226,13 @@ def run_extract(
     previous = info.get("version", 0) if previous is None else previous
     last_update = info.get("updated_at")
     version = previous + 1 if version is None else version
-    bookmark = table.read(previous)
-
-    routed = outcomes_of(
-        source, cfg, bookmark if previous else None, schema, run_ts, refresh, disambiguate
-    )
-    output, path = store.output(version), table.new_path(version)
+    output = store.output(version)
+    if previous and not refresh:
+        staged = f"{output}/records"
+        routed = _against_bookmark(source, cfg, table, previous, schema, run_ts, disambiguate, staged)
+    else:
+        routed = outcomes_of(source, cfg, None, schema, run_ts, refresh, disambiguate)
+    routed, counts = X.observed(routed)
     uri = f"{output}/outcomes"
     # The outcome is a folder, so emitted, rejected and unchanged records are read apart.
     routed.write.partitionBy("outcome").parquet(uri)
@@ -222,20 +249,14 @@ def run_extract(
     def write_rejects() -> None:
         O.rejects(outcomes, schema).unionByName(O.unreadable_rejects(outcomes)).write.parquet(quarantine)
 
-    def write_bookmark() -> None:
-        folded = B.fold_updates(B.bookmark_updates(outcomes))
-        advanced = B.advance_bookmark(bookmark, folded) if previous else folded
-        advanced.write.parquet(path)
-
-    def count_outcomes() -> dict:
-        counts = X.run_metrics(outcomes).first().asDict()
-        counts[O.REJECTED] = outcomes.filter(F.col("outcome") == O.REJECTED).count()
-        return counts | {"not_emitted_total": counts["not_emitted_total"] + counts[O.REJECTED]}
+    def write_bookmark() -> str:
+        return table.advance(B.fold_updates(B.bookmark_updates(outcomes)), version, previous)
 
-    # Four independent jobs over the written outcomes; the first error of any ends the run.
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        jobs = [pool.submit(f) for f in (write_bookmark, write_rejects, write_messages, count_outcomes)]
-    *_, metrics = [job.result() for job in jobs]
+    # Three independent jobs over the written outcomes; the first error of any ends the run.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        jobs = [pool.submit(f) for f in (write_bookmark, write_rejects, write_messages)]
+    path, *_ = [job.result() for job in jobs]
+    metrics = X.metrics_of(counts)
     duration = time.monotonic() - started
     metrics |= {"duration_s": duration, "processed_per_second": metrics["processed"] / duration}
     table.commit(
