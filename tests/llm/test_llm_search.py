@@ -66,6 +66,23 @@ def test_odd_vectors(spark):
     assert neighbours.nearest(spark.createDataFrame([], VECTORS), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_ties_and_ids_with_many_vectors(spark):
+    """Thirty vectors at one cosine, and an id with nine near vectors: both as brute force has them."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=16)
+    tied = [(i, (base * 2.0 ** (i % 31 - 15)).tolist()) for i in rng.permutation(np.arange(1, 31)).tolist()]
+    rows = [(0, base.tolist()), *tied, *[(100 + i, rng.normal(size=16).tolist()) for i in range(60)]]
+    other = rng.normal(size=16)
+    rows += [(50, other.tolist()), *[(200, (other + 1e-3 * rng.normal(size=16)).tolist()) for _ in range(9)]]
+    rows += [(210 + i, (other + 1e-2 * rng.normal(size=16)).tolist()) for i in range(8)]
+    frame = spark.createDataFrame([(*r, 0, 1, 2) for r in rows], VECTORS.replace("float", "double"))
+    got, want = found(neighbours.nearest(frame, F.col("vec_id") % 50 == 0, probes=32)), exact(rows)
+    assert [i for _, i, _ in got[0]] == [1, 2, 3, 4, 5] == [i for i, _ in want[0]]
+    assert [i for _, i, _ in got[50]] == [i for i, _ in want[50]] and got[50][0][1] == 200
+    # Id 200 asks once for each of its vectors.
+    assert all([r for r, *_ in got[q]] == [1, 2, 3, 4, 5] for q in (0, 50, 100, 150))
+
+
 def test_blocks_agree(spark, monkeypatch):
     """Small blocks split buckets on both sides and find the same."""
     rng = np.random.default_rng(2)

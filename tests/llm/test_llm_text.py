@@ -166,3 +166,32 @@ def test_repeated_windows_that_overlap(docs_of):
     rows = [(i, t) for i, t in enumerate(["a a a a a", "a b c x a b c", "a b a b a b a", "q w e r", "a b c d a b c d e"])]
     got = {r.doc_id: r.n_repeat_words for r in quality.quality(docs_of(rows)).collect()}
     assert got == {i: measured(t)[4] for i, t in rows}
+
+
+@pytest.mark.parametrize("n", [60, 1999, 2000, 200_000])
+def test_few_different_words_at_any_length(docs_of, n):
+    """Texts of few words are rejected and texts of many kept, however long they are."""
+    rng = random.Random(3)
+    few, many = int(1.5 * n**0.5), int(4 * n**0.5)
+    rows = [(i, " ".join(f"word{rng.randrange(k)}" for _ in range(n))) for i, k in enumerate((few, many))]
+    rules = [r for r in quality.RULES if r.name == "few_different_words"]
+    got = quality.cascade(docs_of(rows).select("doc_id", "text"), rules).orderBy("doc_id").collect()
+    assert [r.first_rule for r in got] == ["few_different_words", None]
+
+
+def test_rejected_rows_are_not_measured_further(docs_of):
+    """Measures of later rules are null where an earlier rule has rejected."""
+    docs = docs_of([(1, "few words"), (2, " ".join(f"w{i}" for i in range(80)))]).select("doc_id", "text")
+    done = quality.cascade(docs, quality.RULES).orderBy("doc_id").collect()
+    assert done[0].first_rule == "few_words" and done[0].n_words == 2
+    assert [done[0][m] for m in ("n_repeat_words", "word_chars", "n_symbols", "n_dup_lines", "n_different", "longest_word")] == [None] * 6
+    assert done[1].first_rule is None and done[1].n_different == 80
+    every = quality.cascade(docs, quality.RULES, ("n_repeat_words", "n_symbols")).orderBy("doc_id").first()
+    assert (every.n_repeat_words, every.n_symbols, every.n_different) == (0, 0, None)
+
+
+def test_order_is_by_rejections_a_second(docs_of):
+    docs = docs_of([(i, "few words" if i % 2 else " ".join(f"w{i}x{j}" for j in range(80))) for i in range(40)])
+    timed = quality.timed_rules(docs)
+    rates = [n / seconds for _, n, seconds in timed]
+    assert rates == sorted(rates, reverse=True) and {r.name: n for r, n, _ in timed}["few_words"] == 20

@@ -41,6 +41,18 @@ def test_pack_against_library(odd_docs, odd_texts, byte_ids):
         assert at <= 2048
 
 
+@pytest.mark.parametrize("text", ["\n" * 10**6, "\t" * 10**6, " " * 10**6, "a" * 10**5, "a" + " \n" * 200_000 + "b  c", "x\u2003" * 5 + "\u3000" * 20_000])
+def test_long_runs_of_one_kind(docs_of, text, byte_ids):
+    ids = byte_ids(text)
+    rows = sorted(packing.pack(docs_of([(1, text)]), BYTE, with_ids=True).collect(), key=lambda r: r.start)
+    assert [i for r in rows for i in r.ids] == ids
+
+
+def test_rows_that_repeat_are_dealt_apart(docs_of):
+    rows = packing.pack(docs_of([(1, "same")] * 500), BYTE).collect()
+    assert "_deal" not in rows[0].asDict() and len({(r.sequence_id, r.offset) for r in rows}) == 500
+
+
 def test_pack_nothing(no_docs):
     assert packing.pack(no_docs, BYTE).count() == 0
 

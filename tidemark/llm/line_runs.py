@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import freeze, text_or_empty
 from tidemark.session import scratch_uri
-from tidemark.sources.store import _Files
+from tidemark.sources.versions import Files
 
 SPACE = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -55,7 +55,7 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, uri: str, fan: int = 4, buckets: int | None = None):
         self.spark, self.uri, self.fan = spark, uri.rstrip("/"), fan
-        self._files = _Files(spark)
+        self._files = Files(spark)
         state = self._files.read(f"{self.uri}/runs.json")
         state = json.loads(state) if state else {"buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), "runs": []}
         self.buckets, self.runs = state["buckets"], [tuple(run) for run in state["runs"]]

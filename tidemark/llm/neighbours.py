@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import freeze
 
 BLOCK = 20_000
+#: More than products of unit vectors are off by.
+ROUNDING = 1e-11
 VALID = (
     "vec_id is not null and vec is not null and size(vec) > 0 and exists(vec, x -> x <> 0)"
     " and not exists(vec, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
@@ -88,8 +90,23 @@ def coded(vectors: DataFrame, tables: int, probes: int | None) -> DataFrame:
     return vectors.select("k1", "k2", "dim", "vec", "members").mapInArrow(code, schema)
 
 
+def _candidates(near, ids, keep: int):
+    """Rows of `near`, rounded cosines, that may hold the `keep` best ids: enough for as many different ids, and
+    all within rounding of the last of these."""
+    import numpy as np
+
+    more = min(2 * keep, len(near))
+    while True:
+        last = np.partition(near, len(near) - more)[len(near) - more]
+        own = np.flatnonzero(near >= last - ROUNDING)
+        if more == len(near) or len({i for j in own.tolist() for i in ids[j]}) >= keep:
+            return own
+        more = min(2 * max(more, len(own)), len(near))
+
+
 def best_in_block(keep: int):
-    """Function of a bucket's vectors and the queries that probe it: the `keep` best of each query."""
+    """Function of a bucket's vectors and the queries that probe it: the `keep` best ids of each query, each with
+    its nearest vector's score; ties by id."""
 
     def search(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         import numpy as np
@@ -100,28 +117,26 @@ def best_in_block(keep: int):
             v, q = _matrix(vectors.column("vec"), dim), _matrix(queries.column("vec"), dim)
             v_unit, q_unit = unit(v), unit(q)
             members = vectors.column("members").to_pylist()
-            ids = np.array([m[0] for m in members])
             q1, q2 = queries.column("k1").to_pylist(), queries.column("k2").to_pylist()
-            more = min(2 * keep, len(v))
             v_norm = np.sqrt((v * v).sum(axis=1))
             step = max(1, 2_000_000 // len(v))
             for a in range(0, len(q), step):
-                near = q_unit[a : a + step] @ v_unit.T
-                top = np.argpartition(-near, more - 1, axis=1)[:, :more]
-                for i, own in enumerate(top):
-                    x = q[a + i]
+                for i, near in enumerate(q_unit[a : a + step] @ v_unit.T):
+                    own, x = _candidates(near, members, keep), q[a + i]
                     # Row by row, so that a pair has one score whatever block it meets in.
                     exact = (v[own] * x).sum(axis=1) / (v_norm[own] * np.sqrt((x * x).sum()))
                     bad = ~np.isfinite(exact)
                     if bad.any():
                         exact[bad] = (v_unit[own[bad]] * q_unit[a + i]).sum(axis=1)
-                    for j in np.lexsort((ids[own], -exact))[:keep]:
-                        out[0].append(q1[a + i])
-                        out[1].append(q2[a + i])
-                        out[2].append(members[own[j]])
-                        out[3].append(float(exact[j]))
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.float64()]
-        return pa.table([pa.array(x, k) for x, k in zip(out, kinds)], names=["k1", "k2", "members", "score"])
+                    best: dict[int, float] = {}
+                    for j, score in zip(own.tolist(), exact.tolist()):
+                        for member in members[j]:
+                            best[member] = max(score, best.get(member, score))
+                    for member, score in sorted(best.items(), key=lambda p: (-p[1], p[0]))[:keep]:
+                        for column, value in zip(out, (q1[a + i], q2[a + i], member, score)):
+                            column.append(value)
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+        return pa.table([pa.array(x, k) for x, k in zip(out, kinds)], names=["k1", "k2", "vec_id", "score"])
 
     return search
 
@@ -145,10 +160,9 @@ def _found(vectors: DataFrame, queries: DataFrame, tables: int, probes: int, kee
         *bucket, "k1", "k2", "vec", F.pmod(key, F.col("m")).cast("int").alias("j"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")
     )
     pairs = index.groupBy(*block).cogroup(asked.groupBy(*block)).applyInArrow(
-        best_in_block(keep), "k1 bigint, k2 bigint, members array<bigint>, score double"
+        best_in_block(keep), "k1 bigint, k2 bigint, vec_id bigint, score double"
     )
-    ids = pairs.select("k1", "k2", F.explode("members").alias("vec_id"), "score")
-    ids = ids.groupBy("k1", "k2", "vec_id").agg(F.max("score").alias("score"))
+    ids = pairs.groupBy("k1", "k2", "vec_id").agg(F.max("score").alias("score"))
     order = W.partitionBy("k1", "k2").orderBy(F.desc("score"), "vec_id")
     return ids.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= keep).drop("r")
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,10 @@ END_ID = 1
 # Fixed value: how byte-level BPE of this kind cuts text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The encoder's search for words takes memory for each character of a run of white space, and ends the process at
+# some hundred thousands. The library takes such runs.
+LONG_SPACE = re.compile(r"\s{10000}")
+
 
 def chunks_at_spaces(text: str) -> list[str]:
     """Cut a text before each space that follows a character other than white space.
@@ -35,13 +40,14 @@ def chunks_at_spaces(text: str) -> list[str]:
     parts = text.split(" ")
     if all(parts[:-1]) and not any(p[-1].isspace() for p in parts[:-1] if p):
         return parts
-    out = [parts[0]]
+    out, run = [], [parts[0]]
     for part in parts[1:]:
-        if not out[-1] or out[-1][-1].isspace():
-            out[-1] += " " + part
+        if not run[-1] or run[-1][-1].isspace():
+            run.append(part)
         else:
-            out.append(part)
-    return out
+            out.append(" ".join(run))
+            run = [part]
+    return [*out, " ".join(run)]
 
 
 def byte_ranks(tokenizer_path: str) -> dict[bytes, int]:
@@ -70,7 +76,8 @@ def token_pieces(
 
     A null text is an empty one and gives one piece with the end id. Only doc_id and text are read,
     so other columns may have any name. Returns doc_id, start, length, ids_crc32, doc_tokens and, if
-    asked for, ids. Words are encoded once per task as long as they stay in its memo."""
+    asked for, ids. Words are encoded once per task as long as they stay in its memo. Runs of one character
+    of any length are encoded whole, in time that grows with them."""
     ranks = byte_ranks(tokenizer_path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +93,7 @@ def token_pieces(
         encoder = tiktoken.Encoding("bpe", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
         def ids(text: str) -> bytes:
-            if any(s in text for s in special):
+            if any(s in text for s in special) or LONG_SPACE.search(text):
                 return array.array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
             return array.array("I", encoder.encode_ordinary(text)).tobytes()
 
@@ -182,15 +189,17 @@ def pack(docs: DataFrame, tokenizer_path: str, max_length: int = SEQUENCE, end_i
     """Place every token piece: adds sequence_id (from 0) and offset to `token_pieces`.
 
     An empty table gives an empty result. Repeated rows are packed as often as they occur. Pieces of
-    one length are interchangeable; ties in rank fall to doc_id, start, and then the ids' digest."""
+    one length are interchangeable; ties in rank fall to doc_id, start, the ids' digest, and then the scan."""
     spark = docs.sparkSession
-    pieces = freeze(token_pieces(docs, tokenizer_path, max_length, end_id, with_ids), "pieces")
+    # Numbered before they are written, so that rows which repeat are dealt apart.
+    dealt = F.monotonically_increasing_id().alias("_deal")
+    pieces = freeze(token_pieces(docs, tokenizer_path, max_length, end_id, with_ids).select("*", dealt), "pieces")
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     ranges = slot_ranges(shortest_pack_first(histogram, max_length))
     slots = spark.createDataFrame(
         ranges, "length bigint, _low bigint, _high bigint, _times bigint, _sequence bigint, _offset bigint"
     )
-    ranked = rank_within(pieces, "length", ["doc_id", "start", "ids_crc32", "doc_tokens"], "_rank", sum(histogram.values()))
+    ranked = rank_within(pieces, "length", ["doc_id", "start", "ids_crc32", "doc_tokens", "_deal"], "_rank", sum(histogram.values()))
     at = F.col("_rank") - F.col("_low")
     return (
         ranked.join(
@@ -199,5 +208,5 @@ def pack(docs: DataFrame, tokenizer_path: str, max_length: int = SEQUENCE, end_i
         )
         .withColumn("sequence_id", F.col("_sequence") + F.expr("(_rank - _low) div _times"))
         .withColumn("offset", F.col("_offset") + (at % F.col("_times")) * F.col("length"))
-        .drop("_length", "_low", "_high", "_times", "_sequence", "_offset", "_rank")
+        .drop("_length", "_low", "_high", "_times", "_sequence", "_offset", "_rank", "_deal")
     )

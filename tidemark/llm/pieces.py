@@ -2,9 +2,10 @@
 
 A text is the best path through pieces by the sum of their scores. Pieces never cross the place before a run of
 spaces, nor a character that is in no longer piece, so words between these are encoded by themselves, once per task
-as long as a memo holds them. New words of one length advance together: the hashes of all substrings that end at
-a place are probed against the sorted hashes of the pieces, and the maximum over them gives each word's score and
-backpointer there. Characters without a piece fall back to their bytes.
+as long as a memo holds them. New words of one length advance together: the hashes of substrings that start at
+a place are probed against the sorted hashes of the pieces and of what pieces begin with, longer ones only in words
+whose substring so far begins a piece. The maximum over all of them gives each word's score and backpointer at a
+place. Characters without a piece fall back to their bytes.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ SPACE = "▁"
 BASE = 0x9E3779B97F4A7C15
 TOGETHER = 1 << 14
 FILTER_BITS = 22
+MEMO = 400_000
 
 
 @dataclass
@@ -84,16 +86,22 @@ class Encoder:
         self.longest = max(map(len, vocabulary.pieces))
         self.unknown = vocabulary.unknown
         self.power = np.array([pow(BASE, i, 1 << 64) for i in range(self.longest + 1)], np.uint64)
-        texts = list(vocabulary.pieces)
-        keys = np.array([self._hash(p) for p in texts], np.uint64)
+        # Pieces, and what pieces begin with at a score that no path takes.
+        known = {p[:n]: -np.inf for p in vocabulary.pieces for n in range(1, len(p))}
+        known |= {p: score for p, (_, score) in vocabulary.pieces.items()}
+        keys = np.array([self._hash(p) for p in known], np.uint64)
         order = np.argsort(keys)
-        self.keys = keys[order]
+        self.keys, self.scores = keys[order], np.array(list(known.values()))[order]
+        texts = list(known)
+        self.ids = np.array([vocabulary.pieces.get(texts[i], (0,))[0] for i in order], np.int32)
+        self.codes = np.zeros((len(order), self.longest), np.uint32)
+        for row, i in enumerate(order):
+            self.codes[row, : len(texts[i])] = list(map(ord, texts[i]))
         if (self.keys[1:] == self.keys[:-1]).any():
             raise ValueError("two pieces have one hash")
-        self.scores = np.array([vocabulary.pieces[texts[i]][1] for i in order])
         self.maybe = np.zeros(1 << FILTER_BITS, bool)
         self.maybe[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        inner = {c for p in texts if len(p) > 1 for c in p}
+        inner = {c for p in vocabulary.pieces if len(p) > 1 for c in p}
         self.inner = inner
         self.alone = re.compile("([^" + "".join(map(re.escape, sorted(inner))) + "])")
 
@@ -104,53 +112,66 @@ class Encoder:
             h = (h * BASE + ord(c) + 1) % (1 << 64)
         return h
 
-    def _cuts(self, words: list[str]) -> list[list[int]]:
-        """Ends of the best pieces of words of one length."""
+    def _paths(self, words: list[str]) -> list[bytes]:
+        """Ids of the best pieces of words of one length, as little-endian 32-bit numbers."""
         import numpy as np
 
         n, length = len(words), len(words[0])
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length)
-        prefix = np.zeros((n, length + 1), np.uint64)
+        prefix = np.zeros((length + 1, n), np.uint64)
         for j in range(length):
-            prefix[:, j + 1] = prefix[:, j] * np.uint64(BASE) + codes[:, j] + np.uint64(1)
-        best = np.full((n, length + 1), -np.inf)
-        best[:, 0] = 0.0
-        back = np.zeros((n, length + 1), np.int32)
-        for j in range(1, length + 1):
-            width = min(j, self.longest)
-            starts = np.arange(j - 1, j - width - 1, -1)
-            hashes = prefix[:, j : j + 1] - prefix[:, starts] * self.power[1 : width + 1]
-            gain = np.full((n, width), -np.inf)
-            at = np.nonzero(self.maybe[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-            probed = hashes[at]
-            place = np.minimum(np.searchsorted(self.keys, probed), len(self.keys) - 1)
-            gain[at] = np.where(self.keys[place] == probed, self.scores[place], -np.inf)
-            gain[:, 0] = np.where(np.isinf(gain[:, 0]), self.unknown, gain[:, 0])
-            total = best[:, starts] + gain
-            # Of equal paths the one whose last piece is shortest.
-            pick = total.argmax(axis=1)
-            best[:, j] = total[np.arange(n), pick]
-            back[:, j] = pick + 1
-        out = []
-        for steps in back.tolist():
-            ends, j = [], length
-            while j:
-                ends.append(j)
-                j -= steps[j]
-            out.append(ends[::-1])
+            prefix[j + 1] = prefix[j] * np.uint64(BASE) + codes[:, j] + np.uint64(1)
+        best = np.full((length + 1, n), -np.inf)
+        best[0] = 0.0
+        # Length of the last piece up to a place, and its key; -1 is a character that falls back to its bytes.
+        back, piece = np.ones((length + 1, n), np.int32), np.full((length + 1, n), -1, np.int32)
+        for i in range(length):
+            # Of equal paths the one whose last piece is shortest: the last to come here.
+            alone = best[i] + self.unknown
+            taken = alone >= best[i + 1]
+            best[i + 1][taken], back[i + 1][taken], piece[i + 1][taken] = alone[taken], 1, -1
+            begun = np.arange(n)
+            for size in range(1, min(self.longest, length - i) + 1):
+                hashes = prefix[i + size][begun] - prefix[i][begun] * self.power[size]
+                maybe = np.flatnonzero(self.maybe[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+                place = np.minimum(np.searchsorted(self.keys, hashes[maybe]), len(self.keys) - 1)
+                hit = self.keys[place] == hashes[maybe]
+                begun, place = begun[maybe[hit]], place[hit]
+                if not len(begun):
+                    break
+                total, j = best[i][begun] + self.scores[place], i + size
+                better = (total >= best[j][begun]) & (total > -np.inf)
+                own = begun[better]
+                best[j][own], back[j][own], piece[j][own] = total[better], size, place[better]
+        # Backpointers of all words are followed side by side, from the right.
+        ids, counts = np.zeros((n, length), np.int32), np.zeros(n, np.int64)
+        at, bare = np.full(n, length), np.zeros(n, bool)
+        for step in range(1, length + 1):
+            open_ = np.flatnonzero(at)
+            if not len(open_):
+                break
+            j = at[open_]
+            size, key = back[j, open_], piece[j, open_]
+            bare[open_[key < 0]] = True
+            for k in range(int(size.max())):
+                long = (size > k) & (key >= 0)
+                if (codes[open_[long], j[long] - size[long] + k] != self.codes[key[long], k]).any():
+                    raise ValueError("a hash stood for another piece")
+            ids[open_, length - step] = np.where(key < 0, -1 - codes[open_, j - 1].astype(np.int64), self.ids[key])
+            at[open_] = j - size
+            counts[open_] = step
+        out = [row[length - c :].tobytes() for row, c in zip(ids, counts.tolist())]
+        for w in np.flatnonzero(bare).tolist():
+            spelled = ids[w, length - counts[w] :].tolist()
+            out[w] = array.array("I", [x for i in spelled for x in ([i] if i >= 0 else self._bytes(-1 - i))]).tobytes()
         return out
 
-    def _ids(self, piece: str) -> list[int]:
-        known = self.vocabulary.pieces.get(piece)
-        if known:
-            return [known[0]]
-        if len(piece) > 1:
-            raise ValueError("a hash stood for another piece")
-        return [self.vocabulary.bytes_at[b] for b in piece.encode("utf-8", "surrogatepass")]
+    def _bytes(self, code: int) -> list[int]:
+        return [self.vocabulary.bytes_at[b] for b in chr(code).encode("utf-8", "surrogatepass")]
 
     def encode(self, words: list[str]) -> list[bytes]:
         """Ids of each word, as little-endian 32-bit numbers."""
-        parts: dict[str, list[int]] = {}
+        parts: dict[str, bytes] = {}
         split = [[w] if self.inner.issuperset(w) else [p for p in self.alone.split(w) if p] for w in words]
         lengths: dict[int, list[str]] = {}
         for part in {p for s in split for p in s}:
@@ -159,10 +180,8 @@ class Encoder:
             step = max(1, min(TOGETHER, 4_000_000 // length))
             for at in range(0, len(same), step):
                 some = same[at : at + step]
-                for part, ends in zip(some, self._cuts(some)):
-                    begins = [0, *ends[:-1]]
-                    parts[part] = [i for a, b in zip(begins, ends) for i in self._ids(part[a:b])]
-        return [array.array("I", [i for p in s for i in parts[p]]).tobytes() for s in split]
+                parts.update(zip(some, self._paths(some)))
+        return [parts[s[0]] if len(s) == 1 else b"".join(map(parts.__getitem__, s)) for s in split]
 
 
 def decode_ids(ids, written: dict[int, bytes]) -> str:
@@ -187,9 +206,9 @@ def encode(docs: DataFrame, model_path: str, with_ids: bool = True) -> DataFrame
             for a, b in in_batches(texts):
                 words = [words_of(t) for t in texts[a:b]]
                 new = set().union(*words).difference(memo)
-                if len(memo) + len(new) > 400_000:
-                    memo.clear()
-                    new = set().union(*words)
+                if len(memo) + len(new) > MEMO:
+                    # Words that came again stay.
+                    memo = {w: memo[w] for w in set().union(*words).difference(new)}
                 listed = list(new)
                 memo.update(zip(listed, encoder.encode(listed)))
                 out: list[list] = [[], [], [], [], []]

@@ -150,7 +150,7 @@ m AS (
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR word_chars < 1.5 * n_words OR word_chars > 30 * n_words OR n_symbols > 0.3 * n_words
-            OR n_dup_lines > 0.5 * n_lines OR (10 * different < n_words AND n_words < 2000) OR long_words > 0) AS kept
+            OR n_dup_lines > 0.5 * n_lines OR different * different < 4 * n_words OR long_words > 0) AS kept
 FROM b"""
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
