@@ -170,7 +170,8 @@ ORACLE = {
     "api_records_explode": """SELECT c_custkey AS page_no, CAST(pos AS BIGINT) AS pos, c_custkey, c_name
         FROM customer, (VALUES (0), (2)) AS p(pos)
         WHERE c_custkey % 3 = 0 OR (c_custkey % 3 = 1 AND pos = 0)""",
-    "api_records_path": "SELECT o_orderkey // 100 AS page_no, o_orderkey FROM orders",
+    "api_records_path": """SELECT stream, o_orderkey // 100 AS page_no, o_orderkey
+        FROM orders, (VALUES ('s1'), ('s2')) AS s(stream)""",
     "page_urls": URLS,
     "pages_until_empty": """SELECT stream, page_no FROM (
         SELECT CAST(c_nationkey AS VARCHAR) AS stream, c_custkey AS page_no,
@@ -295,7 +296,8 @@ ORACLE = {
     "run_extract_next_pages": f"""SELECT {K} AS key, sha256('{{"o_orderkey":' || {K} || ',"o_orderstatus":"' || o_orderstatus
         || '","o_totalprice":' || {num('o_totalprice')} || '}}') AS surrogate_key FROM orders WHERE o_orderkey <> 0""",
     "run_extract_query_pages": """SELECT CAST(c_custkey AS VARCHAR) AS key, sha256('{"c_custkey":' || CAST(c_custkey AS VARCHAR)
-        || ',"c_name":"' || c_name || '"}') AS surrogate_key FROM customer WHERE c_custkey <> 0 AND c_custkey < 120""",
+        || ',"c_name":"' || c_name || '"}') AS surrogate_key FROM customer WHERE c_custkey <> 0
+        AND c_custkey < 20 * ((SELECT max(c_custkey) // 20 FROM customer) - 1)""",
     "run_extract_bare_array": """SELECT CAST(n_nationkey AS VARCHAR) AS key, sha256('{"n_name":"' || n_name
         || '","n_nationkey":' || CAST(n_nationkey AS VARCHAR) || '}') AS surrogate_key FROM nation WHERE n_nationkey <> 0""",
     "run_refresh": f"{OUTCOMES} {EMITTED} WHERE o_orderstatus IN ('O', 'F')",
@@ -305,5 +307,29 @@ ORACLE = {
         event_id % 3 = 0 AS emitted FROM u""",
     "stream_discover": PLAIN_CATALOG_ROWS,
 }
+EVENT_K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+COMBINED = {
+    "allOf": "value BETWEEN 10 AND 90",
+    "anyOf": "event_type = 'click' OR length(event_type) <= 4",
+    "oneOf": "(user_id % 2 = 0) <> (user_id % 3 = 0)",
+    "not": "user_id % 5 <> 0",
+    "nested": f"{EVENT_K} <= 10 OR {EVENT_K} >= 90",
+    "minProperties": "event_id % 4 + 1 >= 2",
+    "maxProperties": "event_id % 4 + 1 <= 2",
+    "uniqueItems": "event_id % 3 <> event_id % 5 AND event_id % 3 <> event_id % 7 AND event_id % 5 <> event_id % 7",
+    "items": "event_id % 5 <= 3 AND (event_id % 7 <= 3 OR event_id % 7 = 6)",
+}
+ORACLE["check_combinators"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) FILTER ({ok}) AS n_valid, count(*) FILTER (NOT ({ok})) AS n_invalid FROM events"
+    for name, ok in COMBINED.items()
+)
+ORACLE["discover_rejects"] = """WITH b AS (
+        SELECT CASE event_id % 100 WHEN 11 THEN 'not json' WHEN 12 THEN '[1]' ELSE '5' END AS raw FROM events
+        WHERE event_id % 100 IN (11, 12, 14))
+    SELECT raw, CASE raw WHEN 'not json' THEN 'is not JSON, or over the limits of a VARIANT' ELSE 'is not an object' END AS reason,
+           count(*) AS n, sum(count(*)) OVER ()::BIGINT AS n_all FROM b GROUP BY raw"""
+ORACLE["api_rejects"] = """SELECT CASE c_custkey % 10 WHEN 3 THEN CAST(c_custkey AS VARCHAR) ELSE '"' || c_name || '"' END AS raw,
+    'is not an object' AS errors FROM customer WHERE c_custkey % 10 IN (3, 4)"""
+ORACLE["csv_scan_split"] = ORACLE["csv_scan"]
 ORACLE["bookmark_lookup_filtered"] = ORACLE["bookmark_lookup"]
 ORACLE["run_metrics_observed"] = ORACLE["run_metrics"]

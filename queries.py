@@ -40,18 +40,37 @@ def rec():
 # --- sources ---------------------------------------------------------------------------------
 
 
-def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+def _customer_csv(spark: SparkSession, sf: str, one_file: bool = False) -> str:
     """Customers written as CSV, with blank names and fields that hold commas, quotes and newlines."""
     n = F.col("c_custkey")
     name = F.when(n % 10 == 0, F.lit("")).when(
         n % 10 == 1, F.concat(F.lit('a, "b"\n'), F.col("c_name"))
     ).otherwise(F.col("c_name"))
     uri = scratch_uri(spark, "csv")
-    X.table(spark, sf, "customer").select(
+    rows = X.table(spark, sf, "customer").select(
         n.cast("string").alias("c_custkey"), name.alias("c_name"),
         F.col("c_nationkey").cast("string").alias("c_nationkey"), "c_mktsegment",
-    ).write.option("header", True).option("escape", '"').option("emptyValue", "").csv(uri)
-    return files.read_csv(spark, uri).select("rec.*")
+    )
+    # One file on purpose, where reading a file by many tasks is what is asked.
+    rows = rows.coalesce(1) if one_file else rows
+    rows.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(uri)
+    return uri
+
+
+def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return files.read_csv(spark, _customer_csv(spark, sf)).select("rec.*")
+
+
+def csv_scan_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows from one file that many tasks read."""
+    uri, before = _customer_csv(spark, sf, one_file=True), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows, out = files.read_csv(spark, uri, split=True).select("rec.*"), scratch_uri(spark, "rows")
+        rows.write.parquet(out)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return spark.read.schema(rows.schema).parquet(out)
 
 
 def jsonl_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,26 +101,27 @@ def jsonl_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ragged_csv(spark: SparkSession, sf: str) -> str:
-    """Customers as CSV, where every tenth row has two fields of three."""
+    """Customers as CSV files, where every tenth row has two fields of three."""
     n = F.col("c_custkey")
     line = F.when(n % 10 == 0, F.concat(n, F.lit(",short"))).otherwise(F.concat_ws(",", n, F.col("c_nationkey"), F.lit('"a, b"')))
     uri = scratch_uri(spark, "csv")
-    header = spark.createDataFrame([("id,nation,note",)], "value string")
-    rows = X.table(spark, sf, "customer").select(line.alias("value"))
-    # One file: the header has to stand above its rows.
-    header.union(rows).coalesce(1).write.text(uri)
+    rows = X.table(spark, sf, "customer").repartition(8, "c_custkey").select(line.alias("value"))
+    # Each task writes a file, whose first row brings the header.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines = F.when(first, F.array(F.lit("id,nation,note"), F.col("value"))).otherwise(F.array("value"))
+    rows.select(F.explode(lines).alias("value")).write.text(uri)
     return uri
 
 
 def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    _, bad = files.read_csv(spark, _ragged_csv(spark, sf), on_bad="quarantine")
+    _, bad = files.read_csv(spark, _ragged_csv(spark, sf), on_bad="quarantine", multi_line=False)
     return bad
 
 
 def stream_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Records of a CSV stream, without the ragged rows."""
     uri, out = _ragged_csv(spark, sf), scratch_uri(spark, "rows")
-    arriving = files.stream_csv(spark, uri, files.csv_schema(spark, uri))
+    arriving = files.stream_csv(spark, uri, files.csv_schema(spark, uri), multi_line=False)
     keep = lambda batch, _: files.csv_rows(batch).select("rec.*").write.mode("append").parquet(out)
     stream = arriving.writeStream.foreachBatch(keep).option("checkpointLocation", f"{out}-checkpoint")
     stream.trigger(availableNow=True).start().awaitTermination()
@@ -127,10 +147,10 @@ def api_records_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 def api_records_path(spark: SparkSession, sf: str) -> DataFrame:
     """Records at a configured path of an object body."""
-    pages = X.orders_pages(spark, sf).filter("stream = 's1'")
+    pages = X.orders_pages(spark, sf)
     got = G.explode_records(G.normalise_responses(pages, records_path=["results"]), ["results"])
     return got.select(
-        "page_no", P.get_path(rec(), ["o_orderkey"]).cast("bigint").alias("o_orderkey")
+        "stream", "page_no", P.get_path(rec(), ["o_orderkey"]).cast("bigint").alias("o_orderkey")
     )
 
 
@@ -443,13 +463,33 @@ KEYWORDS = {
 def check_catalog_keywords(spark: SparkSession, sf: str) -> DataFrame:
     """Invalid events per keyword of a hand-written schema, all in one pass."""
     events = X.events_json(spark, sf).select("ord", "rec")
-    checks = {name: Y.compile_checks(events, schema) for name, schema in KEYWORDS.items()}
-    counts = None
-    for name, check in checks.items():
-        n = check.df.agg(F.count_if(~check.is_valid()).alias("n_invalid"))
-        row = n.select(F.lit(name).alias("keyword"), "n_invalid")
-        counts = row if counts is None else counts.unionByName(row)
-    return counts
+    return Y.count_invalid(events, KEYWORDS).select(F.col("name").alias("keyword"), "n_invalid")
+
+
+COMBINATORS = {
+    "allOf": {"properties": {"value": {"allOf": [{"minimum": 10}, {"maximum": 90}]}}},
+    "anyOf": {"properties": {"event_type": {"anyOf": [{"const": "click"}, {"maxLength": 4}]}}},
+    "oneOf": {"properties": {"user_id": {"oneOf": [{"multipleOf": 2}, {"multipleOf": 3}]}}},
+    "not": {"properties": {"user_id": {"not": {"multipleOf": 5}}}},
+    "nested": {"properties": {"props": {"anyOf": [
+        {"properties": {"k": {"maximum": 10}}}, {"properties": {"k": {"minimum": 90}}, "required": ["k"]},
+    ]}}},
+    "minProperties": {"properties": {"tags": {"minProperties": 2}}},
+    "maxProperties": {"properties": {"tags": {"maxProperties": 2}}},
+    "uniqueItems": {"properties": {"marks": {"uniqueItems": True}}},
+    "items": {"properties": {"marks": {"items": {"anyOf": [{"maximum": 3}, {"minimum": 6}]}}}},
+}
+
+
+def check_combinators(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid and invalid events per combining, counting or item keyword, all in one pass."""
+    n = F.col("event_id")
+    more = F.concat(
+        F.lit('"tags":{'), F.array_join(F.transform(F.sequence(F.lit(0), n % 4), lambda i: F.concat(F.lit('"t'), i, F.lit('":1'))), ","),
+        F.lit('},"marks":['), n % 3, F.lit(","), n % 5, F.lit(","), n % 7, F.lit("],"),
+    )
+    lines = X.events_lines(spark, sf).select("event_id", F.concat(F.lit("{"), more, F.substring("value", 2, 1 << 30)).alias("line"))
+    return Y.count_invalid(records_from_json(lines, "line", ord="event_id"), COMBINATORS)
 
 
 def check_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -644,6 +684,20 @@ def run_discover(spark: SparkSession, sf: str) -> DataFrame:
     return _catalog_columns(s.of("events").catalog.read())
 
 
+def discover_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that a discovery could not read: a bad one, an array and a number among every hundred."""
+    n = F.col("event_id") % 100
+    line = F.when(n == 11, "not json").when(n == 12, "[1]").when(n == 14, "5").otherwise(F.col("value"))
+    s, uri = store.Store(spark, scratch_uri(spark, "run")), scratch_uri(spark, "jsonl")
+    X.events_lines(spark, sf).select(line.alias("value")).write.text(uri)
+    cfg = StreamConfig("events", ("event_id",), "jsonl", uri)
+    R.run_discover(R.read_source(spark, cfg), cfg, s, X.RUN_TS)
+    facts = s.of("events").catalog.info()
+    bad = spark.read.parquet(facts["rejects"])
+    told = bad.groupBy("raw", F.array_join("errors", "; ").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return told.withColumn("n_all", F.lit(facts["rejected"]).cast("bigint"))
+
+
 def _prepared(spark: SparkSession, sf: str) -> store.Store:
     uri = scratch_uri(spark, "run")
     store.write_bookmark(spark, uri, X.orders_bookmark(spark, sf))
@@ -705,7 +759,7 @@ def run_extract_next_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_extract_query_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers behind a query parameter; the seventh page is empty and ends the stream."""
+    """Customers behind a query parameter; the last page but one is empty and ends the stream."""
     cfg = StreamConfig(
         "customers", ("c_custkey",), source_type="rest", url="http://h/c", records_path=("data",), pagination=True,
         pagination_strategy="query", query_parameter="p", query_value=5, query_increment=5,
@@ -715,10 +769,27 @@ def run_extract_query_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))).alias("data")
     )
     url = F.when(F.col("n") == 0, "http://h/c").otherwise(F.concat(F.lit("http://h/c?p="), (F.col("n") * 5).cast("string")))
-    body = F.when(F.col("n") == 6, '{"data":[]}').otherwise(F.to_json(F.struct("data")))
+    last = X.table(spark, sf, "customer").agg(F.floor(F.max("c_custkey") / 20)).first()[0]
+    body = F.when(F.col("n") == last - 1, '{"data":[]}').otherwise(F.to_json(F.struct("data")))
     return _run_pages(spark, cfg, pages.select(url.alias("url"), body.alias("body")))
 
 
+def api_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejects of a run over pages whose arrays hold numbers and texts among the customers."""
+    cfg = StreamConfig(
+        "customers", ("c_custkey",), source_type="rest", url="http://h/c?p=0", records_path=("data",), pagination=True,
+        pagination_strategy="query", query_parameter="p", query_value=1, query_increment=1,
+    )
+    n, name = F.col("c_custkey"), F.concat(F.lit('"'), F.col("c_name"), F.lit('"'))
+    item = F.when(n % 10 == 3, n.cast("string")).when(n % 10 == 4, name).otherwise(F.to_json(F.struct("c_custkey", "c_name")))
+    pages = X.table(spark, sf, "customer").select(F.floor(n / 50).cast("bigint").alias("n"), item.alias("item"))
+    pages = pages.groupBy("n").agg(F.concat(F.lit('{"data":['), F.array_join(F.collect_list("item"), ","), F.lit("]}")).alias("body"))
+    s = store.Store(spark, scratch_uri(spark, "run"))
+    source = R.read_source(spark, cfg, pages.select(F.concat(F.lit("http://h/c?p="), "n").alias("url"), "body"))
+    R.run_discover(source, cfg, s, X.RUN_TS)
+    run = R.run_extract(source, cfg, s, X.RUN_TS)
+    return spark.read.parquet(run.rejects).filter(F.col("outcome") == O.REJECTED).select("raw", F.array_join("errors", "; ").alias("errors"))
+
 def run_extract_bare_array(spark: SparkSession, sf: str) -> DataFrame:
     """Nations from one response that is an array."""
     cfg = StreamConfig("nations", ("n_nationkey",), source_type="rest", url="http://h/n")
@@ -788,18 +859,18 @@ def stream_discover(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        csv_scan, jsonl_scan, jsonl_rejects, csv_rejects, stream_csv, two_streams_one_store, check_multiple_of,
+        csv_scan, csv_scan_split, jsonl_scan, jsonl_rejects, csv_rejects, stream_csv, two_streams_one_store, check_multiple_of,
         discover_ns_ord, api_response_normalise, api_records_explode, api_records_path, page_urls,
         pages_until_empty, first_page_only, page_chain, read_bookmark, write_bookmark, read_catalog,
         write_catalog, catalog_document, get_path, set_path, drop_paths, hash_sensitive, key_string, canonical_text,
         number_text_small, number_text_large, hash_large_integers,
         natural_key, surrogate_key, run_timestamp, unique_key, transform_records,
         transform_json_records, require_key, changed_only, validate_records, check_type,
-        check_min_length, check_format, check_properties, check_catalog_keywords, check_items,
+        check_min_length, check_format, check_properties, check_catalog_keywords, check_combinators, check_items,
         objects_only, temporal_kind, bookmark_lookup, unseen_keys, infer_paths, merge_schemas,
         discover_catalog, run_metrics, fold_updates, advance_bookmark, route_outcomes,
         bookmark_updates, schema_messages, record_messages, rejects, run_discover, run_extract,
         run_extract_bookmark, run_refresh, run_extract_next_pages, run_extract_query_pages, run_extract_bare_array, stream_changes, stream_changes_deltas,
-        stream_discover, bookmark_lookup_filtered, run_metrics_observed,
+        stream_discover, bookmark_lookup_filtered, run_metrics_observed, discover_rejects, api_rejects,
     )
 }

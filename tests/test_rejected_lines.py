@@ -56,3 +56,45 @@ def test_stream(spark, ready, tmp_path, kind):
         bad = ["short"]
     stream_changes(arriving, StreamConfig("s", ("id",)), ready, str(tmp_path / "ck"), parse).awaitTermination()
     check(spark, ready, ready.of("s").bookmark.info()["outputs"][0] + "/rejects", bad)
+
+
+def test_discovery_keeps_rejects(spark, store, tmp_path):
+    (tmp_path / "a.jsonl").write_text(LINES)
+    cfg = StreamConfig("s", ("id",), "jsonl", str(tmp_path / "a.jsonl"))
+    R.run_discover(R.read_source(spark, cfg), cfg, store, "t1")
+    facts = store.of("s").catalog.info()
+    rows = spark.read.parquet(facts["rejects"]).collect()
+    assert facts["rejected"] == 3 == len(rows) and {r.outcome for r in rows} == {"rejected"}
+    assert sorted(r.raw for r in rows) == sorted(LINES.split("\n")[1:3] + LINES.split("\n")[4:5])
+    clean = tmp_path / "b.jsonl"
+    clean.write_text('{"id":2}\n')
+    other = StreamConfig("s", ("id",), "jsonl", str(clean))
+    R.run_discover(R.read_source(spark, other), other, store, "t2")
+    assert "rejects" not in store.of("s").catalog.info()
+
+
+def test_discovery_of_bad_lines_alone(spark, store, tmp_path):
+    """They are told of, whether a catalog is there or not; the catalog stays."""
+    (tmp_path / "a.jsonl").write_text("bad\n[1]\n")
+    cfg = StreamConfig("s", ("id",), "jsonl", str(tmp_path / "a.jsonl"), sensitive_field_paths=(("x",),))
+    with pytest.raises(ValueError, match="2 lines gave no record"):
+        R.run_discover(R.read_source(spark, cfg), cfg, store, "t1")
+    write_catalog(spark, store.uri, catalog_from_schema(spark, "s", {"properties": {"id": {"type": "number"}}}))
+    schema = R.run_discover(R.read_source(spark, cfg), cfg, store, "t2", needs_records=False)
+    facts = store.of("s").catalog.info()
+    assert facts["rejected"] == 2 and "id" in schema["properties"]
+    assert all(r.raw.startswith("sha256:") for r in spark.read.parquet(facts["rejects"]).collect())
+
+
+def test_items_that_are_no_objects(spark, store):
+    body = '{"results":[{"id":1},7,"x",null,[1],{"id":2}]}'
+    pages = spark.createDataFrame([("http://h", '{"results":[{"id":9}]}', 1), ("http://h", body, 2)], "url string, body string, landed_at long")
+    cfg = StreamConfig("s", ("id",), "rest", "http://h", records_path=("results",))
+    source = R.read_source(spark, cfg, pages)
+    R.run_discover(source, cfg, store, "t1")
+    assert store.of("s").catalog.info()["rejected"] == 4
+    run = R.run_extract(source, cfg, store)
+    assert (run.metrics["emitted"], run.metrics["rejected"], run.metrics["processed"]) == (2, 4, 6)
+    rows = spark.read.parquet(run.rejects).collect()
+    assert sorted(r.raw for r in rows) == ['"x"', "7", "[1]", "null"] and {tuple(r.errors) for r in rows} == {("is not an object",)}
+    assert sorted(r.key for r in store.of("s").bookmark.read().collect()) == ["1", "2"]

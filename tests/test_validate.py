@@ -116,3 +116,27 @@ def test_objects_used_as_maps_are_named(spark, monkeypatch):
     monkeypatch.setattr(catalog, "MOST_PROPERTIES", 4)
     with pytest.raises(ValueError, match="a of stream s has 5 properties"):
         catalog.load_schema(rows, "s")
+
+
+def test_many_schemas_in_one_pass(spark, records):
+    """Counts of each schema are those it has alone; the records are scanned and opened once for all."""
+    from tidemark.operators.validate import compile_many, count_invalid
+
+    texts = ['{"a":{"b":1,"c":"x"},"d":2}', '{"a":{"b":9},"d":"y"}', '{"a":5}', '{"d":[1,1],"a":{"c":null}}', "5", "null"]
+    schemas = {
+        "b": {"properties": {"a": {"properties": {"b": {"maximum": 5}}}}},
+        "c": {"properties": {"a": {"type": "object", "properties": {"c": {"type": "string"}}}}},
+        "d": {"required": ["d"], "properties": {"d": {"anyOf": [{"type": "number"}, {"uniqueItems": True, "type": "array"}]}}},
+        "closed": {"additionalProperties": False, "properties": {"a": {}}},
+        "any": {},
+    }
+    rows = records(*texts)
+    got = {r.name: (r.n_valid, r.n_invalid) for r in count_invalid(rows, schemas).collect()}
+    for name, schema in schemas.items():
+        good, bad = validate(rows, schema)
+        assert got[name] == (good.count(), bad.count())
+    assert got["any"] == (6, 0) and all(a and b for name, (a, b) in got.items() if name != "any")
+    one = compile_many(rows, schemas)
+    assert len({id(check.df) for check in one.values()}) == 1 and sum(c.startswith("_p") for c in one["b"].df.columns) == 2 + 2 + 2
+    plan = count_invalid(rows, schemas)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1

@@ -70,6 +70,15 @@ def route_outcomes(
     return routed.withColumn("text", text).select(*OUTCOME_COLUMNS, *told)
 
 
+def line_rejects(source: DataFrame, stream: str, hide: bool) -> DataFrame:
+    """Rows of the quarantine table for the lines of a source, with a ``reason``, that give no record."""
+    line = F.concat(F.lit("sha256:"), F.sha2("raw", 256)) if hide else F.col("raw")
+    return source.filter("reason IS NOT NULL").select(
+        F.lit(stream).alias("stream"), F.lit(REJECTED).alias("outcome"), F.lit(None).cast("string").alias("key"),
+        line.alias("raw"), F.array("reason").alias("errors"),
+    )
+
+
 def unreadable_rejects(outcomes: DataFrame) -> DataFrame:
     """Rows of the quarantine table for the lines that give no record."""
     bad = outcomes.filter(F.col("outcome") == REJECTED)

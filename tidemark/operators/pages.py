@@ -45,19 +45,25 @@ def count_records(df: DataFrame, records_path: Sequence[str] | None = None) -> D
     return df.withColumn("n_records", F.size(records_array(F.col("page"), records_path)))
 
 
-def explode_records(df: DataFrame, records_path: Sequence[str] | None = None) -> DataFrame:
+def explode_records(
+    df: DataFrame, records_path: Sequence[str] | None = None, keep_others: bool = False
+) -> DataFrame:
     """One row per object in each page's records array, with its ``pos``; other columns are kept.
 
-    A page without an array at the path fails the job. Items that are no objects are skipped."""
+    A page without an array at the path fails the job. Items that are no objects are skipped; with
+    ``keep_others`` they stay, with their text as ``raw`` and a ``reason``, which are NULL for objects."""
     shown = ".".join(DEFAULT_RECORDS_PATH if records_path is None else records_path)
     items = records_array(F.col("page"), records_path)
     checked = F.coalesce(
         items, F.raise_error(F.lit(f"response holds no records array at {shown}")).cast(ARRAY)
     )
     others = [c for c in df.columns if c != "page"]
-    return df.select(*others, F.posexplode(checked).alias("pos", "rec")).filter(
-        F.col("rec").try_cast(MAP).isNotNull()
-    )
+    rows = df.select(*others, F.posexplode(checked).alias("pos", "rec"))
+    is_object = F.col("rec").try_cast(MAP).isNotNull()
+    if not keep_others:
+        return rows.filter(is_object)
+    raw = F.when(~is_object, F.coalesce(F.to_json("rec"), F.lit("null")))
+    return rows.select("*", raw.alias("raw"), F.when(~is_object, "is not an object").alias("reason"))
 
 
 def _query_escape(text: Column) -> Column:

@@ -42,7 +42,7 @@ class Rule:
 
 @dataclass(frozen=True)
 class Value:
-    """A VARIANT with its kind (the text of schema_of_variant) and its text as a string.
+    """A VARIANT with its kind (as schema_of_variant begins) and its text as a string.
 
     The parts may be columns computed beforehand, so that many rules share them."""
 
@@ -52,7 +52,7 @@ class Value:
 
     @classmethod
     def of(cls, v: Column) -> Value:
-        return cls(v, F.schema_of_variant(v), v.cast("string"))
+        return cls(v, _kind(v), v.cast("string"))
 
     @classmethod
     def typed(cls, col: Column, dtype: T.DataType | None) -> Value:
@@ -64,6 +64,11 @@ class Value:
         return cls(to_variant(col, dtype), kind, scalar_text(col, dtype))
 
 
+def _kind(v: Column) -> Column:
+    """Kind of a VARIANT. Of an object its own members are looked at, not spelled out as schema_of_variant does."""
+    return F.when(v.try_cast(MAP).isNotNull(), "OBJECT<").otherwise(F.schema_of_variant(v))
+
+
 def _kind_of(dtype: T.DataType) -> str:
     if isinstance(dtype, (T.StructType, T.MapType)):
         return "OBJECT<"
@@ -329,11 +334,18 @@ class Checks:
 
 
 def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
-    """Compile a schema over ``rec`` and, where the DataFrame has them, its metadata columns.
+    """Compile a schema over ``rec`` and, where the DataFrame has them, its metadata columns."""
+    return compile_many(df, {"": schema})[""]
+
 
-    In a VARIANT each object is opened once into a struct of its properties and each property's kind
-    is computed once, level by level, in columns the rules then share. Typed records need neither."""
-    checks = Checks(df, list(df.columns))
+def compile_many(df: DataFrame, schemas: Mapping[str, Mapping]) -> dict[str, Checks]:
+    """Compile schemas over the same records. All share one DataFrame of helper columns, and each has its own rules.
+
+    The properties of all schemas form one tree. In a VARIANT each of its objects is opened once into a struct of
+    the properties that any schema reads, and each property's kind is computed once, level by level, in columns
+    that the rules of all share. Typed records need neither."""
+    columns, shared = list(df.columns), df
+    rules: dict[str, list[Rule]] = {name: [] for name in schemas}
     meta: dict[str, Value] = {}
     for name in META_FIELDS:
         if name not in df.columns:
@@ -341,9 +353,9 @@ def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
         dtype = df.schema[name].dataType
         if is_variant(dtype):
             # A null natural key is present in the record, as JSON null.
-            checks.df = checks.df.withColumn(
+            shared = shared.withColumn(
                 "_nk", F.coalesce(F.col(name), F.parse_json(F.lit("null")))
-            ).withColumn("_nk_kind", F.schema_of_variant("_nk"))
+            ).withColumn("_nk_kind", _kind(F.col("_nk")))
             v = F.col("_nk")
             meta[name] = Value(v, F.col("_nk_kind"), v.cast("string"))
         else:
@@ -351,18 +363,20 @@ def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
 
     dtype = df.schema["rec"].dataType
     if is_variant(dtype):
-        level = [_Node(schema, "(root)", Value.of(F.col("rec")), "_p", None)]
+        level = [_Node(dict(schemas), "(root)", Value.of(F.col("rec")), "_p", None)]
     else:
-        level = [_Node(schema, "(root)", Value.typed(F.col("rec"), dtype), "_p", F.col("rec"), dtype)]
+        level = [_Node(dict(schemas), "(root)", Value.typed(F.col("rec"), dtype), "_p", F.col("rec"), dtype)]
     while level:
         opened, below, kinds = {}, [], {}
         for node in level:
             root = node.label == "(root)"
-            properties = dict(node.schema.get("properties", {}))
-            required = node.schema.get("required", ())
+            properties: dict[str, dict[str, Mapping]] = {}
+            for name, schema in node.schemas.items():
+                for n, sub in schema.get("properties", {}).items():
+                    properties.setdefault(n, {})[name] = sub
             # A required name is read as well, even if it is no property.
-            names = [*properties, *[n for n in required if n not in properties]]
-            read = [n for n in names if not (root and n in meta)]
+            required = dict.fromkeys(n for s in node.schemas.values() for n in s.get("required", ()))
+            read = [n for n in {**properties, **required} if not (root and n in meta)]
             values: dict[str, Value] = {}
             types: dict[str, T.DataType | None] = {}
             if isinstance(node.dtype, T.StructType):
@@ -388,7 +402,7 @@ def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
                 for i, n in enumerate(read):
                     v = F.col(node.prefix).getField(n) if apart else get_raw(node.value.v, [n])
                     kind = f"{node.prefix}_{i}_kind"
-                    kinds[kind] = F.schema_of_variant(v)
+                    kinds[kind] = _kind(v)
                     values[n] = Value(v, F.col(kind), v.cast("string"))
                 keys = F.map_keys(node.value.v.try_cast(MAP))
             if root:
@@ -396,28 +410,29 @@ def compile_checks(df: DataFrame, schema: Mapping) -> Checks:
                 if meta:
                     keys = F.array_union(keys, F.array(*[F.lit(m) for m in meta]))
             present = lambda n, vs=values: vs[n].kind
-            checks.rules += _own_rules(node.value, node.schema, node.label, present, keys)
-            for n, sub in properties.items():
+            for name, schema in node.schemas.items():
+                rules[name] += _own_rules(node.value, schema, node.label, present, keys)
+            for n, subs in properties.items():
                 at = n if root else f"{node.label}.{n}"
                 prefix = f"{node.prefix}_{len(below)}"
                 if isinstance(types.get(n), T.StructType):
-                    below.append(_Node(sub, at, values[n], prefix, node.col.getField(n), types[n]))
+                    below.append(_Node(subs, at, values[n], prefix, node.col.getField(n), types[n]))
                 else:
-                    below.append(_Node(sub, at, values[n], prefix))
+                    below.append(_Node(subs, at, values[n], prefix))
         if opened:
-            checks.df = checks.df.withColumns(opened)
+            shared = shared.withColumns(opened)
         if kinds:
-            checks.df = checks.df.withColumns(kinds)
+            shared = shared.withColumns(kinds)
         level = below
-    return checks
+    return {name: Checks(shared, columns, own) for name, own in rules.items()}
 
 
 @dataclass(frozen=True)
 class _Node:
-    """A schema node with the value it is about, the prefix of its helper columns, and the column and
-    type of the value where it is a struct."""
+    """A place in records, the schemas that have a node there, the value, the prefix of its helper columns, and the
+    column and type of the value where it is a struct."""
 
-    schema: Mapping
+    schemas: dict[str, Mapping]
     label: str
     value: Value
     prefix: str
@@ -430,6 +445,19 @@ def _absent() -> Value:
     return Value(none.cast("variant"), none, none)
 
 
+def count_invalid(df: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
+    """(name, n_valid, n_invalid) of every schema, from one pass over the records."""
+    checks = compile_many(df, schemas)
+    shared = next(iter(checks.values())).df
+    ok = [check.is_valid() for check in checks.values()]
+    counts = [F.struct(F.count_if(v).alias("n_valid"), F.count_if(~v).alias("n_invalid")).alias(f"c{i}") for i, v in enumerate(ok)]
+    rows = [
+        F.struct(F.lit(name).alias("name"), F.col(f"c{i}.n_valid").alias("n_valid"), F.col(f"c{i}.n_invalid").alias("n_invalid"))
+        for i, name in enumerate(checks)
+    ]
+    return shared.agg(*counts).select(F.inline(F.array(*rows)))
+
+
 def validate(df: DataFrame, schema: Mapping) -> tuple[DataFrame, DataFrame]:
     """Valid records, and invalid ones with an ``errors`` array."""
     checks = compile_checks(df, schema)

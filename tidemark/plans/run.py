@@ -11,7 +11,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import StreamConfig
@@ -55,9 +55,11 @@ def read_pages(cfg: StreamConfig, pages: DataFrame) -> DataFrame:
 
     Pages count as far as the stream's paging reaches them: the configured URL alone, what its next
     links lead to, or the URLs of its query parameter up to the first page without records or that
-    was not landed. A URL that was landed twice counts once."""
+    was not landed. A URL that was landed twice counts once, as it was landed last if the table has a column
+    ``landed_at``. Items that are no objects stay, with a ``reason``, for the rejects of a run."""
     spark, name = pages.sparkSession, F.lit(cfg.stream_name)
-    landed = pages.groupBy("url").agg(F.min("body").alias("body")).withColumn("stream", name)
+    body = F.max_by("body", "landed_at") if "landed_at" in pages.columns else F.min("body")
+    landed = pages.groupBy("url").agg(body.alias("body")).withColumn("stream", name)
     if landed.filter(F.col("url") == cfg.url).isEmpty():
         raise ValueError(f"no response of {cfg.url} was landed")
     root = spark.createDataFrame(
@@ -79,8 +81,8 @@ def read_pages(cfg: StreamConfig, pages: DataFrame) -> DataFrame:
         opened = G.cut_pages(G.count_records(opened, cfg.records_path)).drop("n_records")
         if missing is not None:
             opened = opened.filter(F.col("page_no") < missing)
-    return G.explode_records(opened, cfg.records_path).select(
-        (F.shiftleft("page_no", 32) + F.col("pos")).alias("ord"), "rec"
+    return G.explode_records(opened, cfg.records_path, keep_others=True).select(
+        (F.shiftleft("page_no", 32) + F.col("pos")).alias("ord"), "rec", "raw", "reason"
     )
 
 
@@ -102,7 +104,8 @@ def run_discover(
     nothing on the stream either, unless ``needs_records`` is false, as for a micro-batch.
 
     Records nested deeper than the first look reads are read again with more levels. The bookmark is
-    left as it is."""
+    left as it is. Lines that give no record are written as rejects, and the version's facts name the table
+    (``rejects``) and their number (``rejected``); lines are looked at again only where there are any."""
     spark = source.sparkSession
     discovered_at = discovered_at or now_text()
     store = store.of(cfg.stream_name)
@@ -110,7 +113,8 @@ def run_discover(
     version = table.version() + 1
     existing = table.read(version - 1)
     output = store.output(version)
-    depth, records = D.DEPTH, transform(_readable(source, cfg), cfg, discovered_at)
+    readable, unread = _watched(source, cfg)
+    depth, records = D.DEPTH, transform(readable, cfg, discovered_at)
     while True:
         found = D.found_types(records, cfg.unique_key_path, depth)
         uri = f"{output}/found-{depth}"
@@ -119,17 +123,28 @@ def run_discover(
         if found.filter("deeper").isEmpty():
             break
         depth *= 2
-    if found.isEmpty():
+    facts, nothing = {}, found.isEmpty()
+    # A plan that gave no row may have been cut short, and then has no counts.
+    if unread is not None and (nothing or unread.get["n"]):
+        uri = f"{output}/rejects"
+        O.line_rejects(source, cfg.stream_name, _hides(cfg)).write.parquet(uri)
+        if n := spark.read.parquet(uri).count():
+            facts = {"rejects": uri, "rejected": n}
+    if nothing:
         known = load_schema(existing, cfg.stream_name)
         if known is None and needs_records:
-            raise ValueError(f"discovery of stream {cfg.stream_name} found no properties")
-        return known
-    path = table.write(D.merge_found(found, existing, discovered_at), version)
+            said = f"; {facts['rejected']} lines gave no record, see {facts['rejects']}" if facts else ""
+            raise ValueError(f"discovery of stream {cfg.stream_name} found no properties{said}")
+        if not facts:
+            return known
+        path = table.write(existing, version)
+    else:
+        path = table.write(D.merge_found(found, existing, discovered_at), version)
     schema = load_schema(spark.read.schema(table.schema).parquet(path), cfg.stream_name)
-    message = json.dumps(_schema_message(cfg.stream_name, schema))
-    message_uri = f"{output}/schema"
-    spark.createDataFrame([(message,)], "value string").coalesce(1).write.text(message_uri)
-    table.commit(version, path, schema_discovered_at=discovered_at, schema_message=message_uri, outputs=[output])
+    if schema is not None:
+        message, facts["schema_message"] = json.dumps(_schema_message(cfg.stream_name, schema)), f"{output}/schema"
+        spark.createDataFrame([(message,)], "value string").coalesce(1).write.text(facts["schema_message"])
+    table.commit(version, path, schema_discovered_at=discovered_at, outputs=[output], **facts)
     return schema
 
 
@@ -139,11 +154,15 @@ def _schema_message(stream: str, schema: dict) -> dict:
     }
 
 
-def _readable(source: DataFrame, cfg: StreamConfig) -> DataFrame:
-    """The rows of a source that give a record; the others fail the job if the stream is set to."""
+def _watched(source: DataFrame, cfg: StreamConfig) -> tuple[DataFrame, Observation | None]:
+    """The rows of a source that give a record, and whether a pass over them has met others (``n`` above 0).
+
+    The others fail the job if the stream is set to."""
     if "reason" not in source.columns:
-        return source
-    return _checked(source, cfg).filter("reason IS NULL").drop("raw", "reason")
+        return source, None
+    unread = Observation("lines without a record")
+    counted = _checked(source, cfg).observe(unread, F.count_if(F.col("reason").isNotNull()).alias("n"))
+    return counted.filter("reason IS NULL").drop("raw", "reason"), unread
 
 
 def _checked(source: DataFrame, cfg: StreamConfig) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.values import is_object
 from tidemark.session import check_settings
+from tidemark.sources.csv_split import csv_fields, csv_records
+from tidemark.sources.versions import Files
 
 CORRUPT = "_corrupt_record"
 
@@ -30,6 +32,13 @@ def _csv_options(multi_line: bool) -> dict:
     }
 
 
+def _has_large_files(spark: SparkSession, uri: str) -> bool:
+    share = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    return Files(spark).largest(uri) > share
+
+
 def csv_schema(spark: SparkSession, uri: str) -> T.StructType:
     """String columns named by the header row, and one for rows that do not fit it."""
     names = spark.read.options(**_csv_options(True)).csv(uri).columns
@@ -50,23 +59,30 @@ def _csv_rows(df: DataFrame) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, uri: str, on_bad: str = "fail", multi_line: bool = True
+    spark: SparkSession, uri: str, on_bad: str = "fail", multi_line: bool = True, split: bool | None = None
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Records of CSV files, all values strings.
 
     A row with too few or too many fields fails the job; ``on_bad="quarantine"`` returns
-    (records, bad rows) instead, ``on_bad="keep"`` all rows as csv_parsed does. ``multi_line=False`` lets Spark split large files, for data whose
-    quoted fields hold no newlines."""
+    (records, bad rows) instead, ``on_bad="keep"`` all rows as csv_parsed does. A file is read by one task,
+    or with ``split`` by many, for which quotes are counted first; by default that is done where a file is larger
+    than a task's share (``spark.sql.files.maxPartitionBytes``). ``multi_line=False`` lets Spark split files
+    without that, for data whose quoted fields hold no newlines."""
     if on_bad not in ("fail", "quarantine", "keep"):
         raise ValueError(f"on_bad must be fail, quarantine or keep, got {on_bad!r}")
     schema = csv_schema(spark, uri)
-    rows = _csv_rows(spark.read.options(**_csv_options(multi_line)).schema(schema).csv(uri))
+    split = multi_line and (_has_large_files(spark, uri) if split is None else split)
+    if split:
+        rows = _csv_rows(csv_fields(csv_records(spark, uri), schema, _csv_options(False)))
+    else:
+        rows = _csv_rows(spark.read.options(**_csv_options(multi_line)).schema(schema).csv(uri))
     if on_bad == "keep":
         return _with_reason(rows)
     if on_bad == "quarantine":
         return rows.filter("raw IS NULL").drop("raw"), rows.filter("raw IS NOT NULL").select("raw")
     # The row itself may hold sensitive fields, so only its place is told.
-    place = F.concat(F.input_file_name(), F.lit(", row "), F.col("ord").cast("string"), F.lit(" of the scan"))
+    file = F.lit("a large file") if split else F.input_file_name()
+    place = F.concat(file, F.lit(", row "), F.col("ord").cast("string"), F.lit(" of the scan"))
     message = F.concat(F.lit("a CSV row does not fit the header: "), place)
     ok = F.when(F.col("raw").isNull(), True).otherwise(F.raise_error(message).cast("boolean"))
     return rows.filter(ok).drop("raw")
@@ -124,10 +140,10 @@ def stream_jsonl(spark: SparkSession, uri: str, max_files: int | None = None) ->
 
 
 def stream_csv(
-    spark: SparkSession, uri: str, schema: T.StructType, max_files: int | None = None
+    spark: SparkSession, uri: str, schema: T.StructType, max_files: int | None = None, multi_line: bool = True
 ) -> DataFrame:
     """CSV rows of files as they arrive, with a schema from csv_schema."""
-    reader = spark.readStream.options(**_csv_options(True)).schema(schema)
+    reader = spark.readStream.options(**_csv_options(multi_line)).schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(uri)

@@ -40,6 +40,14 @@ class Files:
         fs, path = self._fs(uri), self._path(uri)
         return [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
 
+    def largest(self, uri: str) -> int:
+        """Bytes of the largest file at a path, in a folder or of a pattern."""
+        fs, most = self._fs(uri), 0
+        for found in fs.globStatus(self._path(uri)) or ():
+            under = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
+            most = max([most, *(f.getLen() for f in under)])
+        return most
+
     def delete(self, uri: str) -> None:
         self._fs(uri).delete(self._path(uri), True)
 
