@@ -331,5 +331,10 @@ ORACLE["discover_rejects"] = """WITH b AS (
 ORACLE["api_rejects"] = """SELECT CASE c_custkey % 10 WHEN 3 THEN CAST(c_custkey AS VARCHAR) ELSE '"' || c_name || '"' END AS raw,
     'is not an object' AS errors FROM customer WHERE c_custkey % 10 IN (3, 4)"""
 ORACLE["csv_scan_split"] = ORACLE["csv_scan"]
+CUSTOMER_TEXT = """'{"c_custkey":"' || c_custkey || '","c_mktsegment":"' || c_mktsegment || '","c_name":"' || CASE c_custkey % 10
+    WHEN 0 THEN '' WHEN 1 THEN 'a, \\"b\\"\\n' || c_name ELSE c_name END || '","c_nationkey":"' || c_nationkey || '"}'"""
+ORACLE["run_extract_many"] = f"""SELECT * FROM ({OUTCOMES} {ADVANCED})
+    UNION ALL SELECT 'events', nk, sk, '{RUN_TS}', '{RUN_TS}' FROM ({EVENTS} SELECT * FROM u)
+    UNION ALL SELECT 'customers', CAST(c_custkey AS VARCHAR), sha256({CUSTOMER_TEXT}), '{RUN_TS}', '{RUN_TS}' FROM customer"""
 ORACLE["bookmark_lookup_filtered"] = ORACLE["bookmark_lookup"]
 ORACLE["run_metrics_observed"] = ORACLE["run_metrics"]

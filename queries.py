@@ -740,6 +740,18 @@ def two_streams_one_store(spark: SparkSession, sf: str) -> DataFrame:
     return store.read_bookmark(spark, s.uri).select("stream", "key", "surrogate_key")
 
 
+def run_extract_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Bookmarks of three streams, typed, JSON and CSV, one of them known before, whose outcomes one job wrote."""
+    s = _prepared(spark, sf)
+    customers = StreamConfig("customers", ("c_custkey",), "csv", _customer_csv(spark, sf))
+    sources = [(X.orders_stream(spark, sf), X.ORDERS), (X.events_json(spark, sf), X.EVENTS), (R.read_source(spark, customers), customers)]
+    for records, cfg in sources[1:]:
+        R.run_discover(records, cfg, s, X.RUN_TS)
+    R.run_extract_many(sources, s, X.RUN_TS)
+    got = store.read_bookmark(spark, s.uri)
+    return got.select("stream", "key", "surrogate_key", "last_seen", "last_emitted")
+
+
 def _run_pages(spark: SparkSession, cfg: StreamConfig, pages: DataFrame) -> DataFrame:
     """Discover and extract a REST stream; the keys and contents that its run knows afterwards."""
     s = store.Store(spark, scratch_uri(spark, "run"))
@@ -871,6 +883,6 @@ QUERIES = {
         discover_catalog, run_metrics, fold_updates, advance_bookmark, route_outcomes,
         bookmark_updates, schema_messages, record_messages, rejects, run_discover, run_extract,
         run_extract_bookmark, run_refresh, run_extract_next_pages, run_extract_query_pages, run_extract_bare_array, stream_changes, stream_changes_deltas,
-        stream_discover, bookmark_lookup_filtered, run_metrics_observed, discover_rejects, api_rejects,
+        stream_discover, bookmark_lookup_filtered, run_metrics_observed, discover_rejects, api_rejects, run_extract_many,
     )
 }

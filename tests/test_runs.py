@@ -270,3 +270,42 @@ def test_keys_that_differ_by_case(spark, store, records):
     R.run_discover(rows, CFG, store)
     result = R.run_extract(rows, CFG, store)
     assert (result.metrics["emitted"], result.metrics["schema_validation_failed"]) == (1, 1)
+
+
+def test_many_streams_equal_runs_of_each(spark, ready, records, tmp_path):
+    """First runs, later ones and refreshes of streams of unlike records, also where one has nothing new."""
+    from tidemark.session import scratch_uri
+    from tidemark.sources.store import Store
+
+    (tmp_path / "a.jsonl").write_text('{"id":1}\nbad\n{"id":2}\n')
+    odd = StreamConfig("a b/=\u00e9", ("id",), "jsonl", str(tmp_path / "a.jsonl"))
+    typed = X.orders_stream(spark, SF)
+    rounds = [
+        [(records('{"id":1,"v":1}', '{"id":2,"v":"no"}'), CFG), (R.read_source(spark, odd), odd), (typed, X.ORDERS)],
+        [(records('{"id":1,"v":2}', '{"id":0}'), CFG), (R.read_source(spark, odd), odd), (typed.filter("ord < 50"), X.ORDERS)],
+        [(records('{"id":5}').filter("false"), CFG), (R.read_source(spark, odd), odd)],
+    ]
+    each, many = Store(spark, scratch_uri(spark, "each")), Store(spark, scratch_uri(spark, "many"))
+    for s in (each, many):
+        write_catalog(spark, s.uri, catalog_from_schema(spark, "s", SCHEMA))
+        for source, cfg in rounds[0][1:]:
+            R.run_discover(source, cfg, s, "t0")
+    for i, sources in enumerate(rounds):
+        ts, refresh = f"2024-01-0{i + 1}T00:00:00Z", i == 2
+        together = R.run_extract_many(sources, many, ts, refresh)
+        for source, cfg in sources:
+            alone = R.run_extract(source, cfg, each, ts, refresh)
+            got = together[cfg.stream_name]
+            counted = lambda m: {k: v for k, v in m.items() if "_s" not in k or k.startswith("schema")} | {"processed_per_second": 0}
+            assert counted(got.metrics) == counted(alone.metrics) and got.version == alone.version == i + 1
+            for part in ("records", "schema"):
+                lines = lambda run, p=part: sorted(r.value for r in spark.read.text(f"{run.messages}/{p}").collect())
+                assert lines(got) == lines(alone)
+            rows = lambda run: sorted(map(str, spark.read.parquet(run.rejects).collect()))
+            assert rows(got) == rows(alone)
+        state_of = lambda s: sorted(map(tuple, read_bookmark(spark, s.uri).collect()), key=str)
+        assert state_of(many) == state_of(each)
+    assert together["s"].metrics["processed"] == 0 and together[odd.stream_name].metrics["rejected"] == 1
+    with pytest.raises(ValueError, match="named twice"):
+        R.run_extract_many([rounds[0][0], rounds[0][0]], many)
+    assert R.run_extract_many([], many) == {}

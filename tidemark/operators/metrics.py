@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -13,19 +15,27 @@ def _counts() -> list[Column]:
     return [F.count("*").alias("processed"), n(EMITTED), n(FILTERED), n(INVALID), n(TRANSFORM_FAILED)]
 
 
-def observed(outcomes: DataFrame) -> tuple[DataFrame, Observation]:
-    """The outcomes, and their counts once an action has run over them: no pass of their own.
+_OUTCOMES = (EMITTED, FILTERED, INVALID, TRANSFORM_FAILED, REJECTED)
 
-    Counts are those of tasks that succeeded, each partition once, as long as nothing is shuffled
-    behind the outcomes."""
-    counts = Observation("run metrics")
-    rejected = F.count_if(F.col("outcome") == REJECTED).alias(REJECTED)
-    return outcomes.observe(counts, *_counts(), rejected), counts
 
+def observed(outcomes: DataFrame, streams: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    """The outcomes, and their counts once an action has run over them: no pass of their own.
 
-def metrics_of(counts: Observation) -> dict:
-    """Counts as run_metrics gives them, with those of lines that give no record."""
-    got = dict(counts.get)
+    Counts are those of tasks that succeeded, each partition once, as long as nothing is shuffled
+    behind the outcomes. With ``streams`` there are counts of each."""
+    counts, columns = Observation("run metrics"), []
+    for i, stream in enumerate(streams or ("",)):
+        own = F.col("stream") == stream if streams else F.lit(True)
+        columns.append(F.count_if(own).alias(f"{i}_processed"))
+        columns += [F.count_if(own & (F.col("outcome") == o)).alias(f"{i}_{o}") for o in _OUTCOMES]
+    counts.streams = tuple(streams)
+    return outcomes.observe(counts, *columns), counts
+
+
+def metrics_of(counts: Observation, stream: str | None = None) -> dict:
+    """Counts, of a stream if it is named, as run_metrics gives them, with those of lines that give no record."""
+    i = counts.streams.index(stream) if stream is not None else 0
+    got = {o: counts.get[f"{i}_{o}"] for o in ("processed", *_OUTCOMES)}
     return got | {"not_emitted_total": got["processed"] - got[EMITTED]}
 
 

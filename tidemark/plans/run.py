@@ -6,8 +6,9 @@ agree with each other although they are separate jobs, and a lost executor repea
 
 from __future__ import annotations
 
-import json
 import time
+import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -28,7 +29,7 @@ from tidemark.operators.transform import now_text, transform, transform_all
 from tidemark.session import check_settings
 from tidemark.sources import files
 from tidemark.sources.bookmark_log import BookmarkLog
-from tidemark.sources.store import Store
+from tidemark.sources.store import Store, StreamStore
 
 OUTCOMES_SCHEMA = (
     "stream string, ord bigint, key string, nk_json string, _sdc_surrogate_key string, "
@@ -142,18 +143,13 @@ def run_discover(
         path = table.write(D.merge_found(found, existing, discovered_at), version)
     schema = load_schema(spark.read.schema(table.schema).parquet(path), cfg.stream_name)
     if schema is not None:
-        message, facts["schema_message"] = json.dumps(_schema_message(cfg.stream_name, schema)), f"{output}/schema"
-        spark.createDataFrame([(message,)], "value string").coalesce(1).write.text(facts["schema_message"])
+        facts["schema_message"] = f"{output}/schema"
+        found = M.schema_messages(spark.read.schema(table.schema).parquet(path))
+        found.select("message").write.text(facts["schema_message"])
     table.commit(version, path, schema_discovered_at=discovered_at, outputs=[output], **facts)
     return schema
 
 
-def _schema_message(stream: str, schema: dict) -> dict:
-    return {
-        "type": "SCHEMA", "stream": stream, "schema": schema, "key_properties": list(K.KEY_PROPERTIES),
-    }
-
-
 def _watched(source: DataFrame, cfg: StreamConfig) -> tuple[DataFrame, Observation | None]:
     """The rows of a source that give a record, and whether a pass over them has met others (``n`` above 0).
 
@@ -213,37 +209,36 @@ def _against_bookmark(
     return O.route_outcomes(records, known, schema, hide=_hides(cfg))
 
 
-def run_extract(
-    source: DataFrame,
-    cfg: StreamConfig,
-    store: Store,
-    run_ts: str | None = None,
-    refresh: bool = False,
-    disambiguate: bool = False,
-    version: int | None = None,
-    previous: int | None = None,
-    replay: bool = False,
-    keep_versions: int | None = None,
-    **facts,
-) -> RunResult:
-    """Emit new and changed records, and advance the bookmark.
+@dataclass
+class _Run:
+    """An extraction that has begun: what is written, and what it compares with."""
 
-    The bookmark becomes current after all output is written: a run that fails midway can be repeated
-    and gives the same records again. ``version`` and ``previous`` name the bookmark versions to
-    write and to compare with, and ``replay`` says that an earlier try of this run may have committed;
-    ``facts`` are stored with the version. Of two runs that began from one version the second raises
-    StaleRun. ``keep_versions`` deletes older versions with their output afterwards."""
+    cfg: StreamConfig
+    store: StreamStore
+    table: BookmarkLog
+    schema: dict
+    run_ts: str
+    version: int
+    previous: int
+    last_update: str | None
+    output: str
+    routed: DataFrame
+    started: float
+
+
+def _begin(
+    source: DataFrame, cfg: StreamConfig, store: Store, run_ts: str | None = None, refresh: bool = False,
+    disambiguate: bool = False, version: int | None = None, previous: int | None = None,
+) -> _Run:
     started = time.monotonic()
-    spark, run_ts = source.sparkSession, run_ts or now_text()
-    store = store.of(cfg.stream_name)
+    run_ts, store = run_ts or now_text(), store.of(cfg.stream_name)
     schema = load_schema(store.catalog.read(), cfg.stream_name)
     if schema is None:
         raise ValueError(f"stream {cfg.stream_name} has no catalog; run discovery first")
     table = store.bookmark
-    check_settings(spark)
+    check_settings(source.sparkSession)
     info = table.info() or {}
     previous = info.get("version", 0) if previous is None else previous
-    last_update = info.get("updated_at")
     version = previous + 1 if version is None else version
     output = store.output(version)
     if previous and not refresh:
@@ -251,48 +246,111 @@ def run_extract(
         routed = _against_bookmark(source, cfg, table, previous, schema, run_ts, disambiguate, staged)
     else:
         routed = outcomes_of(source, cfg, None, schema, run_ts, refresh, disambiguate)
-    routed, counts = X.observed(routed)
-    uri = f"{output}/outcomes"
-    # The outcome is a folder, so emitted, rejected and unchanged records are read apart.
-    routed.write.partitionBy("outcome").parquet(uri)
-    outcomes = spark.read.schema(OUTCOMES_SCHEMA).parquet(uri)
+    return _Run(cfg, store, table, schema, run_ts, version, previous, info.get("updated_at"), output, routed, started)
 
-    messages, quarantine = f"{output}/messages", f"{output}/rejects"
+
+def _finish(
+    run: _Run, outcomes: DataFrame, metrics: dict, replay: bool = False, keep_versions: int | None = None,
+    outputs: tuple[str, ...] = (), **facts,
+) -> RunResult:
+    """Write what follows from a run's written outcomes, and commit."""
+    messages, quarantine = f"{run.output}/messages", f"{run.output}/rejects"
 
     def write_messages() -> None:
-        first = json.dumps(_schema_message(cfg.stream_name, schema), separators=(",", ":"))
-        spark.createDataFrame([(first,)], "value string").coalesce(1).write.text(f"{messages}/schema")
+        M.schema_messages(run.store.catalog.read()).select("message").write.text(f"{messages}/schema")
         emitted = outcomes.filter(F.col("outcome") == O.EMITTED)
         M.record_messages(emitted).select("message").write.text(f"{messages}/records")
 
     def write_rejects() -> None:
-        O.rejects(outcomes, schema).unionByName(O.unreadable_rejects(outcomes)).write.parquet(quarantine)
+        O.rejects(outcomes, run.schema).unionByName(O.unreadable_rejects(outcomes)).write.parquet(quarantine)
 
     def write_bookmark() -> str:
-        return table.advance(B.fold_updates(B.bookmark_updates(outcomes)), version, previous)
+        return run.table.advance(B.fold_updates(B.bookmark_updates(outcomes)), run.version, run.previous)
 
     # Three independent jobs over the written outcomes; the first error of any ends the run.
     with ThreadPoolExecutor(max_workers=3) as pool:
         jobs = [pool.submit(f) for f in (write_bookmark, write_rejects, write_messages)]
     path, *_ = [job.result() for job in jobs]
-    metrics = X.metrics_of(counts)
-    duration = time.monotonic() - started
-    metrics |= {"duration_s": duration, "processed_per_second": metrics["processed"] / duration}
-    table.commit(
-        version,
+    duration = time.monotonic() - run.started
+    metrics = metrics | {"duration_s": duration, "processed_per_second": metrics["processed"] / duration}
+    run.table.commit(
+        run.version,
         path,
         replay=replay,
-        previous=previous,
-        last_extraction_started_at=run_ts,
+        previous=run.previous,
+        last_extraction_started_at=run.run_ts,
         last_extraction_ended_at=now_text(),
-        updated_at=run_ts if metrics["emitted"] + metrics["filtered_bookmark"] else last_update,
+        updated_at=run.run_ts if metrics["emitted"] + metrics["filtered_bookmark"] else run.last_update,
         metrics=metrics,
-        outputs=[output],
+        outputs=[run.output, *outputs],
         **facts,
     )
     if keep_versions is not None:
-        table.retain(keep_versions)
-    return RunResult(version, messages, quarantine, metrics)
+        run.table.retain(keep_versions)
+    return RunResult(run.version, messages, quarantine, metrics)
+
+
+def run_extract(
+    source: DataFrame,
+    cfg: StreamConfig,
+    store: Store,
+    run_ts: str | None = None,
+    refresh: bool = False,
+    disambiguate: bool = False,
+    version: int | None = None,
+    previous: int | None = None,
+    replay: bool = False,
+    keep_versions: int | None = None,
+    **facts,
+) -> RunResult:
+    """Emit new and changed records, and advance the bookmark.
+
+    The bookmark becomes current after all output is written: a run that fails midway can be repeated
+    and gives the same records again. ``version`` and ``previous`` name the bookmark versions to
+    write and to compare with, and ``replay`` says that an earlier try of this run may have committed;
+    ``facts`` are stored with the version. Of two runs that began from one version the second raises
+    StaleRun. ``keep_versions`` deletes older versions with their output afterwards."""
+    run = _begin(source, cfg, store, run_ts, refresh, disambiguate, version, previous)
+    routed, counts = X.observed(run.routed)
+    uri = f"{run.output}/outcomes"
+    # The outcome is a folder, so emitted, rejected and unchanged records are read apart.
+    routed.write.partitionBy("outcome").parquet(uri)
+    outcomes = source.sparkSession.read.schema(OUTCOMES_SCHEMA).parquet(uri)
+    return _finish(run, outcomes, X.metrics_of(counts), replay, keep_versions, **facts)
+
+
+def run_extract_many(
+    sources: Sequence[tuple[DataFrame, StreamConfig]], store: Store, run_ts: str | None = None,
+    refresh: bool = False, keep_versions: int | None = None,
+) -> dict[str, RunResult]:
+    """run_extract over several streams, the outcomes of which one job writes.
+
+    Each stream's records are routed by its own rules, into one frame, and its outcomes are folders of it; small
+    streams fill a cluster together. Bookmarks, messages and rejects are those of separate runs, and
+    each stream commits for itself: one that fails afterwards leaves the others done. Streams are named once."""
+    names = [cfg.stream_name for _, cfg in sources]
+    if len(set(names)) < len(names):
+        raise ValueError(f"a stream is named twice: {sorted(names)}")
+    if not sources:
+        return {}
+    run_ts = run_ts or now_text()
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        runs = list(pool.map(lambda s: _begin(s[0], s[1], store, run_ts, refresh), sources))
+    routed = runs[0].routed
+    for run in runs[1:]:
+        routed = routed.unionByName(run.routed, allowMissingColumns=True)
+    routed, counts = X.observed(routed, names)
+    uri = f"{store.uri}/runs-of-many/{uuid.uuid4().hex}"
+    routed.write.partitionBy("stream", "outcome").parquet(uri)
+    outcomes = store.spark.read.schema(OUTCOMES_SCHEMA).parquet(uri)
+
+    def finish(run: _Run) -> RunResult:
+        name = run.cfg.stream_name
+        own = outcomes.filter(F.col("stream") == name)
+        return _finish(run, own, X.metrics_of(counts, name), keep_versions=keep_versions)
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return dict(zip(names, pool.map(finish, runs)))
 
 
 def run_refresh(source: DataFrame, cfg: StreamConfig, store: Store, **options) -> RunResult:
@@ -301,5 +359,6 @@ def run_refresh(source: DataFrame, cfg: StreamConfig, store: Store, **options) -
 
 
 __all__ = [
-    "RunResult", "outcomes_of", "read_pages", "read_source", "run_discover", "run_extract", "run_refresh",
+    "RunResult", "outcomes_of", "read_pages", "read_source", "run_discover", "run_extract",
+    "run_extract_many", "run_refresh",
 ]

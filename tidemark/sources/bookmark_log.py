@@ -7,6 +7,7 @@ all into a new base. A version's commit names the folders it consists of, which
 
 from __future__ import annotations
 
+import threading
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -35,17 +36,28 @@ _CO_LOCATED = {
 }
 
 
+_lock, _users = threading.Lock(), {}
+
+
 @contextmanager
 def co_located(spark: SparkSession):
-    """Settings under which plans over a log are made."""
-    before = {name: spark.conf.get(name) for name in _CO_LOCATED}
-    for name, value in _CO_LOCATED.items():
-        spark.conf.set(name, value)
+    """Settings under which plans over a log are made. Runs side by side share them; the last restores."""
+    with _lock:
+        users, before = _users.get(spark, (0, None))
+        before = before or {name: spark.conf.get(name) for name in _CO_LOCATED}
+        _users[spark] = (users + 1, before)
+        for name, value in _CO_LOCATED.items():
+            spark.conf.set(name, value)
     try:
         yield
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+        with _lock:
+            users, before = _users.pop(spark)
+            if users > 1:
+                _users[spark] = (users - 1, before)
+            else:
+                for name, value in before.items():
+                    spark.conf.set(name, value)
 
 
 def key_filter(keys: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
