@@ -131,6 +131,22 @@ def test_notices_with_changes(docs_of, vocabulary):
     assert (got[0].spans[0].first_word, got[0].spans[0].end) == (41, 41 + len(notice))
 
 
+def test_licenses_of_long_texts(docs_of, vocabulary):
+    """Seconds grow with a text's length, not with its square."""
+    import time
+
+    rng, seconds = random.Random(6), []
+    scan = lambda n: licenses.scan(docs_of([(1, " ".join(rng.choice(vocabulary) for _ in range(n)) + " all rights reserved")])).first()
+    scan(1000)
+    for n in (50_000, 200_000):
+        began = time.perf_counter()
+        row = scan(n)
+        seconds.append(time.perf_counter() - began)
+        assert row.n_words == n + 3 and row.first_word == n and row.labels == "reserved"
+    # Four times the words; sixteen times the seconds before grams left the text.
+    assert seconds[1] < 8 * seconds[0] + 2
+
+
 def measured(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)

@@ -1,6 +1,6 @@
 """License scans by diagonal voting, in built-in functions only.
 
-All rolling word k-grams of a text are hashed and joined to the grams of the templates. A hit at word p of
+All rolling word k-grams of a text are hashed, to 128 bits, and joined to the grams of the templates. A hit at word p of
 the text and word q of a template votes for the diagonal p - q. Votes are summed per diagonal, neighbouring
 diagonals (a word more or less) are merged, and the span of what remains is verified. A template of k words
 or fewer has one gram, and each of its hits is a whole place.
@@ -18,6 +18,8 @@ from tidemark.llm.common import text_or_empty
 from tidemark.llm.quality import barrier
 
 GRAM = 3
+#: Seeds of the two hashes of a gram: 128 bits stand for its words.
+HASHES = {"h1": 1, "h2": 2}
 BREAKS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 # Phrases whose places are counted, and license notices as their licenses word them.
@@ -82,21 +84,24 @@ def scan(docs: DataFrame, against: list[Template] | None = None, slack: int = 3,
         for n, t in enumerate(against) for q in range(len(t.words) - t.gram + 1)
     ]
     # As many rows as the templates have words.
-    known = spark.createDataFrame(grams, "template int, q int, width int, gram array<string>").withColumn(
-        "gram_hash",
-        F.coalesce(*[
-            F.when(F.col("width") == w, F.xxhash64(*[F.col("gram")[i] for i in range(w)])) for w in widths
-        ]),
-    )
+    known = spark.createDataFrame(grams, "template int, q int, width int, gram array<string>")
+    for name, seed in HASHES.items():
+        words = lambda w: [F.col("gram")[i] for i in range(w)]
+        each = [F.when(F.col("width") == w, F.xxhash64(F.lit(seed), *words(w))) for w in widths]
+        known = known.withColumn(f"gram_{name}", F.coalesce(*each))
     split = F.array_remove(F.split(F.lower(text_or_empty()), BREAKS), "")
     rows = barrier(
         docs.select("doc_id", F.col("text"), F.monotonically_increasing_id().alias("row")), words=split
     ).select("row", "doc_id", "words", F.size("words").alias("n"))
-    hashes = [F.array(F.lit(0).cast("bigint"))]  # position 0 stands for the row itself
+    none, kind = "named_struct('h1', 0L, 'h2', 0L)", "array<struct<h1: bigint, h2: bigint>>"
+    hashes = [F.expr(f"array({none})")]  # position 0 stands for the row itself
     for w in widths:
         args = ", ".join(f"words[i + {k}]" for k in range(w))
-        hashes.append(F.expr(f"if(n >= {w}, transform(sequence(0, n - {w}), i -> xxhash64({args})), cast(array() as array<bigint>))"))
-    opened = rows.select("row", "doc_id", "n", "words", F.posexplode(F.concat(*hashes)).alias("at", "hash"))
+        both = ", ".join(f"'{name}', xxhash64({seed}, {args})" for name, seed in HASHES.items())
+        hashes.append(F.expr(f"if(n >= {w}, transform(sequence(0, n - {w}), i -> named_struct({both})), cast(array() as {kind}))"))
+    # A gram leaves the text as its hashes alone, so a text of n words gives rows of a bounded size.
+    opened = rows.select("row", "doc_id", "n", F.posexplode(F.concat(*hashes)).alias("at", "h"))
+    opened = opened.select("row", "doc_id", "n", "at", "h.h1", "h.h2")
     p, width = F.col("at") - 1, F.lit(0)
     begin = F.lit(1)
     for w in widths:
@@ -106,8 +111,8 @@ def scan(docs: DataFrame, against: list[Template] | None = None, slack: int = 3,
     opened = opened.withColumns({"p": p, "width_at": width})
     hits = opened.join(
         F.broadcast(known),
-        (F.col("hash") == F.col("gram_hash")) & (F.col("width_at") == F.col("width")), "left",
-    ).filter("at = 0 or (gram is not null and slice(words, p + 1, width) = gram)")
+        (F.col("h1") == F.col("gram_h1")) & (F.col("h2") == F.col("gram_h2")) & (F.col("width_at") == F.col("width")), "left",
+    ).filter("at = 0 or gram is not null")
     votes = (
         hits.select("row", "doc_id", "n", F.when(F.col("at") > 0, F.col("template")).alias("template"), "p",
                     (F.col("p") - F.col("q")).alias("diagonal"))
