@@ -265,7 +265,8 @@ def _finish(
         O.rejects(outcomes, run.schema).unionByName(O.unreadable_rejects(outcomes)).write.parquet(quarantine)
 
     def write_bookmark() -> str:
-        return run.table.advance(B.fold_updates(B.bookmark_updates(outcomes)), run.version, run.previous)
+        updates = metrics[O.EMITTED] + metrics[O.FILTERED]
+        return run.table.advance(B.fold_updates(B.bookmark_updates(outcomes)), run.version, run.previous, updates)
 
     # Three independent jobs over the written outcomes; the first error of any ends the run.
     with ThreadPoolExecutor(max_workers=3) as pool:

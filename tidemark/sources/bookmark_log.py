@@ -162,24 +162,34 @@ class BookmarkLog(VersionedTable):
         self._written[path] = {"base": path, "deltas": [], "buckets": buckets, "base_rows": rows, "delta_rows": 0}
         return path
 
-    def advance(self, folded: DataFrame, version: int, previous: int) -> str:
+    def advance(self, folded: DataFrame, version: int, previous: int, updates: int | None = None) -> str:
         """Write a version that upserts folded updates into the previous one: a delta, or a new base where the
-        deltas have outgrown it."""
+        deltas have outgrown it.
+
+        With the number of ``updates`` before folding, a run that large is merged at once, without a delta of its
+        own: a base that is rewritten has ``1 / ratio`` times as many rows as the run had updates at most."""
         layout = self._layout(previous)
         if layout is None:
             known = super().read(previous) if previous else None
             return self.write(folded if known is None else advance_bookmark(known, folded), version)
         buckets, path = layout["buckets"], self.new_path(version)
+        most, parts = self.ratio * layout["base_rows"], [layout["base"], *layout["deltas"]]
+        if updates is not None and layout["delta_rows"] + updates > most:
+            self._written[path] = self._rebased(parts, buckets, path, folded)
+            return path
         rows = self._put(folded.repartition(buckets, BUCKET), path, buckets)
         deltas, total = [*layout["deltas"], path], layout["delta_rows"] + rows
         facts = {k: layout[k] for k in ("base", "buckets", "base_rows")} | {"deltas": deltas, "delta_rows": total}
-        if len(deltas) > self.most or total > self.ratio * layout["base_rows"]:
-            base = f"{path}-base"
-            merged = self._merged([self._open(p, buckets) for p in (layout["base"], *deltas)])
-            facts = {"base": base, "buckets": buckets, "base_rows": self._put(merged, base, buckets), "deltas": [], "delta_rows": 0}
+        if len(deltas) > self.most or total > most:
+            facts = self._rebased([*parts, path], buckets, f"{path}-base")
         self._written[path] = facts | {"added_rows": rows}
         return path
 
+    def _rebased(self, parts: list[str], buckets: int, base: str, *more: DataFrame) -> dict:
+        """Merge folders, and a frame that is dealt to their buckets, into a new base."""
+        merged = self._merged([*(self._open(p, buckets) for p in parts), *(df.repartition(buckets, BUCKET) for df in more)])
+        return {"base": base, "buckets": buckets, "base_rows": self._put(merged, base, buckets), "deltas": [], "delta_rows": 0}
+
     def commit(self, version: int, path: str, replay: bool = False, **facts) -> None:
         super().commit(version, path, replay, **self._written.pop(path, {}), **facts)
 
