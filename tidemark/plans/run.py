@@ -257,7 +257,12 @@ def _finish(
     messages, quarantine = f"{run.output}/messages", f"{run.output}/rejects"
 
     def write_messages() -> None:
-        M.schema_messages(run.store.catalog.read()).select("message").write.text(f"{messages}/schema")
+        built = (run.store.catalog.info() or {}).get("schema_message")
+        if built:
+            first = outcomes.sparkSession.read.text(built)
+        else:
+            first = M.schema_messages(run.store.catalog.read()).select("message")
+        first.write.text(f"{messages}/schema")
         emitted = outcomes.filter(F.col("outcome") == O.EMITTED)
         M.record_messages(emitted).select("message").write.text(f"{messages}/records")
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.bookmark import BOOKMARK_SCHEMA
 from tidemark.operators.catalog import CATALOG_SCHEMA
+from tidemark.operators.messages import schema_messages
 from tidemark.sources.bookmark_log import BookmarkLog
 from tidemark.sources.versions import Files, StaleRun, VersionedTable
 
@@ -88,8 +89,13 @@ def _write(spark: SparkSession, uri: str, kind: str, df: DataFrame, facts: dict)
     for (stream,) in df.select("stream").distinct().collect():
         table = getattr(Store(spark, uri).of(stream), kind)
         versions[stream] = table.version() + 1
-        path = table.write(df.filter(F.col("stream") == stream), versions[stream])
-        table.commit(versions[stream], path, **facts)
+        path, more = table.write(df.filter(F.col("stream") == stream), versions[stream]), {}
+        if kind == "catalog":
+            # Built with the catalog, and read by every run under it.
+            more["schema_message"] = f"{path}-message"
+            messages = schema_messages(spark.read.schema(table.schema).parquet(path))
+            messages.select("message").write.text(more["schema_message"])
+        table.commit(versions[stream], path, **more, **facts)
     return versions
 
 
