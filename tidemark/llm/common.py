@@ -70,6 +70,13 @@ class Memo(dict):
         return value
 
 
+def slices(batches, rows: int = 1000):
+    """Arrow batches cut to `rows` rows, so that Python holds few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def in_batches(texts: list[str], chars: int = 4_000_000):
     """Ranges of consecutive texts of about so many characters, one text at least."""
     begin, size = 0, 0

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Memo, freeze, in_batches, rank_within, text_or_empty
+from tidemark.llm.common import Memo, freeze, in_batches, rank_within, slices, text_or_empty
 
 SEQUENCE = 2048
 END_ID = 1
@@ -100,7 +100,7 @@ def token_pieces(
         first, rest = Memo(ids), Memo(lambda text: ids(" " + text))
         end = array.array("I", [end_id]).tobytes()
         step = 4 * max_length
-        for batch in batches:
+        for batch in slices(batches):
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in in_batches(texts):
                 out: list[list] = [[], [], [], [], [], []]
