@@ -160,3 +160,17 @@ print("KEPT", [r.doc_id for r in near_copies.near_dedup(docs).collect()])
     env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, str(path)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "KEPT [1]" in done.stdout, done.stderr[-2000:]
+
+
+def test_the_stage_searches_by_fingerprints(spark, docs_of, monkeypatch):
+    """With no other search at hand, near copies within three bits still go, and texts that are not near stay."""
+    rng, rows = random.Random(9), []
+    for g in range(20):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(900)]
+        rows += [(10 * g + c, " ".join(base[:-c] + [f"v{c}"] if c else base)) for c in range(3)]
+    monkeypatch.setattr(near_copies, "search_keys", lambda hashes, factors: [])
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = {r.doc_id for r in stage(spark, docs_of(rows), "").select("doc_id").collect()}
+    prints = {i: near_copies.majority(near_copies.shingle_set(t)) for i, t in rows}
+    near = {i for i in prints if i % 10 and ((prints[i] ^ prints[i - i % 10]) % (1 << 64)).bit_count() <= near_copies.MOST}
+    assert len(near) > 20 and not kept & near and {10 * g for g in range(20)} <= kept

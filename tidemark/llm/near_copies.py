@@ -1,6 +1,9 @@
-"""Near copies by the Jaccard similarity of their five-word shingles: links are exact, candidates are wide.
+"""Near copies by SimHash and the Jaccard similarity of their five-word shingles: links are exact, candidates are wide.
 
-Of a text's set of shingles 128 minima under different hashes are taken, and joined by fours to 32 keys.
+The pigeonring join of simhash brings together texts whose fingerprints lie within three bits, over chains of such.
+Each text of a group is compared with one of it, and linked if the sets of shingles reach the similarity.
+Near copies of short texts differ in more bits than unrelated texts would within a useful radius, so
+what fingerprints leave apart is searched by minima as well: of a text's set of shingles 128 minima under different hashes are taken, and joined by fours to 32 keys.
 Two texts with similarity s share a key with probability 1 - (1 - s^4)^32: all but 5 in 100 million at 0.8,
 and more above it, whatever their length. Each pair that shares a key is a candidate, and is linked if the
 sets themselves reach the similarity.
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import freeze, slices, text_or_empty
 from tidemark.llm.components import components
-from tidemark.llm.simhash import SEED
+from tidemark.llm.simhash import SEED, majority, near_prints, shingle_hashes
 
 SHINGLE = 5
 #: The similarity 0.8 as a fraction.
@@ -32,27 +35,18 @@ TOP, BELOW = 4, 5
 KEYS, AT_A_TIME = 32, 4
 AT_ONCE = 1 << 12
 PLACES = 2048
+#: Bits in which fingerprints of one group differ at most.
+MOST = 3
 #: Nodes of different components that a key joins directly.
 CROWD = 64
 SLOTS = 1 << 14
 
 
 def shingle_set(text: str, shingle: int = SHINGLE):
-    """Sorted distinct 64-bit hashes of the shingles. Words as in simhash.fingerprint: fewer than a
-    shingle make one shingle, no words an empty set."""
+    """Sorted distinct 64-bit hashes of the shingles, as in simhash.shingle_hashes."""
     import numpy as np
-    import xxhash
 
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    width = min(shingle, len(words))
-    first, last = starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist()
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(line[a:b], SEED) for a, b in zip(first, last)], np.uint64))
+    return np.unique(shingle_hashes(text, shingle))
 
 
 def _factors():
@@ -84,7 +78,8 @@ def sketch(hashes) -> list[int]:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, node, size, keys, sketch) of every row: node stands for the set, size counts it."""
+    """(doc_id, digest, node, print, size, keys, sketch) of every row: node stands for the set, print is its fingerprint,
+    size counts it."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -92,25 +87,26 @@ def signatures(docs: DataFrame) -> DataFrame:
 
         factors = _factors()
         for batch in slices(batches):
-            nodes, sizes, keys, sketches = [], [], [], []
+            nodes, prints, sizes, keys, sketches = [], [], [], [], []
             for text in batch.column(2).to_pylist():
                 hashes = shingle_set(text)
                 nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                prints.append(majority(hashes))
                 sizes.append(len(hashes))
                 keys.append(search_keys(hashes, factors))
                 sketches.append(sketch(hashes))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)),
-                    pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(prints, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
                     pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "digest", "node", "size", "keys", "sketch"],
+                names=["doc_id", "digest", "node", "print", "size", "keys", "sketch"],
             )
 
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text"))
-    return rows.mapInArrow(of, "doc_id bigint, digest bigint, node bigint, size bigint, keys array<bigint>, sketch array<bigint>")
+    return rows.mapInArrow(of, "doc_id bigint, digest bigint, node bigint, print bigint, size bigint, keys array<bigint>, sketch array<bigint>")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -194,29 +190,43 @@ def _near_pairs(rows: DataFrame) -> DataFrame:
     ).select("node", F.col("other_node").alias("other"))
 
 
+def print_stars(nodes: DataFrame) -> DataFrame:
+    """(node, other): each node whose fingerprint is near that of others, and one node of its group."""
+    prints = nodes.filter("size > 0").select("node", "print")
+    roots = freeze(near_prints(freeze(prints.select("print").distinct(), "prints"), MOST), "print-roots")
+    placed = freeze(prints.join(roots, "print").select("node", "root"), "placed")
+    # Written first: joined with a plain exchange a crowded group can be split.
+    drawn = F.min(F.struct(F.xxhash64("node", "root"), "node"))["node"]
+    hubs = freeze(placed.groupBy("root").agg(drawn.alias("other"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "hubs")
+    return placed.join(hubs, "root").filter("node != other").select("node", "other")
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, digest, component_id (smallest doc_id reachable over links), kept of every row.
 
     Texts without words are one group. Null ids and repeated rows are as in simhash.simhash_groups."""
     own = freeze(signatures(docs), "signatures")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
-    same = [F.first(c).alias(c) for c in ("size", "keys", "sketch")]
+    same = [F.first(c).alias(c) for c in ("print", "size", "keys", "sketch")]
     nodes = freeze(own.groupBy("node").agg(F.min(first).alias("first"), *same), "nodes")
 
+    alike = freeze(print_stars(nodes), "print-stars")
     indexed = nodes.select("node", F.explode("keys").alias("key"))
     drawn = F.min(F.struct(F.xxhash64("node", "key"), "node"))["node"]
     crowded = indexed.groupBy("key").agg(drawn.alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     # Written first, here and below: joined with a plain exchange a crowded key can be split.
     crowded = freeze(crowded, "crowded")
     shared = freeze(indexed.join(crowded, "key"), "shared")
-    members = shared.select("node").distinct().join(nodes.select("node", "first"), "node")
+    met = shared.select("node").union(alike.select(F.explode(F.array("node", "other")).alias("node"))).distinct()
+    members = met.join(nodes.select("node", "first"), "node")
     ids = members.select("node", F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     rows = rows.withColumn("digest", F.xxhash64("text"))
     found = rows.join(ids, F.col("digest").eqNullSafe(F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     sets = freeze(_sets(found.select("node", "text").dropDuplicates(["node"])), "sets")
 
-    stars = freeze(shared.filter("node != hub").select("node", F.col("hub").alias("other")).distinct(), "star-pairs")
+    stars = shared.filter("node != hub").select("node", F.col("hub").alias("other"))
+    stars = freeze(alike.union(stars).distinct(), "star-pairs")
     linked = freeze(_links(stars, sets), "star-links")
     roots = freeze(components(linked), "star-roots")
 

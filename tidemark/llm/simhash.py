@@ -27,29 +27,39 @@ BITS = 64
 AT_ONCE = 1 << 16
 
 
-def fingerprint(text: str, shingle: int) -> int:
-    """Signed 64-bit fingerprint: a bit is set if more than half of the shingles' hashes have it.
-
-    Words stand between ASCII white space, A-Z in lower case. Fewer words than a shingle make one
-    shingle; no words give 0."""
+def shingle_hashes(text: str, shingle: int):
+    """Hashes of the shingles, repeats included. Words stand between ASCII white space, A-Z in lower case.
+    Fewer words than a shingle make one shingle; no words give none."""
     import numpy as np
     import xxhash
 
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     width = min(shingle, len(words))
     first, last = starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist()
-    digest, counts = xxhash.xxh64_intdigest, np.zeros(BITS, np.int64)
-    for at in range(0, len(first), AT_ONCE):
-        part = zip(first[at : at + AT_ONCE], last[at : at + AT_ONCE])
-        hashes = np.array([digest(line[a:b], SEED) for a, b in part], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(line[a:b], SEED) for a, b in zip(first, last)), np.uint64, len(first))
+
+
+def majority(hashes) -> int:
+    """Signed 64 bits: a bit is set if more than half of the hashes have it; no hashes give 0."""
+    import numpy as np
+
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), AT_ONCE):
+        part = hashes[at : at + AT_ONCE].astype("<u8")
+        bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * counts > len(first), bitorder="little").view("<i8")[0])
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def fingerprint(text: str, shingle: int) -> int:
+    """Signed 64-bit fingerprint of a text's shingles; no words give 0."""
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
