@@ -63,13 +63,18 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_scan_split(spark: SparkSession, sf: str) -> DataFrame:
     """The same rows from one file that many tasks read."""
-    uri, before = _customer_csv(spark, sf, one_file=True), spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    uri = _customer_csv(spark, sf, one_file=True)
+    # A small file has splits of 4096 bytes; of a large one they grow with it, so tasks don't become more and more.
+    share = {"spark.sql.files.openCostInBytes": "4096", "spark.sql.files.minPartitionNum": "64"}
+    before = {key: spark.conf.get(key, None) for key in share}
+    for key, value in share.items():
+        spark.conf.set(key, value)
     try:
         rows, out = files.read_csv(spark, uri, split=True).select("rec.*"), scratch_uri(spark, "rows")
         rows.write.parquet(out)
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(rows.schema).parquet(out)
 
 

@@ -77,3 +77,22 @@ def test_large_files_are_split(spark, tmp_path, small_splits):
     assert files.Files(spark).largest(str(tmp_path)) > 64
     assert files.read_csv(spark, str(tmp_path)).rdd.getNumPartitions() > 5
     assert files.read_csv(spark, str(tmp_path)).agg(F.sum(F.col("rec.id").cast("int"))).first()[0] == 19900
+
+
+def test_splits_of_a_large_file_are_bounded(spark, monkeypatch):
+    """The query reads a file in pieces that grow with it, so that tasks don't become more and more."""
+    import queries
+    from tidemark.sources import csv_split
+
+    made, lines = [], csv_split.split_lines
+
+    def counted(session, uri):
+        out = lines(session, uri)
+        made.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(csv_split, "split_lines", counted)
+    for sf, least, most in (("sf0.01", 10, 70), ("sf0.1", 10, 70)):
+        made.clear()
+        queries.csv_scan_split(spark, f"/root/testdata/{sf}")
+        assert made and all(least <= n <= most for n in made)
