@@ -140,3 +140,10 @@ def test_many_schemas_in_one_pass(spark, records):
     assert len({id(check.df) for check in one.values()}) == 1 and sum(c.startswith("_p") for c in one["b"].df.columns) == 2 + 2 + 2
     plan = count_invalid(rows, schemas)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan") == 1
+
+
+def test_all_errors_reads_records_once(spark, capsys):
+    import queries
+
+    queries.check_multiple_of(spark, "/root/testdata/sf0.001").explain()
+    assert capsys.readouterr().out.count("FileScan") == 1

@@ -163,11 +163,15 @@ def _multiple_of(x: Value, step) -> Column:
         raise ValueError(f"multipleOf must be above 0, got {step}")
     places = max(0, -exact.normalize().as_tuple().exponent)
     whole = int(exact.scaleb(places))
-    digits = F.regexp_extract(canonical_text(x.v), r"^-?([0-9]+)(?:\.([0-9]+))?$", 1)
-    decimals = F.regexp_extract(canonical_text(x.v), r"^-?([0-9]+)(?:\.([0-9]+))?$", 2)
-    scaled = F.concat(digits, F.rpad(decimals, places, "0")).try_cast("decimal(38,0)")
-    fits = (F.length(decimals) <= places) & (scaled % F.lit(str(whole)).cast("decimal(38,0)") == 0)
-    return ~F.coalesce(fits, F.lit(False))
+    parts = r"^-?([0-9]+)(?:\.([0-9]+))?$"
+
+    def fits(text: Column) -> Column:
+        digits, decimals = F.regexp_extract(text, parts, 1), F.regexp_extract(text, parts, 2)
+        scaled = F.concat(digits, F.rpad(decimals, places, "0")).try_cast("decimal(38,0)")
+        return (F.length(decimals) <= places) & (scaled % F.lit(str(whole)).cast("decimal(38,0)") == 0)
+
+    # Named by a lambda, so that the text is written once and not for each of its parts.
+    return ~F.coalesce(F.transform(F.array(canonical_text(x.v)), fits)[0], F.lit(False))
 
 
 def _equals_any(x: Value, values: list) -> Column:
@@ -458,6 +462,12 @@ def count_invalid(df: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
     return shared.agg(*counts).select(F.inline(F.array(*rows)))
 
 
+def all_errors(df: DataFrame, schema: Mapping) -> DataFrame:
+    """Every record with an ``errors`` array, empty for valid ones, from one pass over the records."""
+    checks = compile_checks(df, schema)
+    return checks.with_errors(checks.df, *checks.columns)
+
+
 def validate(df: DataFrame, schema: Mapping) -> tuple[DataFrame, DataFrame]:
     """Valid records, and invalid ones with an ``errors`` array."""
     checks = compile_checks(df, schema)
