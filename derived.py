@@ -42,10 +42,18 @@ def _orders_struct() -> list[Column]:
     ]
 
 
-def orders_stream(spark: SparkSession, sf_dir: str, splits: int | None = None) -> DataFrame:
-    """Orders as typed records; ``splits`` spreads a table that is a single small file."""
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table's rows dealt to all cores by its key. A file is read by as many tasks as it has row groups, and a
+    record costs far more to extract than to exchange. The number is given, since AQE goes by bytes and would
+    leave records that are small and costly to one task."""
+    return df.repartition(max(2 * df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()), key)
+
+
+def orders_stream(spark: SparkSession, sf_dir: str, splits: int | None = None, spread_out: bool = False) -> DataFrame:
+    """Orders as typed records; ``splits`` spreads a table that is a single small file over so many tasks."""
     orders = table(spark, sf_dir, "orders")
     orders = orders if splits is None else orders.repartition(splits)
+    orders = spread(orders, "o_orderkey") if spread_out else orders
     return records_from_table(orders, *_orders_struct(), ord="o_orderkey")
 
 
@@ -99,15 +107,16 @@ def _event_fields() -> list[Column]:
     ]
 
 
-def events_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_lines(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     """(event_id, ts, value): events as JSON lines with ``props`` an object."""
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    return (spread(events, "event_id") if spread_out else events).select(
         "event_id", "ts", F.to_json(F.struct(*_event_fields())).alias("value")
     )
 
 
-def events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records_from_json(events_lines(spark, sf_dir), "value", ord="event_id")
+def events_json(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+    return records_from_json(events_lines(spark, sf_dir, spread_out), "value", ord="event_id")
 
 
 def events_drift(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ returned as its JSON text and a path as its keys joined by dots."""
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -716,14 +717,14 @@ def _emitted(spark: SparkSession, messages: str) -> DataFrame:
 def run_extract(spark: SparkSession, sf: str) -> DataFrame:
     """Records that an incremental run wrote as messages."""
     s = _prepared(spark, sf)
-    run = R.run_extract(X.orders_stream(spark, sf), X.ORDERS, s, X.RUN_TS)
+    run = R.run_extract(X.orders_stream(spark, sf, spread_out=True), X.ORDERS, s, X.RUN_TS)
     return _emitted(spark, run.messages)
 
 
 def run_extract_bookmark(spark: SparkSession, sf: str) -> DataFrame:
     """The bookmark that the run left."""
     s = _prepared(spark, sf)
-    R.run_extract(X.orders_stream(spark, sf), X.ORDERS, s, X.RUN_TS)
+    R.run_extract(X.orders_stream(spark, sf, spread_out=True), X.ORDERS, s, X.RUN_TS)
     return s.of("orders").bookmark.read()
 
 
@@ -736,9 +737,15 @@ def run_refresh(spark: SparkSession, sf: str) -> DataFrame:
 def two_streams_one_store(spark: SparkSession, sf: str) -> DataFrame:
     """Bookmarks of two streams whose runs both began from an empty store."""
     s = store.Store(spark, scratch_uri(spark, "run"))
-    for cfg, records in ((X.ORDERS, X.orders_stream(spark, sf)), (X.EVENTS, X.events_json(spark, sf))):
-        R.run_discover(records, cfg, s, X.RUN_TS)
-        R.run_extract(records, cfg, s, X.RUN_TS, version=1, previous=0)
+
+    def run(source: tuple[DataFrame, StreamConfig]) -> None:
+        R.run_discover(*source, s, X.RUN_TS)
+        R.run_extract(*source, s, X.RUN_TS, version=1, previous=0)
+
+    sources = [(X.orders_stream(spark, sf, spread_out=True), X.ORDERS), (X.events_json(spark, sf, spread_out=True), X.EVENTS)]
+    # Side by side, as runs of two programs would be; the first error of any ends the query.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        list(pool.map(run, sources))
     return store.read_bookmark(spark, s.uri).select("stream", "key", "surrogate_key")
 
 
@@ -746,9 +753,9 @@ def run_extract_many(spark: SparkSession, sf: str) -> DataFrame:
     """Bookmarks of three streams, typed, JSON and CSV, one of them known before, whose outcomes one job wrote."""
     s = _prepared(spark, sf)
     customers = StreamConfig("customers", ("c_custkey",), "csv", _customer_csv(spark, sf))
-    sources = [(X.orders_stream(spark, sf), X.ORDERS), (X.events_json(spark, sf), X.EVENTS), (R.read_source(spark, customers), customers)]
-    for records, cfg in sources[1:]:
-        R.run_discover(records, cfg, s, X.RUN_TS)
+    orders, events = X.orders_stream(spark, sf, spread_out=True), X.events_json(spark, sf, spread_out=True)
+    sources = [(orders, X.ORDERS), (events, X.EVENTS), (R.read_source(spark, customers), customers)]
+    R.run_discover_many(sources[1:], s, X.RUN_TS)
     R.run_extract_many(sources, s, X.RUN_TS)
     got = store.read_bookmark(spark, s.uri)
     return got.select("stream", "key", "surrogate_key", "last_seen", "last_emitted")
@@ -842,7 +849,7 @@ def stream_changes_deltas(spark: SparkSession, sf: str) -> DataFrame:
     leave is the base with the deltas over it."""
     s = store.Store(spark, scratch_uri(spark, "stream"))
     store.write_catalog(spark, s.uri, C.catalog_from_schema(spark, "events", X.EVENTS_SCHEMA))
-    known = T.transform(X.events_json(spark, sf), X.EVENTS, X.OLD_TS).filter("ord % 3 <> 0")
+    known = T.transform(X.events_json(spark, sf, spread_out=True), X.EVENTS, X.OLD_TS).filter("ord % 3 <> 0")
     store.write_bookmark(spark, s.uri, known.select(
         "stream", "key", F.col("_sdc_surrogate_key").alias("surrogate_key"), F.lit(X.OLD_TS).alias("last_seen"),
         F.lit(X.OLD_TS).alias("last_emitted"),

@@ -11,10 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import keys as K
 from tidemark.functions import temporal as D
-from tidemark.functions.values import is_variant, to_variant
+from tidemark.functions.values import is_variant, scalar_text, to_variant
 
 # Object nesting opened at first; deeper records raise or are opened again, never cut short.
 DEPTH = 4
@@ -107,6 +108,65 @@ def _leaves(df: DataFrame, depth: int) -> DataFrame:
     )
 
 
+_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_TEXTS = (T.StringType, T.BinaryType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _typed_code(value: Column, dtype: T.DataType) -> Column | None:
+    """Type code of a typed value that is not NULL; None for a type whose values must be looked at as VARIANT."""
+    if type(dtype) in _NUMBERS:
+        return F.lit(NUMBER)
+    if type(dtype) in _TEXTS:
+        text = scalar_text(value, dtype)
+        return F.when(D.is_date_time(text), DATE_TIME).when(D.is_date(text), DATE).otherwise(STRING)
+    known = {T.BooleanType: BOOLEAN, T.ArrayType: ARRAY, T.StructType: OBJECT}
+    return F.lit(known[type(dtype)]) if type(dtype) in known else None
+
+
+def _typed_entries(value: Column, dtype: T.StructType, path: tuple[str, ...], depth: int) -> list[Column] | None:
+    """(k1.., code) of each innermost field of a struct; None where its values must be looked at as VARIANT."""
+
+    def entry(keys: tuple[str, ...], code: Column) -> Column:
+        named = [F.lit(k) for k in keys] + [F.lit(None).cast("string")] * (depth - len(keys))
+        return F.struct(*[k.alias(f"k{i}") for i, k in enumerate(named, 1)], code.cast("int").alias("code"))
+
+    out = []
+    for f in dtype.fields:
+        if not path and f.name in K.META_FIELDS:
+            continue
+        v, at = value.getField(f.name), (*path, f.name)
+        if len(at) > depth:
+            return None
+        if isinstance(f.dataType, T.StructType) and f.dataType.fields:
+            below = _typed_entries(v, f.dataType, at, depth)
+            if below is None:
+                return None
+            out += below
+            here = F.lit(None)
+        else:
+            code = _typed_code(v, f.dataType)
+            if code is None:
+                return None
+            here = F.when(v.isNotNull(), entry(at, code))
+        if path:  # A null value stands for the object that holds it.
+            here = F.coalesce(here, F.when(value.isNotNull() & v.isNull(), entry(path, F.lit(OBJECT))))
+        elif isinstance(f.dataType, T.StructType) and f.dataType.fields:
+            continue
+        out.append(here)
+    return out
+
+
+def _types_of_values(df: DataFrame, depth: int) -> DataFrame:
+    """(stream, ord, k1.., code) of the innermost values. Those of typed records follow from their columns: no
+    record is turned into a VARIANT and opened again."""
+    dtype, keys = df.schema["rec"].dataType, [f"k{i}" for i in range(1, depth + 1)]
+    entries = None if is_variant(dtype) else _typed_entries(F.col("rec"), dtype, (), depth)
+    if not entries:
+        return _leaves(df, depth).select("stream", "ord", *keys, "code")
+    rows = df.select("stream", "ord", F.explode(F.array(*entries)).alias("p")).filter("p IS NOT NULL")
+    return rows.select("stream", "ord", "p.*")
+
+
 def _in_source(key: Column) -> Column:
     """Top-level keys that belong to the source record rather than to its metadata."""
     return key.isNotNull() & ~key.isin(*K.META_FIELDS)
@@ -245,7 +305,7 @@ def found_types(
     format of its own, and counts as a string where the path was dropped."""
     keys = [f"k{i}" for i in range(1, depth + 1)]
     code = F.col("code")
-    leaves = _leaves(df, depth).select(
+    leaves = _types_of_values(df, depth).select(
         "stream", *keys, _first(F.col("ord"), code).alias("first"), *_flags(code)
     )
     leaves = _fold(leaves, "stream", *keys)

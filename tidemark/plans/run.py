@@ -150,6 +150,21 @@ def run_discover(
     return schema
 
 
+def run_discover_many(
+    sources: Sequence[tuple[DataFrame, StreamConfig]], store: Store, discovered_at: str | None = None,
+    needs_records: bool = True,
+) -> dict[str, dict | None]:
+    """run_discover over several streams side by side, up to four at a time. Streams are named once; the first
+    error of any is raised, and leaves the catalogs of the others as their own discovery does."""
+    names = [cfg.stream_name for _, cfg in sources]
+    if len(set(names)) < len(names):
+        raise ValueError(f"a stream is named twice: {sorted(names)}")
+    discovered_at = discovered_at or now_text()
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        found = pool.map(lambda s: run_discover(s[0], s[1], store, discovered_at, needs_records), sources)
+        return dict(zip(names, found))
+
+
 def _watched(source: DataFrame, cfg: StreamConfig) -> tuple[DataFrame, Observation | None]:
     """The rows of a source that give a record, and whether a pass over them has met others (``n`` above 0).
 
@@ -365,6 +380,6 @@ def run_refresh(source: DataFrame, cfg: StreamConfig, store: Store, **options) -
 
 
 __all__ = [
-    "RunResult", "outcomes_of", "read_pages", "read_source", "run_discover", "run_extract",
+    "RunResult", "outcomes_of", "read_pages", "read_source", "run_discover", "run_discover_many", "run_extract",
     "run_extract_many", "run_refresh",
 ]
