@@ -1,5 +1,7 @@
 """What keeps large runs within time and disk: records on all cores, few passes, few bytes."""
 
+import glob
+import json
 import threading
 from datetime import date, datetime
 from decimal import Decimal
@@ -10,12 +12,19 @@ import queries as Q
 from pyspark.sql import functions as F
 
 from tidemark import StreamConfig
+from tidemark.operators import bookmark as B
 from tidemark.operators import discover as I
-from tidemark.operators.transform import transform
+from tidemark.operators.bookmark import BOOKMARK_SCHEMA
+from tidemark.operators.catalog import catalog_from_schema
+from tidemark.operators.transform import transform, transform_all, with_unique_key
 from tidemark.plans import run as R
+from tidemark.session import scratch_uri
+from tidemark.sources.bookmark_log import BookmarkLog
 from tidemark.sources.records import records_from_table
+from tidemark.sources.store import write_catalog
 
 SF = "/root/testdata/sf0.001"
+UPDATES = "stream string, key string, surrogate_key string, ts string, emitted boolean, ord long"
 
 
 def plan_of(df):
@@ -89,3 +98,49 @@ def test_typed_records_are_discovered_from_their_columns(spark):
     deep = spark.createDataFrame([(1, (((((1,),),),),))], "id long, o struct<a:struct<b:struct<c:struct<d:struct<e:int>>>>>")
     deep = transform(records_from_table(deep, "id", "o", ord="id"), StreamConfig("s", ("id",)), "t")
     assert I.found_types(deep).filter("deeper").count() == 1
+
+
+def test_folded_updates_are_shuffled_once(spark):
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = [("s", str(i % 50), f"v{i}", f"t{i:03d}", i % 3 == 0, i) for i in range(200)]
+    updates = spark.createDataFrame(rows, UPDATES)
+    folded = B.fold_updates(updates, "s")
+    assert plan_of(folded.repartition(n, "key")).count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, folded.collect())) == sorted(map(tuple, B.fold_updates(updates).collect()))
+    for buckets in (n, n + 3):  # another bucket count than the session's takes the exchange, and gives the same
+        log = BookmarkLog(spark, scratch_uri(spark, "log"), BOOKMARK_SCHEMA, buckets=buckets)
+        log.commit(1, log.advance(folded, 1, 0))
+        log.commit(2, log.advance(B.fold_updates(updates.limit(10), "s"), 2, 1))
+        assert log.read().count() == 50
+        for path in (log.info()["base"], *log.info()["deltas"]):
+            assert len(glob.glob(f"{path}/*.parquet".replace("file:", ""))) <= buckets
+
+
+def test_messages_are_compressed(spark, store, records):
+    schema = {"properties": {"id": {"type": ["number", "null"]}, "v": {"type": ["string", "null"]}}}
+    write_catalog(spark, store.uri, catalog_from_schema(spark, "s", schema))
+    lines = [json.dumps({"id": i, "v": "é   text " * 20}, ensure_ascii=False) for i in range(1, 200)]
+    run = R.run_extract(records(*lines), StreamConfig("s", ("id",)), store, "t")
+    got = [json.loads(r.value)["record"] for r in spark.read.text(f"{run.messages}/records").collect()]
+    assert sorted(r["id"] for r in got) == list(range(1, 200)) and {r["v"] for r in got} == {"é   text " * 20}
+    files = glob.glob(f"{run.messages}/records/part-*".replace("file:", ""))
+    assert files and all(open(f, "rb").read(2) == b"\x1f\x8b" for f in files)
+
+
+@pytest.mark.parametrize("disambiguate", [False, True])
+def test_extraction_keys_are_made_behind_the_lookup(spark, store, records, disambiguate):
+    """Equal keys, also of records that hold metadata of their own, and none of them is shuffled."""
+    rows = records('{"id":1,"_sdc_timestamp":"old"}', '{"id":0}', '{"id":3,"v":1}')
+    cfg = StreamConfig("s", ("id",))
+    made = transform_all(rows, cfg, "t2", disambiguate)
+    later = with_unique_key(transform_all(rows, cfg, "t2", disambiguate, stamped=False), disambiguate)
+    columns = [c for c in made.columns if not c.startswith("rec") and c != "_sdc_natural_key"]
+    assert sorted(map(str, later.select(*columns).collect())) == sorted(map(str, made.select(*columns).collect()))
+    schema = {"properties": {"id": {"type": ["number", "null"]}, "v": {"type": ["number", "null"]}}}
+    write_catalog(spark, store.uri, catalog_from_schema(spark, "s", schema))
+    R.run_extract(records('{"id":3,"v":0}'), cfg, store, "t1")
+    run = R._begin(rows, cfg, store, "t2", disambiguate=disambiguate)
+    staged = glob.glob(f"{run.output}/records/*.parquet".replace("file:", ""))
+    assert "_sdc_unique_key" not in spark.read.parquet(*staged).columns
+    got = {r.key: r["_sdc_unique_key"] for r in run.routed.collect()}
+    assert got == {r.key: r["_sdc_unique_key"] for r in made.collect()}

@@ -60,21 +60,25 @@ def bookmark_updates(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def fold_updates(updates: DataFrame) -> DataFrame:
+def fold_updates(updates: DataFrame, stream: str | None = None) -> DataFrame:
     """One row per key: the last content by ``ord``, the time seen, and the time emitted if any.
 
-    Partial aggregation folds a repeated key before the shuffle."""
+    Partial aggregation folds a repeated key before the shuffle. Updates that are all of one ``stream`` are dealt
+    by their key alone, as the buckets of its bookmark are, so that writing them takes no second shuffle."""
     last = F.struct("ord", "surrogate_key")
+    if stream is None:
+        grouped = updates.groupBy("stream", "key")
+    else:
+        grouped = updates.groupBy("key")
     return (
-        updates.groupBy("stream", "key")
-        .agg(
+        grouped.agg(
             F.max(last).alias("last"),
             F.max("ts").alias("last_seen"),
             F.max(F.when(F.col("emitted"), F.col("ts"))).alias("last_emitted"),
         )
         .select(
-            "stream", "key", F.col("last.surrogate_key").alias("surrogate_key"), "last_seen",
-            "last_emitted",
+            (F.col("stream") if stream is None else F.lit(stream)).alias("stream"), "key",
+            F.col("last.surrogate_key").alias("surrogate_key"), "last_seen", "last_emitted",
         )
     )
 

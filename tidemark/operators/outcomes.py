@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import keys as K
 from tidemark.functions.values import is_variant, settle
 from tidemark.operators.bookmark import PREVIOUS, is_changed, join_bookmark
+from tidemark.operators.transform import with_unique_key
 from tidemark.operators.validate import compile_checks
 
 TRANSFORM_FAILED = "transform_failed"
@@ -25,14 +26,16 @@ OUTCOME_COLUMNS = (
 
 
 def route_outcomes(
-    df: DataFrame, bookmark: DataFrame | None, schema: Mapping, refresh: bool = False, hide: bool = False
+    df: DataFrame, bookmark: DataFrame | None, schema: Mapping, refresh: bool = False, hide: bool = False,
+    disambiguate: bool = False,
 ) -> DataFrame:
     """Outcome of transformed records, checked in order: readable, key, bookmark, schema.
 
     ``bookmark=None`` means that nothing was seen yet; then nothing is shuffled. With a lookup only
     the text of a record is shuffled: typed records are checked beforehand, since that costs next to
     nothing, and of VARIANT records the changed ones are parsed again afterwards, for which ``df`` may
-    lack ``rec``. Lines that give no record come in the same pass, and leave with their ``reason``;
+    lack ``rec``. Records may come without their extraction key, as transform_all leaves them without ``stamped``;
+    it is made behind the lookup then (``disambiguate`` as there). Lines that give no record come in the same pass, and leave with their ``reason``;
     ``text`` is the line, with ``hide`` its SHA-256, since fields of a line that cannot be read can
     neither be dropped nor hashed."""
     ok, told = F.col("key_ok"), ["reason"] if "reason" in df.columns else []
@@ -46,6 +49,8 @@ def route_outcomes(
         routed = routed.withColumn("changed", ok & is_changed()).drop(PREVIOUS)
     else:
         routed = df.withColumn("changed", ok)
+    if "content" in routed.columns:
+        routed = with_unique_key(routed, disambiguate)
     if "valid" not in routed.columns:
         routed = routed.select(
             "*",

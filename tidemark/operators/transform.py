@@ -48,10 +48,13 @@ def objects_only(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def transform_all(
-    df: DataFrame, cfg: StreamConfig, run_ts: str, disambiguate: bool = False
+    df: DataFrame, cfg: StreamConfig, run_ts: str, disambiguate: bool = False, stamped: bool = True
 ) -> DataFrame:
     """Every record with its keys; ``key_ok`` is false where the key check failed.
 
+    Records that are shuffled first leave the extraction key for later: without ``stamped`` they have, for
+    with_unique_key, a column ``content`` in its place, which is NULL where it is the ``text``.
+
     ``text`` is the JSON text to emit. Failed records have NULL keys; their text is edited as well, so
     that a rejects table never holds a value configured as sensitive. Of a source with a ``reason`` column
     the lines that give no record stay, with ``raw`` and ``reason``, as records that fail the key check."""
@@ -77,6 +80,9 @@ def transform_all(
         F.when(ok, F.lit(run_ts)).alias(K.TIMESTAMP),
         *_told(df),
     )
+    if not stamped:
+        content = F.when(F.col("text") != F.col("clean_text"), F.col("text"))
+        return step.withColumn("content", content).drop("text").withColumnRenamed("clean_text", "text")
     unique = K.unique_key(
         F.col("text"),
         F.col("clean_text"),
@@ -90,6 +96,19 @@ def transform_all(
     )
 
 
+def with_unique_key(df: DataFrame, disambiguate: bool = False) -> DataFrame:
+    """Records of transform_all without ``stamped``, with the extraction key that it would have given them."""
+    unique = K.unique_key(
+        F.coalesce("content", "text"),
+        F.col("text"),
+        F.col("nk_json"),
+        F.col(K.SURROGATE_KEY),
+        F.col(K.TIMESTAMP),
+        F.col("ord") if disambiguate else None,
+    )
+    return df.withColumn(K.UNIQUE_KEY, F.when(F.col("key_ok"), unique)).drop("content")
+
+
 def _told(df: DataFrame) -> list[str]:
     """What a source says of lines that give no record."""
     return ["raw", "reason"] if "reason" in df.columns else []

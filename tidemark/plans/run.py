@@ -36,6 +36,9 @@ OUTCOMES_SCHEMA = (
     "_sdc_timestamp string, _sdc_unique_key string, text string, reason string, outcome string"
 )
 
+# Messages repeat names and hold hashes as digits, and are most of what a run writes.
+MESSAGE_FILES = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
 
 def read_source(spark: SparkSession, cfg: StreamConfig, pages: DataFrame | None = None) -> DataFrame:
     """Records of a source named by its configuration; ``pages`` holds the landed responses of an API.
@@ -214,14 +217,15 @@ def _against_bookmark(
     """Outcomes against a version of the bookmark, of which only the run's own keys are read and joined.
 
     Typed records are scanned for their keys first, which reads the key's columns alone. VARIANT records are
-    parsed once: what a run needs of them is written, and their keys are one column of it."""
-    records = transform_all(_checked(source, cfg), cfg, run_ts, disambiguate)
+    parsed once: what a run needs of them is written, and their keys are one column of it. Extraction keys are
+    made of what is there behind the join, so they are neither written nor shuffled before."""
+    records = transform_all(_checked(source, cfg), cfg, run_ts, disambiguate, stamped=False)
     if is_variant(records.schema["rec"].dataType):
         records = records.drop("rec", K.NATURAL_KEY)
         records.write.parquet(staged)
         records = source.sparkSession.read.schema(records.schema).parquet(staged)
     known = table.known(records, previous)
-    return O.route_outcomes(records, known, schema, hide=_hides(cfg))
+    return O.route_outcomes(records, known, schema, hide=_hides(cfg), disambiguate=disambiguate)
 
 
 @dataclass
@@ -279,14 +283,15 @@ def _finish(
             first = M.schema_messages(run.store.catalog.read()).select("message")
         first.write.text(f"{messages}/schema")
         emitted = outcomes.filter(F.col("outcome") == O.EMITTED)
-        M.record_messages(emitted).select("message").write.text(f"{messages}/records")
+        M.record_messages(emitted).select("message").write.options(**MESSAGE_FILES).text(f"{messages}/records")
 
     def write_rejects() -> None:
         O.rejects(outcomes, run.schema).unionByName(O.unreadable_rejects(outcomes)).write.parquet(quarantine)
 
     def write_bookmark() -> str:
         updates = metrics[O.EMITTED] + metrics[O.FILTERED]
-        return run.table.advance(B.fold_updates(B.bookmark_updates(outcomes)), run.version, run.previous, updates)
+        folded = B.fold_updates(B.bookmark_updates(outcomes), run.cfg.stream_name)
+        return run.table.advance(folded, run.version, run.previous, updates)
 
     # Three independent jobs over the written outcomes; the first error of any ends the run.
     with ThreadPoolExecutor(max_workers=3) as pool:
