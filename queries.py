@@ -853,7 +853,7 @@ def stream_changes_deltas(spark: SparkSession, sf: str) -> DataFrame:
     store.write_bookmark(spark, s.uri, known.select(
         "stream", "key", F.col("_sdc_surrogate_key").alias("surrogate_key"), F.lit(X.OLD_TS).alias("last_seen"),
         F.lit(X.OLD_TS).alias("last_emitted"),
-    ))
+    ), ["events"])
     uri = f"{s.uri}/landing"
     for part in range(2):
         _arrive(spark, sf, uri, part)

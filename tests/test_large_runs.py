@@ -21,7 +21,7 @@ from tidemark.plans import run as R
 from tidemark.session import scratch_uri
 from tidemark.sources.bookmark_log import BookmarkLog
 from tidemark.sources.records import records_from_table
-from tidemark.sources.store import write_catalog
+from tidemark.sources.store import read_bookmark, write_bookmark, write_catalog
 
 SF = "/root/testdata/sf0.001"
 UPDATES = "stream string, key string, surrogate_key string, ts string, emitted boolean, ord long"
@@ -144,3 +144,19 @@ def test_extraction_keys_are_made_behind_the_lookup(spark, store, records, disam
     assert "_sdc_unique_key" not in spark.read.parquet(*staged).columns
     got = {r.key: r["_sdc_unique_key"] for r in run.routed.collect()}
     assert got == {r.key: r["_sdc_unique_key"] for r in made.collect()}
+
+
+def test_named_streams_are_written_in_one_pass(spark, store):
+    """The frame is worked out once for each stream that is written, and not before to find them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [("s", str(i), "c", "t", None) for i in range(50)]
+    frame = spark.createDataFrame(rows, BOOKMARK_SCHEMA).mapInArrow(counted, BOOKMARK_SCHEMA)
+    assert write_bookmark(spark, store.uri, frame, ["s"]) == {"s": 1}
+    assert seen.value == 50 and read_bookmark(spark, store.uri).count() == 50
+    assert write_bookmark(spark, store.uri, frame) == {"s": 2} and seen.value == 150

@@ -68,9 +68,13 @@ def read_bookmark(spark: SparkSession, uri: str, streams: list[str] | None = Non
     return _read(spark, uri, streams, "bookmark", BOOKMARK_SCHEMA)
 
 
-def write_bookmark(spark: SparkSession, uri: str, bookmark: DataFrame, **facts) -> dict[str, int]:
-    """Write a new bookmark version of each stream that has rows, and make it current."""
-    return _write(spark, uri, "bookmark", bookmark, facts)
+def write_bookmark(
+    spark: SparkSession, uri: str, bookmark: DataFrame, streams: list[str] | None = None, **facts
+) -> dict[str, int]:
+    """Write a new bookmark version of each stream that has rows, or of those named, and make it current.
+
+    Naming the streams saves a pass over the frame to find them."""
+    return _write(spark, uri, "bookmark", bookmark, facts, streams)
 
 
 def read_catalog(spark: SparkSession, uri: str, streams: list[str] | None = None) -> DataFrame:
@@ -83,10 +87,14 @@ def write_catalog(spark: SparkSession, uri: str, catalog: DataFrame, **facts) ->
     return _write(spark, uri, "catalog", catalog, facts)
 
 
-def _write(spark: SparkSession, uri: str, kind: str, df: DataFrame, facts: dict) -> dict[str, int]:
+def _write(
+    spark: SparkSession, uri: str, kind: str, df: DataFrame, facts: dict, streams: list[str] | None = None
+) -> dict[str, int]:
     versions = {}
-    # As many rows as streams.
-    for (stream,) in df.select("stream").distinct().collect():
+    if streams is None:
+        # As many rows as streams.
+        streams = [stream for (stream,) in df.select("stream").distinct().collect()]
+    for stream in streams:
         table = getattr(Store(spark, uri).of(stream), kind)
         versions[stream] = table.version() + 1
         path, more = table.write(df.filter(F.col("stream") == stream), versions[stream]), {}
