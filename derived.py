@@ -69,10 +69,10 @@ def orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_from_json(orders_lines(spark, sf_dir), "value", ord="o_orderkey")
 
 
-def orders_bookmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_bookmark(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     """State of an earlier run over orders: keys divisible by 3 have the same content now, those with
     remainder 1 had another, those with remainder 2 are new. 100 more keys are gone from the source."""
-    seen = transform(orders_stream(spark, sf_dir), ORDERS, OLD_TS).filter("ord % 3 != 2")
+    seen = transform(orders_stream(spark, sf_dir, spread_out=spread_out), ORDERS, OLD_TS).filter("ord % 3 != 2")
     stale = F.sha2(F.concat(F.lit("stale"), F.col("key")), 256)
     bookmark = seen.select(
         "stream",

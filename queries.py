@@ -703,7 +703,7 @@ def discover_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 def _prepared(spark: SparkSession, sf: str) -> store.Store:
     uri = scratch_uri(spark, "run")
-    store.write_bookmark(spark, uri, X.orders_bookmark(spark, sf))
+    store.write_bookmark(spark, uri, X.orders_bookmark(spark, sf, spread_out=True), ["orders"])
     store.write_catalog(spark, uri, C.catalog_from_schema(spark, "orders", X.ORDERS_SCHEMA))
     return store.Store(spark, uri)
 
